@@ -85,27 +85,32 @@ def read_pair_object(key: Column, root: str) -> Column:
     return F.when(paired, read_pair_names(key))
 
 
+def _lookup(table: dict[str, str], key: Column) -> Column:
+    pairs = [F.lit(part) for item in sorted(table.items()) for part in item]
+    return F.try_element_at(F.create_map(*pairs), key)
+
+
 def guessed_file_type(name: Column) -> Column:
     """Media type from the file-name suffix, NULL when the suffix is not known.
 
-    The suffix table is the one of the Python standard library, taken when the
-    plan is built; compression suffixes are looked through.
+    The suffix tables are those of the Python standard library, taken when the
+    plan is built.  A compression suffix is looked through (``a.csv.gz``), and
+    so are short forms of packed suffixes (``.tgz``).
     """
     known = mimetypes.MimeTypes(filenames=())
     types = {**known.types_map[False], **known.types_map[True]}
-    pairs = [F.lit(part) for item in sorted(types.items()) for part in item]
-    table = F.create_map(*pairs)
-
-    base = F.regexp_replace(F.element_at(F.split(name, "/"), -1), r"^\.+", "")
-    for short, full in sorted(known.suffix_map.items()):
-        base = F.when(
-            F.endswith(base, F.lit(short)),
-            F.concat(F.substring(base, F.lit(1), F.length(base) - len(short)), F.lit(full)),
-        ).otherwise(base)
-    packed = "|".join("\\" + suffix for suffix in sorted(known.encodings_map))
-    base = F.regexp_replace(base, f"({packed})$", "")
-    suffix = F.regexp_extract(base, r"(\.[^.]*)$", 1)
-    return F.coalesce(F.try_element_at(table, suffix), F.try_element_at(table, F.lower(suffix)))
+    unpacked = {short: full[: full.rindex(".")] for short, full in known.suffix_map.items()}
+
+    # leading dots of a file name do not start a suffix
+    stem = F.regexp_replace(F.element_at(F.split(name, "/"), -1), r"^\.+", "")
+    suffix = F.regexp_extract(stem, r"(\.[^.]*)$", 1)
+    before = F.regexp_extract(stem, r"(\.[^.]*)\.[^.]*$", 1)
+    effective = F.coalesce(
+        _lookup(unpacked, F.lower(suffix)),
+        F.when(suffix.isin(sorted(known.encodings_map)), F.lower(before)),
+        F.lower(suffix),
+    )
+    return _lookup(types, effective)
 
 
 def split_last_underscore(text: Column) -> tuple[Column, Column]:

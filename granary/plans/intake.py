@@ -17,22 +17,25 @@ COUNTED_RUN_STATES = ["success", "running"]
 SAMPLESHEET_COLUMNS = ["patient", "sex", "status", "sample", "bam", "bai"]
 
 
-def processed_ids(runs: DataFrame, n: int = 6, key: str = "submission_id") -> DataFrame:
+def processed_ids(
+    runs: DataFrame, taken: DataFrame, n: int = 6, key: str = "submission_id"
+) -> DataFrame:
     """Ids taken on by the last ``n`` successful or running runs.
 
-    ``runs`` has state, start_date and an array of ids per run.
+    ``runs`` has run_id, state and start_date; ``taken`` lists (run_id, id), so
+    that a run with very many submissions is many rows and not one array.
     """
     counted = runs.filter(F.lower("state").isin(COUNTED_RUN_STATES))
-    last = ranking.top_n(counted, n, [F.desc("start_date")])
-    return joins.explode_members(last.select("submission_ids"), "submission_ids", key).distinct()
+    last = ranking.top_n(counted, n, [F.desc("start_date"), F.desc("run_id")])
+    return taken.join(last.select("run_id"), "run_id", "left_semi").select(key).distinct()
 
 
 def submission_intake(
-    queue: DataFrame, runs: DataFrame, n: int = 6, key: str = "submission_id"
+    queue: DataFrame, runs: DataFrame, taken: DataFrame, n: int = 6, key: str = "submission_id"
 ) -> DataFrame:
     """Received submissions that none of the last runs has taken on."""
     received = filters.by_value(queue, "status", RECEIVED)
-    return joins.new_ids(received, processed_ids(runs, n, key), key)
+    return joins.new_ids(received, processed_ids(runs, taken, n, key), key)
 
 
 def in_progress(submissions: DataFrame, key: str = "submission_id") -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql.utils import AnalysisException
 from granary.operators.quality import check_options
 from granary.session import settled_small
 
-WRITE_OPTIONS = ("format", "partition_by", "max_records_per_file", "compression")
+WRITE_OPTIONS = ("format", "partition_by", "max_records_per_file", "compression", "path")
 
 
 def _writer(df: DataFrame, options: dict):
@@ -22,8 +22,9 @@ def _writer(df: DataFrame, options: dict):
         writer = writer.partitionBy(*options["partition_by"])
     if options.get("max_records_per_file"):
         writer = writer.option("maxRecordsPerFile", options["max_records_per_file"])
-    if options.get("compression"):
-        writer = writer.option("compression", options["compression"])
+    for name in ("compression", "path"):
+        if options.get(name):
+            writer = writer.option(name, options[name])
     return writer
 
 

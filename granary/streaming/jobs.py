@@ -62,6 +62,21 @@ def usage_report(counts: DataFrame, keys: Sequence[str] = (), user: str = "user_
     )
 
 
+def sliding_report(daily: DataFrame, days: int, user: str = "user_id") -> DataFrame:
+    """Events and exact unique users of the ``days`` days up to each day.
+
+    Built from the daily per-user counts, so a row is repeated per covered day
+    only after the events have been collapsed.  Days without any event in
+    their range have no row.
+    """
+    first = F.to_date("window.start")
+    covered = F.sequence(F.lit(0), F.lit(days - 1))
+    spread = daily.select(first.alias("first"), user, "n", F.explode(covered).alias("offset"))
+    return spread.groupBy(F.date_add("first", F.col("offset")).alias("day")).agg(
+        F.sum("n").alias("events"), F.countDistinct(user).alias("unique_users")
+    )
+
+
 def approx_usage(
     stream: DataFrame, length: str, slide: str | None = None, watermark: str = "1 day",
     ts: str = "ts", user: str = "user_id", keys: Sequence[str] = (),
