@@ -40,12 +40,12 @@ def download_stats(df: DataFrame, keys: Sequence[str], approx: bool = False) ->
     rows = F.col("n_rows") if collapsed else F.lit(1)
     dated = F.sum("n_dated") if collapsed else F.count("record_date")
     distinct = F.approx_count_distinct if approx else F.countDistinct
-    size = F.sum(F.col("content_size").cast("decimal(38,0)") * rows)
+    size = F.sum(F.col("content_size") * rows)
     return df.groupBy(*keys).agg(
         dated.cast("long").alias("downloads_per_project"),
         distinct("user_id").alias("number_of_unique_users_downloaded"),
         distinct("file_handle_id").alias("number_of_unique_files_downloaded"),
-        F.coalesce(size.cast("long"), F.lit(0)).alias("data_download_size"),
+        F.coalesce(size, F.lit(0)).alias("data_download_size"),
     )
 
 
@@ -59,13 +59,13 @@ def group_download_stats(df: DataFrame, keys: Sequence[str], approx: bool = Fals
     collapsed = all(c in df.columns for c in COLLAPSED)
     rows = F.col("n_rows") if collapsed else F.lit(1)
     dated = F.sum("n_dated") if collapsed else F.count("record_date")
-    size = F.sum(F.col("content_size").cast("decimal(38,0)") * rows)
+    size = F.sum(F.col("content_size") * rows)
     return df.groupBy(*keys).agg(
         distinct("project_id").alias("projects_with_downloads"),
         dated.cast("long").alias("downloads_per_project"),
         distinct("user_id").alias("number_of_unique_users_downloaded"),
         distinct("file_handle_id").alias("number_of_unique_files_downloaded"),
-        F.coalesce(size.cast("long"), F.lit(0)).alias("data_download_size"),
+        F.coalesce(size, F.lit(0)).alias("data_download_size"),
     )
 
 
@@ -85,14 +85,14 @@ def monthly_downloads(events: DataFrame, month: date | str, ts: str = "record_da
 
 def total_size(files: DataFrame, power: int = 50, name: str = "size_in_petabytes") -> DataFrame:
     """Sum of file sizes in a binary unit; the byte sum stays an exact integer."""
-    total = F.sum(F.col("content_size").cast("decimal(38,0)"))
+    total = F.sum("content_size")
     return files.agg((total.cast("double") / F.lit(float(2**power))).alias(name))
 
 
 def project_size_gib(nodes: DataFrame, files: DataFrame, keys: Sequence[str] = ("project_id",)) -> DataFrame:
     """Size of each project in GiB from the files its nodes point at."""
     sized = joins.nodes_with_files(nodes, files)
-    total = F.sum(F.col("content_size").cast("decimal(38,0)")).cast("double")
+    total = F.sum("content_size").cast("double")
     return sized.groupBy(*keys).agg(
         (total / F.lit(float(1024**3))).alias("estimated_project_size_in_gib")
     )

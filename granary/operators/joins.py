@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from granary.session import literal_table
+
 
 def downloads_with_files(events: DataFrame, projects: DataFrame, files: DataFrame) -> DataFrame:
     """Download events of the given projects, with the size of the downloaded file.
@@ -105,7 +107,7 @@ def bridge(entities: DataFrame, members: DataFrame, key: str) -> DataFrame:
 
 def constant_table(spark: SparkSession, rows: Sequence[tuple], schema: str | StructType) -> DataFrame:
     """A configured list as a table; its exact size is known to the planner."""
-    return spark.createDataFrame(list(rows), schema)
+    return literal_table(spark, rows, schema)
 
 
 def new_ids(df: DataFrame, processed: DataFrame, key: str) -> DataFrame:

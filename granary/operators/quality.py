@@ -6,6 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from granary.session import literal_table
+
 CHECK_SCHEMA = "check string, column string, n bigint"
 
 
@@ -54,7 +56,7 @@ def validate_table(df: DataFrame, required: Sequence[str], keys: Sequence[str])
     results = counts.select(F.inline(F.array(*entries)))
     if missing:
         results = results.unionAll(
-            spark.createDataFrame([("missing_column", c, 1) for c in missing], CHECK_SCHEMA)
+            literal_table(spark, [("missing_column", c, 1) for c in missing], CHECK_SCHEMA)
         )
     present = [k for k in keys if k in df.columns]
     if present:

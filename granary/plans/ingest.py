@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from granary.functions import versions
 from granary.operators import filters, quality
+from granary.session import literal_table
 from granary.sinks import tables
 from granary.sources import delimited
 
@@ -119,8 +120,8 @@ def refresh_catalog(spark: SparkSession, specs: Mapping[str, tuple[str, str]]) -
 
 def skipped_sources(specs: Sequence[delimited.ReleaseSpec], rows: DataFrame, file: str = "_file") -> DataFrame:
     """Configured files that delivered no row."""
-    wanted = rows.sparkSession.createDataFrame(
-        sorted({(f,) for s in specs for f in s.files}), f"{file} string"
+    wanted = literal_table(
+        rows.sparkSession, sorted({(f,) for s in specs for f in s.files}), f"{file} string"
     )
     return quality.empty_sources(wanted, rows, file)
 

@@ -10,6 +10,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from granary.functions import dates, messages, text
 from granary.operators import aggregates, filters, joins, ranking
+from granary.session import settled_small
+
+# Up to this many projects are settled before the events are touched.
+MAX_SETTLED_PROJECTS = 200_000
 
 PROJECT_COLUMNS = [
     "project", "name", "downloads_per_project", "data_download_size",
@@ -73,10 +77,13 @@ def leaderboard(
     """Downloads, bytes and unique users per public project in the window.
 
     The daily report sorts by unique users; the 30-day and all-time ones pass
-    ``sort_by="downloads_per_project"``.  Names are attached after the
-    aggregation, so they do not travel with the events.
+    ``sort_by="downloads_per_project"``.  The project list is settled first, so
+    the events meet it in a broadcast and never shuffle by (skewed) project.
+    Names are attached after the aggregation and do not travel with the events.
     """
-    projects = filters.public_projects(nodes, exclude_id).select("project_id", "name")
+    projects = settled_small(
+        filters.public_projects(nodes, exclude_id).select("project_id", "name"), MAX_SETTLED_PROJECTS
+    )
     sized = _sized_downloads(window.apply(events), projects.select("project_id"), files)
     stats = aggregates.download_stats(sized, ["project_id"], approx).join(projects, "project_id")
     columns = [text.prefixed_id(F.col("project_id")).alias("project"), *PROJECT_COLUMNS[1:]]
@@ -113,7 +120,7 @@ def group_leaderboard(
     Events are collapsed once for all member projects, and only the collapsed
     rows are multiplied by group membership.
     """
-    members = group_members(nodes, groups)
+    members = settled_small(group_members(nodes, groups), MAX_SETTLED_PROJECTS)
     keys = ["group_name", "file_view_id"]
     sized = _sized_downloads(window.apply(events), members.select("project_id"), files)
     bridged = joins.bridge(sized, members.drop("project_name"), "project_id")

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from granary.functions import messages, text
 from granary.operators import aggregates, filters, joins, ranking
+from granary.plans.leaderboards import MAX_SETTLED_PROJECTS
+from granary.session import settled_small
 
 
 def trending_month(
@@ -26,7 +28,9 @@ def trending_month(
     size join starts from the ``n`` winners, which carry their numbers along,
     so the event table is read once.  Winners without files are left out.
     """
-    public = filters.public_projects(nodes, exclude_id).select("project_id")
+    public = settled_small(
+        filters.public_projects(nodes, exclude_id).select("project_id"), MAX_SETTLED_PROJECTS
+    )
     recent = filters.semi(
         filters.by_value(filters.in_month(events, "record_date", month), "stack", stack),
         public, ["project_id"],
@@ -118,8 +122,8 @@ def recent_lines(entities: DataFrame, entity_url: str, profile_url: str) -> Data
         section.alias("section"), "rank",
         messages.entity_line(F.col("rank"), entity_url, profile_url).alias("line"),
     )
-    both = entities.sparkSession.createDataFrame(
-        [("Public datasets",), ("Private datasets",)], "section string"
+    both = joins.constant_table(
+        entities.sparkSession, [("Public datasets",), ("Private datasets",)], "section string"
     )
     empty = both.join(lines.select("section").distinct(), "section", "left_anti")
     return lines.unionByName(

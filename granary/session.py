@@ -9,11 +9,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 RECOMMENDED_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    # integer sums that do not fit are an error, never a wrong number
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -68,18 +74,35 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: str | StructType) -> DataFrame:
+    """A few configured rows as a local relation.
+
+    Going through Arrow makes it part of the plan with its exact size, so a
+    join with it broadcasts; rows given directly would be of unknown size.
+    """
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    columns = list(zip(*rows)) if rows else [() for _ in schema.fields]
+    arrow = to_arrow_schema(schema)
+    table = pa.table(
+        [pa.array(list(values), type=field.type) for values, field in zip(columns, arrow)], schema=arrow
+    )
+    return spark.createDataFrame(table, schema)
+
+
 def settled_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
     """Turn a result into literal rows when it is proven to be small.
 
     At most ``max_rows + 1`` rows reach the driver.  Within the bound the frame
     becomes a local relation whose exact size Catalyst knows, so joins with it
-    broadcast without a hint and without shuffling the other side.  Beyond the
-    bound the distributed frame is returned as it is and joins shuffle.
+    broadcast without a hint and without shuffling the other side, and using it
+    twice does not compute it twice.  Beyond the bound the distributed frame is
+    returned as it is and joins shuffle.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
+    table = df.limit(max_rows + 1).toArrow()
+    if table.num_rows > max_rows:
         return df
-    return df.sparkSession.createDataFrame(rows, df.schema)
+    return df.sparkSession.createDataFrame(table, df.schema)
 
 
 def is_directory(spark: SparkSession, path: str) -> bool:

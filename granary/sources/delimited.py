@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from granary.functions import versions
 from granary.operators.filters import drop_if_present
 from granary.operators.ranking import stack
+from granary.session import literal_table
 
 # Release files that are ingested and the table each one feeds.
 CLINICAL_FILES = {"cancer_panel_test_level_dataset.csv": "CANCER_PANEL_TEST_LEVEL"}
@@ -176,7 +177,8 @@ def read_release_set(spark: SparkSession, specs: Sequence[ReleaseSpec]) -> DataF
         rows = drop_if_present(
             read_delimited(spark, paths, sep=sep, types=types, file_column="_file"), "cohort"
         )
-        owners = spark.createDataFrame(
+        owners = literal_table(
+            spark,
             [(f, s.cohort, s.version) for s in same for f in s.files],
             "_owner_file string, _cohort string, _version string",
         ).select(_same_path(F.col("_owner_file")).alias("_path"), "_cohort", "_version")
