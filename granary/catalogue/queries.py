@@ -30,6 +30,9 @@ MONTH = date(1998, 5, 15)
 ACCESS_MONTH = date(2024, 1, 1)
 RECENT_ASOF = datetime(2001, 7, 30, 12, 0, 0)
 RUN_ASOF = datetime(2001, 8, 1, 0, 0, 0)
+PAST_WEEK = datetime(2001, 7, 25, 0, 0, 0)
+PAST_MONTH = datetime(2001, 7, 1, 0, 0, 0)
+PAST_YEAR = datetime(2000, 8, 1, 0, 0, 0)
 GROUPS = [(-100, "Group A"), (-98, "Group B"), (-97, "Group C")]
 ENTITY_URL = "https://example.org/entity/"
 PROFILE_URL = "https://example.org/profile/"
@@ -231,22 +234,48 @@ def _reports(t: Tables) -> dict[str, DataFrame]:
     return runs.run_reports(t.runs(), t.workspaces(), users, RUN_ASOF)
 
 
-def _report_query(name: str, report: str) -> None:
-    def run(spark: SparkSession, folder: str) -> DataFrame:
-        return _reports(Tables(spark, folder))[report]
+@query
+def runs_per_workspace(spark: SparkSession, folder: str) -> DataFrame:
+    t = Tables(spark, folder)
+    return runs.runs_per_workspace(t.runs(), t.workspaces(), PAST_WEEK)
+
+
+@query
+def workflow_share(spark: SparkSession, folder: str) -> DataFrame:
+    t = Tables(spark, folder)
+    return runs.workflow_share(t.runs(), t.workspaces(), PAST_WEEK)
 
-    run.__name__ = name
-    query(run)
+
+@query
+def runs_per_month_avg(spark: SparkSession, folder: str) -> DataFrame:
+    return runs.mean_runs_per_month(Tables(spark, folder).runs(), PAST_YEAR, RUN_ASOF)
+
+
+@query
+def runs_per_week_avg(spark: SparkSession, folder: str) -> DataFrame:
+    return runs.mean_runs_per_week(Tables(spark, folder).runs(), PAST_YEAR, RUN_ASOF)
 
 
-_report_query("runs_per_workspace", "total_workflows_per_workspace_past_week")
-_report_query("workflow_share", "workflow_distribution_past_week")
-_report_query("runs_per_month_avg", "avg_workflows_run_per_month")
-_report_query("runs_per_week_avg", "avg_workflows_run_per_week")
-_report_query("status_breakdown", "run_status_breakdown_past_year")
-_report_query("project_breakdown", "workflow_breakdown_past_month")
-_report_query("users_total", "total_users")
-_report_query("users_active", "active_users_past_month")
+@query
+def status_breakdown(spark: SparkSession, folder: str) -> DataFrame:
+    rows = Tables(spark, folder).runs()
+    return aggregates.breakdown(rows, "status", "status_count", PAST_YEAR, RUN_ASOF)
+
+
+@query
+def project_breakdown(spark: SparkSession, folder: str) -> DataFrame:
+    rows = Tables(spark, folder).runs()
+    return aggregates.breakdown(rows, "project_name", "runs", PAST_MONTH, RUN_ASOF)
+
+
+@query
+def users_total(spark: SparkSession, folder: str) -> DataFrame:
+    return aggregates.users_total(Tables(spark, folder).raw("customer"))
+
+
+@query
+def users_active(spark: SparkSession, folder: str) -> DataFrame:
+    return aggregates.users_active(Tables(spark, folder).runs(), PAST_MONTH, RUN_ASOF)
 
 
 @query
@@ -663,7 +692,7 @@ def _release_names(t: Tables) -> DataFrame:
 @query
 def release_parse(spark: SparkSession, folder: str) -> DataFrame:
     rows = _release_names(Tables(spark, folder))
-    return rows.withColumn("p", versions.parse_release(F.col("name"))).select("o_orderkey", "name", "p.*")
+    return versions.parse_release(rows, "name", "p").select("o_orderkey", "name", "p.*")
 
 
 @query
@@ -674,7 +703,7 @@ def cohort_version_parse(spark: SparkSession, folder: str) -> DataFrame:
         F.date_format(d, "MM"), F.lit("_"), F.day(d).cast("string"),
     )
     rows = Tables(spark, folder).raw("orders").select("o_orderkey", version.alias("version"))
-    return rows.withColumn("p", versions.parse_cohort_version(F.col("version"))).select("o_orderkey", "version", "p.*")
+    return versions.parse_cohort_version(rows, "version", "p").select("o_orderkey", "version", "p.*")
 
 
 @query
@@ -805,11 +834,11 @@ def refreshed_export(spark: SparkSession, folder: str) -> DataFrame:
     """Rows per written file never exceed the limit."""
     path = scratch_path(spark, "export")
     orders = Tables(spark, folder).raw("orders").select("o_orderkey")
-    table_sinks.refresh_and_export(orders, path, rows_per_file=1000)
+    table_sinks.refresh_and_export(orders, path, rows_per_file=50_000)
     per_file = spark.read.parquet(path).select(
         F.col("_metadata.file_name").alias("file"), "o_orderkey"
     ).groupBy("file").agg(F.count(F.lit(1)).alias("n"))
-    return per_file.agg(F.sum("n").alias("n_rows"), (F.max("n") <= 1000).alias("within_limit"))
+    return per_file.agg(F.sum("n").alias("n_rows"), (F.max("n") <= 50_000).alias("within_limit"))
 
 
 @query

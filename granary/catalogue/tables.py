@@ -11,6 +11,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 SCOPE_CHUNK = 500
 
@@ -21,9 +22,16 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._schemas: dict[str, StructType] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A given table; its schema is looked up once."""
+        path = f"{self.folder}/{name}.parquet"
+        if name not in self._schemas:
+            df = self.spark.read.parquet(path)
+            self._schemas[name] = df.schema
+            return df
+        return self.spark.read.schema(self._schemas[name]).parquet(path)
 
     # -- usage ---------------------------------------------------------------
 

@@ -66,9 +66,8 @@ def found_reasons(log: Column, reasons: Sequence[str], default: str = NO_REASON)
     """Every listed reason that occurs in the log, comma-separated, in list order."""
     if not reasons:
         return F.lit(default)
-    hits = F.filter(F.array(*[F.lit(r) for r in reasons]), lambda r: F.contains(log, r))
-    text = F.array_join(hits, ", ")
-    return F.when(F.coalesce(text, F.lit("")) == "", F.lit(default)).otherwise(text)
+    found = F.concat_ws(", ", *[F.when(F.contains(log, F.lit(r)), F.lit(r)) for r in reasons])
+    return F.when(found == "", F.lit(default)).otherwise(found)
 
 
 def read_pair_names(path: Column) -> Column:

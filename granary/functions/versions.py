@@ -17,48 +17,59 @@ UNTYPED_RELEASES = [f"Release {number:02d}" for number in range(17)]
 PREVIEW_PREFIX = "public_preview"
 
 
-def _release_struct(valid: Column, major: Column, minor: Column, kind: Column, error: Column) -> Column:
+def _as_struct(df: DataFrame, into: str, valid: Column, error: Column) -> DataFrame:
+    major, minor, kind = F.col("_major"), F.col("_minor"), F.col("_kind")
     text = F.concat_ws("_", major.cast("string"), minor.cast("string"), kind)
-    return F.struct(
+    parsed = F.struct(
         F.when(valid, text).alias("release"),
         F.when(valid, kind).alias("release_type"),
         F.when(valid, major).alias("major_version"),
         F.when(valid, minor).alias("minor_version"),
         error.alias("error"),
     )
+    return df.withColumn(into, parsed).drop("_major", "_minor", "_kind", "_parts")
 
 
-def parse_release(name: Column) -> Column:
+def _error(message: str, name: Column) -> Column:
+    return F.concat(F.lit(message), F.coalesce(name, F.lit("")))
+
+
+def parse_release(df: DataFrame, name: str, into: str = "parsed") -> DataFrame:
     """``19.3-consortium`` to (``19_3_CONSORTIUM``, ``CONSORTIUM``, 19, 3).
 
     Two separate faults: not exactly two parts around the dash, and a first
-    part that is not two numbers.  An empty type is tolerated.
+    part that is not two numbers.  An empty type is tolerated.  The parts are
+    columns of their own first, so every pattern runs once per row.
     """
-    parts = F.split(name, "-")
-    two_parts = F.size(parts) == 2
-    numbers = F.replace(F.get(parts, F.lit(0)), F.lit("."), F.lit("_"))
+    split = df.withColumn("_parts", F.split(name, "-"))
+    numbers = F.replace(F.get("_parts", F.lit(0)), F.lit("."), F.lit("_"))
     pattern = r"^(\d+)_(\d+)$"
-    major = F.regexp_extract(numbers, pattern, 1).try_cast("int")
-    minor = F.regexp_extract(numbers, pattern, 2).try_cast("int")
-    kind = F.upper(F.get(parts, F.lit(1)))
-    numeric = major.isNotNull() & minor.isNotNull()
-    valid = F.coalesce(two_parts & numeric, F.lit(False))
-    error = F.when(valid, F.lit(None).cast("string")).when(
-        F.coalesce(two_parts, F.lit(False)),
-        F.concat(F.lit("Unexpected version format: "), F.coalesce(name, F.lit(""))),
-    ).otherwise(F.concat(F.lit("Unexpected folder name format: "), F.coalesce(name, F.lit(""))))
-    return _release_struct(valid, major, minor, kind, error)
-
-
-def parse_cohort_version(version: Column) -> Column:
+    staged = split.withColumns({
+        "_major": F.regexp_extract(numbers, pattern, 1).try_cast("int"),
+        "_minor": F.regexp_extract(numbers, pattern, 2).try_cast("int"),
+        "_kind": F.upper(F.get("_parts", F.lit(1))),
+    })
+    two_parts = F.coalesce(F.size("_parts") == 2, F.lit(False))
+    valid = two_parts & F.col("_major").isNotNull() & F.col("_minor").isNotNull()
+    error = F.when(~two_parts, _error("Unexpected folder name format: ", F.col(name))).when(
+        ~valid, _error("Unexpected version format: ", F.col(name))
+    )
+    return _as_struct(staged, into, valid, error)
+
+
+def parse_cohort_version(df: DataFrame, version: str, into: str = "parsed") -> DataFrame:
     """``Public_02_2`` to (``2_2_PUBLIC``, ``PUBLIC``, 2, 2); case does not matter."""
     pattern = r"(?i)^(public|consortium)_(\d+)_(\d+)$"
-    kind = F.upper(F.regexp_extract(version, pattern, 1))
-    major = F.regexp_extract(version, pattern, 2).try_cast("int")
-    minor = F.regexp_extract(version, pattern, 3).try_cast("int")
-    valid = F.coalesce((kind != "") & major.isNotNull() & minor.isNotNull(), F.lit(False))
-    error = F.when(~valid, F.concat(F.lit("Unexpected version format: "), F.coalesce(version, F.lit(""))))
-    return _release_struct(valid, major, minor, kind, error)
+    staged = df.withColumns({
+        "_major": F.regexp_extract(version, pattern, 2).try_cast("int"),
+        "_minor": F.regexp_extract(version, pattern, 3).try_cast("int"),
+        "_kind": F.upper(F.regexp_extract(version, pattern, 1)),
+    })
+    valid = F.coalesce(
+        (F.col("_kind") != "") & F.col("_major").isNotNull() & F.col("_minor").isNotNull(), F.lit(False)
+    )
+    error = F.when(~valid, _error("Unexpected version format: ", F.col(version)))
+    return _as_struct(staged, into, valid, error)
 
 
 def is_preview(version: Column) -> Column:

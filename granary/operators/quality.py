@@ -85,33 +85,24 @@ METRIC_FIELDS = ["views", "unique_views", "downloads", "unique_downloads"]
 FILLED_FIELDS = ["title", "date", "link"]
 
 
-def record_errors(record: Column, index: Column) -> Column:
-    """Error texts of one usage record given as a variant; empty when it is valid.
+def validate_records(df: DataFrame, record: str, index: str) -> DataFrame:
+    """One row (index, error) per fault, over all records given as variants.
 
     Working on the variant keeps apart a field that is absent, one that is
-    null, and one of the wrong type (a boolean or quoted number is not a count).
+    null, and one of the wrong type (a boolean or quoted number is not a
+    count).  Fields are taken out once, and faults are plain expressions over
+    them, so the whole check is one generated stage.
     """
-    at = F.concat(F.lit("record "), index.cast("string"))
-
-    def field(name: str) -> Column:
-        return F.try_variant_get(record, f"$.{name}", "variant")
-
-    absent = F.filter(
-        F.array(*[
-            F.when(field(f).isNull(), F.lit(f)).otherwise(F.lit(None).cast("string"))
-            for f in RECORD_FIELDS
-        ]),
-        lambda x: x.isNotNull(),
+    fields = {f: f"_field_{i}" for i, f in enumerate(RECORD_FIELDS)}
+    taken = df.select(
+        index, *[F.try_variant_get(record, f"$.{f}", "variant").alias(c) for f, c in fields.items()]
     )
-    errors = [
-        F.when(
-            F.size(absent) > 0,
-            F.concat(at, F.lit(" missing fields: "), F.array_join(absent, ", ")),
-        )
-    ]
+    at = F.concat(F.lit("record "), F.col(index).cast("string"))
+    absent = F.concat_ws(", ", *[F.when(F.col(c).isNull(), F.lit(f)) for f, c in fields.items()])
+    errors = [F.when(absent != "", F.concat(at, F.lit(" missing fields: "), absent))]
     for f in METRIC_FIELDS:
-        whole = F.schema_of_variant(field(f)) == "BIGINT"
-        fine = whole & (F.try_variant_get(record, f"$.{f}", "bigint") >= 0)
+        whole = F.schema_of_variant(F.col(fields[f])) == "BIGINT"
+        fine = whole & (F.try_variant_get(fields[f], "$", "bigint") >= 0)
         errors.append(
             F.when(
                 ~F.coalesce(fine, F.lit(False)),
@@ -119,15 +110,11 @@ def record_errors(record: Column, index: Column) -> Column:
             )
         )
     for f in FILLED_FIELDS:
-        text = F.try_variant_get(record, f"$.{f}", "string")
+        text = F.try_variant_get(fields[f], "$", "string")
         empty = F.coalesce(text, F.lit("")) == ""
         errors.append(F.when(empty, F.concat(at, F.lit(f" has empty '{f}'"))))
-    return F.filter(F.array(*errors), lambda e: e.isNotNull())
-
-
-def validate_records(df: DataFrame, record: str, index: str) -> DataFrame:
-    """One row (index, error) per fault, over all records."""
-    return df.select(index, F.explode(record_errors(F.col(record), F.col(index))).alias("error"))
+    faults = taken.select(index, F.explode(F.array(*errors)).alias("error"))
+    return faults.filter("error IS NOT NULL")
 
 
 def require_valid_records(df: DataFrame, record: str, index: str, shown: int = 1000) -> None:
@@ -153,19 +140,16 @@ def split_by_rules(
 
     A rule is a named boolean column; NULL counts as not satisfied.
     """
-    broken = F.filter(
-        F.array(*[
-            F.when(~F.coalesce(rule, F.lit(False)), F.lit(name)).otherwise(F.lit(None).cast("string"))
-            for name, rule in rules.items()
-        ]),
-        lambda x: x.isNotNull(),
+    broken = F.concat_ws(
+        "; ",
+        *[F.when(~F.coalesce(rule, F.lit(False)), F.lit(name)) for name, rule in rules.items()],
     )
     judged = df.withColumn("_broken", broken)
-    valid = judged.filter(F.size("_broken") == 0).drop("_broken")
+    valid = judged.filter("_broken = ''").drop("_broken")
     item = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns if c != index]))
-    errors = judged.filter(F.size("_broken") > 0).select(
+    errors = judged.filter("_broken != ''").select(
         F.col(index).alias("item_index"),
-        F.array_join("_broken", "; ").alias("error"),
+        F.col("_broken").alias("error"),
         item.alias("transformed_item"),
     )
     return valid, errors

@@ -231,11 +231,14 @@ def record_fields(items: DataFrame, entities: DataFrame) -> DataFrame:
     keys = aggregates.union_keys(
         items.join(entities.select(*pair, "annotations"), pair), "annotations", KEYS
     )
-    placed = keys.withColumn("folded", F.lower("key"))
-    firsts = placed.groupBy(*KEYS).agg(F.min(F.struct("folded", "key")).alias("_first"))
-    joined = placed.join(firsts, KEYS)
+    # the count keeps the distinct keys as the common input of both sides, so
+    # that their exchange is computed once and reused
+    firsts = keys.groupBy(*KEYS).agg(
+        F.min(F.struct(F.lower("key"), "key")).alias("_first"), F.count("key").alias("_n")
+    )
+    joined = keys.join(firsts.filter("_n > 0"), KEYS)
     return joined.select(
-        *KEYS, "key", "folded", (F.col("_first.key") == F.col("key")).alias("is_first")
+        *KEYS, "key", F.lower("key").alias("folded"), (F.col("_first.key") == F.col("key")).alias("is_first")
     )
 
 
@@ -262,33 +265,44 @@ def dataset_documents(
     # without the name column, which both sides of the joins below would carry
     keyed = shown.select(*KEYS, "object_key")
 
-    def fragments(df: DataFrame, section: str, line: Column, place: Column | None = None) -> DataFrame:
-        return df.select(
-            "object_key", F.lit(SECTIONS[section]).alias("section"),
-            (F.lit("") if place is None else place).alias("place"), line.alias("line"),
-        )
-
     record_set = F.lit(
         '],"recordSet":{"@type":"RecordSet","@id":"default","name":"default",'
         '"description":"Metadata for the dataset","field":['
     )
+    fixed = {
+        "head": _head(entity_url), "metadata": _metadata_file(entity_url),
+        "records": record_set, "tail": F.lit("]}}"),
+    }
+    frame = shown.select(
+        "object_key",
+        F.inline(F.array(*[
+            F.struct(
+                F.lit(SECTIONS[name]).alias("section"), F.lit("").alias("place"), line.alias("line")
+            )
+            for name, line in fixed.items()
+        ])),
+    )
+
+    def fragments(df: DataFrame, section: str, line: Column, place: Column) -> DataFrame:
+        return df.select(
+            "object_key", F.lit(SECTIONS[section]).alias("section"),
+            place.alias("place"), line.alias("line"),
+        )
+
     file_place = F.concat_ws(
         ".", F.col("file_id"), F.lpad(F.col("file_version").cast("string"), 10, "0")
     )
     field_line = F.concat(F.when(F.col("is_first"), F.lit("")).otherwise(F.lit(",")), _field_object())
     return ranking.stack(
-        fragments(shown, "head", _head(entity_url)),
-        fragments(shown, "metadata", _metadata_file(entity_url)),
+        frame,
         fragments(
             attached.join(keyed, KEYS), "file",
             F.concat(F.lit(","), _file_object(entity_url)), file_place,
         ),
-        fragments(shown, "records", record_set),
         fragments(
             record_fields(items, entities).join(keyed, KEYS), "field", field_line,
             F.concat_ws("\u0001", "folded", "key"),
         ),
-        fragments(shown, "tail", F.lit("]}}")),
     )
 
 

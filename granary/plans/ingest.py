@@ -23,42 +23,30 @@ def release_folders(listing: DataFrame, path: str = "path", folder: str = "folde
     A folder name that cannot be parsed fails the job once its rows are used.
     """
     kept = listing.filter(versions.valid_release_path(F.col(path)))
-    parsed = kept.withColumn("parsed", versions.parse_release(F.col(folder)))
-    return versions.raise_on_error(parsed, "parsed")
+    return versions.raise_on_error(versions.parse_release(kept, folder), "parsed")
 
 
-def main_releases(rows: DataFrame, folder: str, ingested_at: datetime | None = None) -> DataFrame:
-    """Rows of several main releases with their metadata; ``folder`` names the release."""
-    parsed = versions.raise_on_error(
-        rows.withColumn("_parsed", versions.parse_release(F.col(folder))), "_parsed"
-    )
-    p = F.col("_parsed")
+def main_releases(rows: DataFrame, parsed: str = "_parsed", ingested_at: datetime | None = None) -> DataFrame:
+    """Rows with the metadata of their main release, taken from the parsed version."""
+    p = F.col(parsed)
     tagged = filters.add_release_metadata(
-        parsed, p["release"], p["release_type"], p["major_version"], p["minor_version"],
+        rows, p["release"], p["release_type"], p["major_version"], p["minor_version"],
         ingested_at=ingested_at,
     )
-    return tagged.drop("_parsed", folder)
+    return tagged.drop(parsed)
 
 
 def cohort_releases(
-    rows: DataFrame, cohort: str, version: str, source_file: str, ingested_at: datetime | None = None
+    rows: DataFrame, cohort: str, source_file: str, parsed: str = "_parsed",
+    ingested_at: datetime | None = None,
 ) -> DataFrame:
-    """Rows of several cohort releases with their metadata.
-
-    ``cohort``, ``version`` and ``source_file`` name columns.  Previews are left
-    out, and an incoming ``cohort`` column gives way to the standard one.
-    """
-    kept = rows.filter(~versions.is_preview(F.col(version)))
-    parsed = versions.raise_on_error(
-        kept.withColumn("_parsed", versions.parse_cohort_version(F.col(version))), "_parsed"
-    ).withColumn("_cohort_name", F.upper(F.col(cohort))).withColumn("_source", F.col(source_file))
-    p = F.col("_parsed")
+    """Rows with the metadata of their cohort release; the cohort is stored in upper case."""
+    p = F.col(parsed)
     tagged = filters.add_release_metadata(
-        filters.drop_if_present(parsed, "cohort", cohort, version, source_file),
-        p["release"], p["release_type"], p["major_version"], p["minor_version"],
-        cohort=F.col("_cohort_name"), source_file=F.col("_source"), ingested_at=ingested_at,
+        rows, p["release"], p["release_type"], p["major_version"], p["minor_version"],
+        cohort=F.col(cohort), source_file=F.col(source_file), ingested_at=ingested_at,
     )
-    return tagged.drop("_parsed", "_cohort_name", "_source")
+    return tagged.drop(parsed, cohort, source_file)
 
 
 def file_name(path: Column) -> Column:
@@ -74,11 +62,12 @@ def ingest_main(
     ``folders`` maps a release folder name to its file.  All files are one scan;
     empty ones contribute no rows and so no partition.
     """
-    specs = [delimited.ReleaseSpec(name, [file], "", sep="\t", types=types or {}) for name, file in folders.items()]
-    rows = delimited.read_release_set(spark, specs).drop("_file", "_version")
-    tables.store_release(
-        main_releases(rows, "_cohort", ingested_at), path, MAIN_KEYS, overwrite_partition
-    )
+    specs = [
+        delimited.ReleaseSpec("", [file], "", version=name, sep="\t", types=types or {})
+        for name, file in folders.items()
+    ]
+    rows = delimited.read_release_set(spark, specs, versions.parse_release).drop("_file", "_cohort")
+    tables.store_release(main_releases(rows, ingested_at=ingested_at), path, MAIN_KEYS, overwrite_partition)
 
 
 def ingest_cohorts(
@@ -91,7 +80,7 @@ def ingest_cohorts(
     """
     rows = delimited.read_release_set(spark, specs).withColumn("_source_file", file_name(F.col("_file")))
     tables.store_release(
-        cohort_releases(rows.drop("_file"), "_cohort", "_version", "_source_file", ingested_at),
+        cohort_releases(rows.drop("_file"), "_cohort", "_source_file", ingested_at=ingested_at),
         path, COHORT_KEYS, overwrite_partition,
     )
 

@@ -7,7 +7,7 @@ inside a line is data.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -157,12 +157,17 @@ def _same_path(file: Column) -> Column:
     return F.url_decode(F.regexp_replace(F.replace(file, F.lit("+"), F.lit("%2B")), r"^[a-z0-9]+:/+", "/"))
 
 
-def read_release_set(spark: SparkSession, specs: Sequence[ReleaseSpec]) -> DataFrame:
+def read_release_set(
+    spark: SparkSession,
+    specs: Sequence[ReleaseSpec],
+    parse: Callable[[DataFrame, str, str], DataFrame] = versions.parse_cohort_version,
+) -> DataFrame:
     """All files of several deliveries of one table as one frame.
 
     One scan per separator and header covers all deliveries; each row finds its
-    cohort and version by the file it came from.  Previews are left out, and an
-    incoming ``cohort`` column gives way to the configured one.
+    ``_cohort`` and ``_parsed`` version by the file it came from.  Versions are
+    parsed once per file, and a bad one fails the job.  Previews are left out,
+    and an incoming ``cohort`` column gives way to the configured one.
     """
     chosen = [s for s in specs if not s.is_preview and s.files]
     if not chosen:
@@ -181,7 +186,9 @@ def read_release_set(spark: SparkSession, specs: Sequence[ReleaseSpec]) -> DataF
             spark,
             [(f, s.cohort, s.version) for s in same for f in s.files],
             "_owner_file string, _cohort string, _version string",
-        ).select(_same_path(F.col("_owner_file")).alias("_path"), "_cohort", "_version")
+        )
+        parsed = versions.raise_on_error(parse(owners, "_version", "_parsed"), "_parsed")
+        owners = parsed.select(_same_path(F.col("_owner_file")).alias("_path"), "_cohort", "_parsed")
         frames.append(
             rows.withColumn("_path", _same_path(F.col("_file"))).join(owners, "_path").drop("_path")
         )
