@@ -82,12 +82,16 @@ def numbered(df: DataFrame, order: Sequence[Column], name: str = "rank", start:
     """Consecutive numbers over all rows in the given order, without one big window.
 
     Rows are range-partitioned and sorted; each task numbers its own rows, and
-    the task offsets come from a running sum over one row per task.  The sorted
-    rows are checkpointed in between, so that both reads see the same ranges.
+    the task offsets come from a running sum over one row per task.  A hash of
+    the row is the last sort key, so rows that tie do not all meet in one task.
+    The sorted rows are checkpointed in between, so that both reads see the
+    same ranges.
     """
+    hashable = [f"`{c}`" for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+    keys = [*order, F.xxhash64(*hashable)]
     placed = (
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
+        df.repartitionByRange(*keys)
+        .sortWithinPartitions(*keys)
         .withColumn("_task", F.spark_partition_id())
         .withColumn("_place", F.monotonically_increasing_id())
     )

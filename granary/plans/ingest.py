@@ -50,7 +50,7 @@ def cohort_releases(
 
 
 def file_name(path: Column) -> Column:
-    return F.url_decode(F.element_at(F.split(path, "/"), -1))
+    return F.element_at(F.split(path, "/"), -1)
 
 
 def ingest_main(

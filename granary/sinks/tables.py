@@ -69,20 +69,14 @@ def append(df: DataFrame, name: str, **options) -> None:
     _writer(df, options).mode("append").saveAsTable(name)
 
 
-def by_partition(df: DataFrame, keys: Sequence[str], salt: int = 16) -> DataFrame:
-    """Lay rows out by partition, each partition spread over up to ``salt`` tasks.
+def by_partition(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Lay rows out by partition for writing.
 
-    Without it every task would write a file into every partition; with the
-    keys alone a partition holding a third of all rows would be one task.
+    Rebalancing keeps every task from writing a file into every partition;
+    adaptive execution merges small partitions and splits one that holds a
+    large part of the rows over several tasks.
     """
-    return df.repartition(*keys, F.pmod(F.xxhash64(*_plain(df, keys)), F.lit(salt)))
-
-
-def _plain(df: DataFrame, keys: Sequence[str]) -> list[Column]:
-    rest = [f"`{c}`" for c in df.columns if c not in keys]
-    kinds = dict(df.dtypes)
-    hashable = [c for c in rest if not kinds[c.strip("`")].startswith(("map", "variant"))]
-    return [F.col(c) for c in (hashable or [f"`{k}`" for k in keys])]
+    return df.hint("rebalance", *keys)
 
 
 def replace_partition(df: DataFrame, path: str, keys: Sequence[str]) -> None:

@@ -32,6 +32,11 @@ def separator_for(file_name: str = "", table: str = "") -> str:
     return "\t" if tabbed else ","
 
 
+def _plain_path(file: Column) -> Column:
+    """The path without URL quoting, as readers take it."""
+    return F.url_decode(F.replace(file, F.lit("+"), F.lit("%2B")))
+
+
 def header_groups(spark: SparkSession, paths: Sequence[str], comment: str | None = "#") -> dict[str, list[str]]:
     """Files by their header line.
 
@@ -41,7 +46,7 @@ def header_groups(spark: SparkSession, paths: Sequence[str], comment: str | None
     """
     lines = spark.read.text(list(paths)).select(
         F.col("value"),
-        F.col("_metadata.file_path").alias("file"),
+        _plain_path(F.col("_metadata.file_path")).alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
     )
     lines = lines.filter((F.col("block") == 0) & (F.length(F.trim("value")) > 0))
@@ -82,7 +87,7 @@ def read_delimited(
     for files in groups:
         frame = reader.csv(files)
         if file_column:
-            frame = frame.select("*", F.col("_metadata.file_path").alias(file_column))
+            frame = frame.select("*", _plain_path(F.col("_metadata.file_path")).alias(file_column))
         frames.append(frame)
     return cast_columns(stack(*frames), types or {})
 
@@ -152,9 +157,9 @@ class ReleaseSpec:
         return self.version.startswith(versions.PREVIEW_PREFIX)
 
 
-def _same_path(file: Column) -> Column:
-    """Compare paths without scheme and without URL quoting."""
-    return F.url_decode(F.regexp_replace(F.replace(file, F.lit("+"), F.lit("%2B")), r"^[a-z0-9]+:/+", "/"))
+def _same_path(path: Column) -> Column:
+    """A path without its scheme, to compare given with reported paths."""
+    return F.regexp_replace(path, r"^[a-z0-9]+:/+", "/")
 
 
 def read_release_set(
