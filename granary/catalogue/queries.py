@@ -17,7 +17,7 @@ from granary.operators import aggregates, filters, joins, quality, ranking
 from granary.plans import (
     catalog, documents, ingest, intake, leaderboards, matrix, platform, reports, runs, tracking,
 )
-from granary.session import scratch_path
+from granary.session import cut_lineage, scratch_path
 from granary.sinks import files as file_sinks, tables as table_sinks
 from granary.sources import delimited, documents as json_sources
 from granary.streaming import jobs
@@ -328,9 +328,9 @@ def _usage_pages(t: Tables) -> DataFrame:
     page = (F.floor(F.col("p_partkey") / reports.PAGE_SIZE) + 1).alias("page")
     pages = rows.groupBy(page).agg(F.array_sort(F.collect_list("record")).alias("records"))
     total = t.raw("part").agg(F.count(F.lit(1))).scalar()
-    return pages.select(
+    return cut_lineage(pages.select(
         "page", F.struct(F.col("records").alias("hits"), total.alias("total")).alias("hits")
-    )
+    ))
 
 
 @query
