@@ -207,7 +207,8 @@ class Tables:
         """Line items as samples of monthly cohort releases; the return flag is the cohort."""
         patients = self.raw("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
         lines = self.raw("lineitem").select("l_orderkey", "l_returnflag", "l_shipdate")
-        return lines.join(patients, "l_orderkey").select(
+        # a left join, which drops out where only cohort and version are wanted
+        return lines.join(patients, "l_orderkey", "left").select(
             F.concat(F.lit("S"), F.col("l_orderkey").cast("string")).alias("PANEL_SAMPLE_ID"),
             F.concat(F.lit("P"), F.col("o_custkey").cast("string")).alias("RECORD_ID"),
             F.col("l_returnflag").alias("COHORT"),

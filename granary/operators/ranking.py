@@ -10,22 +10,34 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from granary.session import cut_lineage
 
 
+def _versions(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Distinct complete versions with their number of rows.
+
+    The count is used further up on purpose: without it the optimizer drops
+    this step as redundant below a maximum, and the maximum of a struct would
+    sort every row instead of hashing it.
+    """
+    return df.select(*columns).dropna().groupBy(*columns).agg(F.count(F.lit(1)).alias("_rows"))
+
+
 def latest_by(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
     """The highest version per key.
 
     Versions are made distinct first (hash aggregation, combined map-side), so
     a key holding most of the rows contributes a handful of rows to the rest.
     """
-    versions = df.select(*keys, *order_cols).dropna().distinct()
-    top = versions.groupBy(*keys).agg(F.max(F.struct(*order_cols)).alias("_top"))
-    return top.select(*keys, *[F.col("_top")[c].alias(c) for c in order_cols])
+    top = _versions(df, [*keys, *order_cols]).groupBy(*keys).agg(
+        F.max(F.struct(*order_cols)).alias("_top"), F.sum("_rows").alias("_rows")
+    )
+    return top.filter("_rows > 0").select(*keys, *[F.col("_top")[c].alias(c) for c in order_cols])
 
 
 def latest_global(df: DataFrame, order_cols: Sequence[str]) -> DataFrame:
     """The single highest version, as one row; no row for an empty table."""
-    versions = df.select(*order_cols).dropna().distinct()
-    top = versions.agg(F.max(F.struct(*order_cols)).alias("_top")).filter("_top IS NOT NULL")
-    return top.select(*[F.col("_top")[c].alias(c) for c in order_cols])
+    top = _versions(df, order_cols).agg(
+        F.max(F.struct(*order_cols)).alias("_top"), F.sum("_rows").alias("_rows")
+    )
+    return top.filter("_rows > 0").select(*[F.col("_top")[c].alias(c) for c in order_cols])
 
 
 def _digest(keys: Sequence[str]) -> Column:

@@ -27,6 +27,7 @@ class Day:
 
     asof: date | str
     hours: int = 24
+    collapse = False
 
     def apply(self, events: DataFrame) -> DataFrame:
         return filters.on_lookback_day(events, "record_date", self.hours, self.asof)
@@ -38,6 +39,7 @@ class Trailing:
 
     asof: date | str
     days: int = 30
+    collapse = False
 
     def apply(self, events: DataFrame) -> DataFrame:
         return filters.trailing_days(events, "record_date", self.days, self.asof)
@@ -45,7 +47,9 @@ class Trailing:
 
 @dataclass(frozen=True)
 class AllTime:
-    """Every event."""
+    """Every event; users come back to the same files, so events are collapsed first."""
+
+    collapse = True
 
     def apply(self, events: DataFrame) -> DataFrame:
         return events
@@ -54,15 +58,21 @@ class AllTime:
 Window = Day | Trailing | AllTime
 
 
-def _sized_downloads(events: DataFrame, project_ids: DataFrame, files: DataFrame) -> DataFrame:
-    """Collapsed events of some projects with file sizes.
+def _sized_downloads(
+    events: DataFrame, project_ids: DataFrame, files: DataFrame, window: Window
+) -> DataFrame:
+    """Events of some projects in the window, with file sizes.
 
-    Order matters at scale: time range in the scan, project filter, collapse
-    map-side, and only then the join with the large file table.
+    Order matters at scale: time range in the scan, project filter against a
+    small list, then the join with the large file table.  Long histories are
+    collapsed per (project, file, user) before that join, which costs one
+    evenly spread shuffle and spares the join all repeats; a day or a month has
+    few repeats and goes straight to the join, whose skewed side may be split.
     """
-    kept = events.join(project_ids, "project_id", "left_semi")
+    kept = window.apply(events).join(project_ids, "project_id", "left_semi")
     sizes = files.select(F.col("id").alias("file_handle_id"), "content_size")
-    return aggregates.collapse_downloads(kept).join(sizes, "file_handle_id")
+    rows = aggregates.collapse_downloads(kept) if window.collapse else kept
+    return rows.join(sizes, "file_handle_id")
 
 
 def leaderboard(
@@ -84,7 +94,7 @@ def leaderboard(
     projects = settled_small(
         filters.public_projects(nodes, exclude_id).select("project_id", "name"), MAX_SETTLED_PROJECTS
     )
-    sized = _sized_downloads(window.apply(events), projects.select("project_id"), files)
+    sized = _sized_downloads(events, projects.select("project_id"), files, window)
     stats = aggregates.download_stats(sized, ["project_id"], approx).join(projects, "project_id")
     columns = [text.prefixed_id(F.col("project_id")).alias("project"), *PROJECT_COLUMNS[1:]]
     return ranking.rank_desc(stats.select(*columns), sort_by, ["project"])
@@ -117,12 +127,12 @@ def group_leaderboard(
 ) -> DataFrame:
     """Leaderboard per configured group of projects; a project may count in several groups.
 
-    Events are collapsed once for all member projects, and only the collapsed
-    rows are multiplied by group membership.
+    Events of all member projects are selected and sized once, and only then
+    multiplied by group membership.
     """
     members = settled_small(group_members(nodes, groups), MAX_SETTLED_PROJECTS)
     keys = ["group_name", "file_view_id"]
-    sized = _sized_downloads(window.apply(events), members.select("project_id"), files)
+    sized = _sized_downloads(events, members.select("project_id").distinct(), files, window)
     bridged = joins.bridge(sized, members.drop("project_name"), "project_id")
     stats = joins.with_group_totals(
         aggregates.group_download_stats(bridged, keys, approx),

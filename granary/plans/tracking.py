@@ -8,7 +8,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from granary.operators import aggregates, filters, joins, quality, ranking
-from granary.session import settled_small
 from granary.sinks.tables import refresh_and_export
 
 KEYS = ["SAMPLE_ID", "PATIENT_ID"]
@@ -71,14 +70,14 @@ def main_pairs(main: DataFrame, layout: Layout) -> DataFrame:
     """Pairs of the single latest main release."""
     version = ["MAJOR_VERSION", "MINOR_VERSION"]
     latest = ranking.latest_global(main, version)
-    rows = joins.only_latest(main, settled_small(latest, 1), version)
+    rows = joins.only_latest(main, latest, version)
     return _pairs(rows, "SAMPLE_ID", "PATIENT_ID", F.col("RELEASE"), F.lit(layout.main))
 
 
 def cohort_pairs(cohorts: DataFrame, layout: Layout, sample_key: str, patient_key: str) -> DataFrame:
     """Pairs of the latest release of every cohort."""
     version = ["MAJOR_VERSION", "MINOR_VERSION"]
-    latest = settled_small(ranking.latest_by(cohorts, ["COHORT"], version))
+    latest = ranking.latest_by(cohorts, ["COHORT"], version)
     rows = joins.only_latest(cohorts, latest, ["COHORT", *version])
     kind = F.concat(F.lit(layout.cohort_prefix), F.col("COHORT").cast("string"))
     return _pairs(rows, sample_key, patient_key, F.col("RELEASE"), kind)

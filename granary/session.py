@@ -12,7 +12,7 @@ import uuid
 from collections.abc import Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
@@ -105,6 +105,12 @@ def settled_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
     return df.sparkSession.createDataFrame(table, df.schema)
 
 
+def bounded_rows(df: DataFrame, max_rows: int) -> list[Row] | None:
+    """All rows when there are at most ``max_rows``, otherwise None."""
+    rows = df.limit(max_rows + 1).collect()
+    return rows if len(rows) <= max_rows else None
+
+
 def is_directory(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` is a folder on the file system Spark reads it from."""
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
