@@ -11,13 +11,14 @@ from granary.session import cut_lineage
 
 
 def _versions(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Distinct complete versions with their number of rows.
+    """Distinct complete versions with a mark.
 
-    The count is used further up on purpose: without it the optimizer drops
+    The mark is used further up on purpose: without it the optimizer drops
     this step as redundant below a maximum, and the maximum of a struct would
-    sort every row instead of hashing it.
+    sort every row instead of hashing it.  Being a maximum itself, it still
+    lets outer joins that only add columns drop out.
     """
-    return df.select(*columns).dropna().groupBy(*columns).agg(F.count(F.lit(1)).alias("_rows"))
+    return df.select(*columns).dropna().groupBy(*columns).agg(F.max(F.lit(1)).alias("_seen"))
 
 
 def latest_by(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
@@ -27,17 +28,17 @@ def latest_by(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) ->
     a key holding most of the rows contributes a handful of rows to the rest.
     """
     top = _versions(df, [*keys, *order_cols]).groupBy(*keys).agg(
-        F.max(F.struct(*order_cols)).alias("_top"), F.sum("_rows").alias("_rows")
+        F.max(F.struct(*order_cols)).alias("_top"), F.max("_seen").alias("_seen")
     )
-    return top.filter("_rows > 0").select(*keys, *[F.col("_top")[c].alias(c) for c in order_cols])
+    return top.filter("_seen = 1").select(*keys, *[F.col("_top")[c].alias(c) for c in order_cols])
 
 
 def latest_global(df: DataFrame, order_cols: Sequence[str]) -> DataFrame:
     """The single highest version, as one row; no row for an empty table."""
     top = _versions(df, order_cols).agg(
-        F.max(F.struct(*order_cols)).alias("_top"), F.sum("_rows").alias("_rows")
+        F.max(F.struct(*order_cols)).alias("_top"), F.max("_seen").alias("_seen")
     )
-    return top.filter("_rows > 0").select(*[F.col("_top")[c].alias(c) for c in order_cols])
+    return top.filter("_seen = 1").select(*[F.col("_top")[c].alias(c) for c in order_cols])
 
 
 def _digest(keys: Sequence[str]) -> Column:
