@@ -69,8 +69,9 @@ def scan(docs: DataFrame, rows=None, min_containment: float = MIN_CONTAINMENT) -
     all_goals = sorted({h for r in known.select("goal").collect() for h in r["goal"]})
     literal = "array(" + ", ".join(f"{h}L" if h > -(2**63) else "-9223372036854775807L - 1L" for h in all_goals) + ")"
     text = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    words = text.select("doc_id", F.expr(_WORDS.format(text="text")).alias("words"))
-    hashed = words.select("doc_id", F.expr(_shingles("words")).alias("h")).where(F.expr(f"arrays_overlap(h, {literal})"))
+    # explode of one element keeps Catalyst from working the words out again inside every use of them
+    words = text.select("doc_id", F.explode(F.array(F.expr(_WORDS.format(text="text")))).alias("words"))
+    hashed = words.select("doc_id", F.explode(F.array(F.expr(_shingles("words")))).alias("h")).where(F.expr(f"arrays_overlap(h, {literal})"))
     hits = F.expr(f"filter(transform(h, (x, i) -> if(array_contains({literal}, x), i, -1)), i -> i >= 0)")
     wide = hashed.withColumn("hits", hits).withColumn("width", F.explode(F.array(*[F.lit(s) for s in SIZES])))
     # window number w covers shingles w * width / 2 .. w * width / 2 + width
@@ -79,12 +80,12 @@ def scan(docs: DataFrame, rows=None, min_containment: float = MIN_CONTAINMENT) -
             "let_windows(i)", "if(i < width / 2, array(0), array(int(i div (width div 2)) - 1, int(i div (width div 2))))"
         )))
     )
-    windows = wide.select("doc_id", "width", "w", F.expr("slice(h, cast(w * width / 2 as int) + 1, width)").alias("part"))
+    windows = wide.select("doc_id", "width", "w", F.expr("explode(array(slice(h, cast(w * (width div 2) + 1 as int), width)))").alias("part"))
     probes = windows.withColumn("b", F.explode(F.expr(_bands("part")))).select("doc_id", "width", "w", "part", "b.*")
     goals = known.withColumn("b", F.explode(F.expr(_bands("goal")))).select("template", "license", "width", "goal", "b.*")
     found = probes.join(goals, ["width", "band", "low"])
     share = F.size(F.array_intersect("part", "goal")) / F.size("goal")
-    found = found.select("doc_id", "license", "template", share.alias("containment"), F.expr("cast(w * width / 2 as int)").alias("at"))
+    found = found.select("doc_id", "license", "template", share.alias("containment"), F.expr("cast(w * (width div 2) as int)").alias("at"))
     found = found.where(F.col("containment") >= min_containment)
     best = F.max(F.struct(F.col("containment"), (-F.col("at")).alias("at")))
     return found.groupBy("doc_id", "license", "template").agg(best.alias("best")).select(

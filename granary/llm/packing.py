@@ -172,7 +172,7 @@ def pack(
         layout = Layout(plan, window)
         for b in batches:
             out = []
-            for doc_id, source, at, total, raw in zip(b.doc_id, b.source, b.at, b.doc_tokens, b.ids):
+            for doc_id, source, at, total, raw in zip(b["doc_id"], b["source"], b["at"], b["doc_tokens"], b["ids"]):
                 queue = name[source]
                 for start, n, where in layout.pieces(queue, int(at) + base[source], int(total)):
                     crc = zlib.crc32(memoryview(raw)[4 * start : 4 * (start + n)])
