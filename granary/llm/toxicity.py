@@ -11,6 +11,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 from granary.llm.common import held_out, materialised
 
@@ -59,7 +60,7 @@ def features(text: str | None) -> list[float]:
 
 
 def with_features(docs: DataFrame, keep: list[str]) -> DataFrame:
-    schema = docs.select(*keep).schema.add("features", "array<double>")
+    schema = docs.select(*keep).schema.add("features", ArrayType(DoubleType()))
     narrow = docs.select(*keep) if "text" in keep else docs.select(*keep, "text")
 
     def featured(batches):

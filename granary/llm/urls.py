@@ -12,6 +12,7 @@ import xxhash
 from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 # Host and path of the rules of the registered query, and its blocked hosts
 RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
@@ -125,4 +126,4 @@ def judge(
             ]
             yield out
 
-    return rows.mapInPandas(judged, rows.schema.add("rule", "string").add("verdict", "string"))
+    return rows.mapInPandas(judged, StructType(rows.schema.fields + [StructField("rule", StringType()), StructField("verdict", StringType())]))
