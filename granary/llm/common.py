@@ -69,6 +69,9 @@ def shingles(word_hashes: np.ndarray, width: int) -> np.ndarray:
     width_here = min(width, n)
     with np.errstate(over="ignore"):
         out = np.full(n - width_here + 1, np.uint64(width_here), np.uint64)
+        factor = _M1
         for k in range(width_here):
-            out = mix64(out * np.uint64(31) + word_hashes[k : n - width_here + 1 + k])
+            out += word_hashes[k : n - width_here + 1 + k] * factor
+            factor = factor * _M2  # odd, another one for every place
+        out = mix64(out)
     return np.unique(out)

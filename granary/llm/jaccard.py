@@ -19,6 +19,9 @@ from granary.llm.common import WordHashes, materialised, mix64, shingles
 
 _WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+CHUNK = 200  # texts handed on at a time
+REMEMBERED = 500_000  # names of sets a task remembers
+SPARE = 8  # one part in so many is beyond the most in which a link can differ
 _STEP = 1.5  # ratio of the sizes at the two ends of a size class
 
 
@@ -26,6 +29,13 @@ def shingle_set(text: str | None, hashes: WordHashes, width: int = 4) -> np.ndar
     return shingles(hashes(_WORDS.findall((text or "").translate(_LOWER))), width)
 
 
+def set_name(s: np.ndarray) -> tuple[int, int]:
+    """Two 64-bit sums over a set: its name as a node, and a check of it."""
+    with np.errstate(over="ignore"):
+        a, b = mix64(s).sum(dtype=np.uint64), np.bitwise_xor.reduce(mix64(s + np.uint64(9)))
+    return int(np.uint64(a).view(np.int64)), int(np.uint64(b).view(np.int64))
+
+
 def size_class(n: int) -> int:
     return int(np.floor(np.log(n) / np.log(_STEP) + 1e-9))
 
@@ -35,21 +45,21 @@ def class_top(level: int) -> int:
     return int(np.floor(_STEP ** (level + 1) + 1e-6))
 
 
-def part_keys(s: np.ndarray, num: int, den: int) -> np.ndarray:
-    """Keys of every part, for all classes of the larger document of a link.
+def part_keys(s: np.ndarray, num: int, den: int) -> tuple[np.ndarray, int]:
+    """Keys of every part, for all classes of the larger document of a link, and the most parts a class leaves empty.
 
     With sizes a <= b a link needs at least i = ceil(num (a + b) / (num + den)) common shingles, so the two differ
     in at most a + b - 2 i.  A document whose filled parts are no more than that also gives its empty parts.
     """
     n = len(s)
-    out = []
+    out, empty = [], 0
     largest = n * den // num
     for level in range(size_class(n), size_class(max(largest, n)) + 1):
         # the number of parts depends on the class alone
         differ = 2 * class_top(level) * (den - num) // (num + den)
         if differ == 0:
             continue  # such sets link only when equal
-        parts = differ + max(2, differ // 16)
+        parts = differ + max(2, differ // SPARE)
         with np.errstate(over="ignore"):
             spread = mix64(s + np.uint64(level + 1))
             place = (spread >> np.uint64(33)).astype(np.int64) % parts
@@ -58,9 +68,17 @@ def part_keys(s: np.ndarray, num: int, den: int) -> np.ndarray:
             np.add.at(sums, place, code)
             filled = np.bincount(place, minlength=parts) > 0
             named = mix64(sums ^ mix64(np.arange(parts, dtype=np.uint64) + np.uint64(level << 32)))
+        empty = max(empty, parts - int(filled.sum()))
         chosen = named if filled.sum() <= differ else named[filled]
         out.append(chosen.view(np.int64))
-    return np.concatenate(out) if out else np.empty(0, np.int64)
+    return (np.concatenate(out) if out else np.empty(0, np.int64)), empty
+
+
+def least_common(n: str, empty: str, num: int, den: int) -> str:
+    """SQL for the fewest keys that a link shares, ``n`` being the larger size and ``empty`` the fewer empty parts."""
+    top = f"cast(floor(pow({_STEP}, floor(ln({n}) / ln({_STEP}) + 1e-9) + 1) + 1e-6) as bigint)"
+    differ = f"((2 * {top} * {den - num}) div {num + den})"
+    return f"greatest(1, greatest(2, {differ} div {SPARE}) - {empty})"
 
 
 def components(spark, edges: DataFrame) -> DataFrame:
@@ -94,57 +112,71 @@ def join(docs: DataFrame, num: int = 85, den: int = 100, width: int = 4) -> Data
     with equal sets form a class first, and only one of each class is compared.
     """
     spark = docs.sparkSession
-
-    def sets(batches):
-        hashes = WordHashes()
-        for b in batches:
-            found = [shingle_set(t, hashes, width) for t in b.text]
-            name = []
-            for s in found:
-                with np.errstate(over="ignore"):
-                    name.append(
-                        None if len(s) == 0 else
-                        f"{int(mix64(s).sum(dtype=np.uint64)):016x}{int(np.bitwise_xor.reduce(mix64(s + np.uint64(9)))):016x}"
-                    )
-            yield pd.DataFrame({
-                "doc_id": b.doc_id, "n_shingles": [len(s) for s in found], "name": name,
-                "tokens": [s.tobytes() for s in found],
-            })
-
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found = plain.mapInPandas(sets, "doc_id long, n_shingles long, name string, tokens binary")
-    found = materialised(found, "jaccard-sets")
-    reps = found.where(F.col("name").isNotNull()).groupBy("name").agg(F.min("doc_id").alias("rep"))
-    reps = materialised(reps, "jaccard-classes")
-    # one row per class: the row of the representative (repeated rows of it are equal sets)
-    unique = found.where(F.col("name").isNotNull()).join(
-        reps.select("name", F.col("rep").alias("doc_id")), ["name", "doc_id"]
-    ).dropDuplicates(["doc_id", "name"]).select(F.col("name").alias("id"), "n_shingles", "tokens")
-    unique = materialised(unique, "jaccard-unique")
 
-    def keyed(batches):
+    def sets(batches):
+        hashes, seen = WordHashes(), set()
         for b in batches:
-            for lo in range(0, len(b), 200):
-                rows = b.iloc[lo : lo + 200]
-                found = [part_keys(np.frombuffer(raw, np.uint64), num, den) for raw in rows.tokens]
-                sizes = [len(k) for k in found]
+            for lo in range(0, len(b), CHUNK):
+                rows = b.iloc[lo : lo + CHUNK]
+                sizes, names, checks, keys, empty = [], [], [], [], []
+                for t in rows.text:
+                    s = shingle_set(t, hashes, width)
+                    name, check = set_name(s)
+                    sizes.append(len(s))
+                    names.append(name)
+                    checks.append(check)
+                    # a task gives the keys of equal sets once; forgetting some only repeats them
+                    got, none = part_keys(s, num, den) if len(s) and name not in seen else (None, 0)
+                    keys.append(got)
+                    empty.append(none)
+                    if len(seen) >= REMEMBERED:
+                        seen.clear()
+                    seen.add(name)
                 yield pd.DataFrame({
-                    "key": np.concatenate(found), "short": np.repeat(rows.short.to_numpy(), sizes),
-                    "n": np.repeat(rows.n_shingles.to_numpy(), sizes),
-                })
+                    "doc_id": rows.doc_id.array, "n_shingles": sizes, "short": names, "check": checks, "keys": keys,
+                    "empty": empty,
+                }).astype({"doc_id": "Int64"})
 
-    keys = unique.select(F.xxhash64("id").alias("short"), "n_shingles", "tokens").mapInPandas(keyed, "key long, short long, n int")
+    schema = "doc_id long, n_shingles long, short long, check long, keys array<long>, empty int"
+    found = materialised(plain.mapInPandas(sets, schema), "jaccard-sets")
+    reps = found.where("n_shingles > 0").groupBy("short", "check").agg(F.min("doc_id").alias("rep"))
+    reps = materialised(reps, "jaccard-classes")
+    keys = found.where("keys is not null").select("short", F.col("n_shingles").cast("int").alias("n"), "empty", F.explode("keys").alias("key"))
+    # most keys occur once: only those that come again go on
+    again = materialised(keys.groupBy("key").count().where("count > 1").select("key"), "jaccard-again")
+    shared = materialised(keys.join(again, "key"), "jaccard-shared")
     # groups of at least two members: their pivot, and the largest and smallest set of the union
-    groups = keys.groupBy("key").agg(
+    groups = shared.groupBy("key").agg(
         F.min("short").alias("pivot"), F.max("short").alias("last"), F.max("n").alias("largest"), F.min("n").alias("smallest")
     ).where("pivot <> last").drop("last")
-    groups = materialised(groups, "jaccard-groups")
-    members = keys.join(groups, "key").where(
+    members = shared.join(groups, "key").where(
         # a union whose members are all too small or too large for the query cannot hold a link
         (F.col("n") * num <= F.col("largest") * den) & (F.col("smallest") * num <= F.col("n") * den)
-    ).select("key", "short", "pivot", "n")
+    ).select("key", "short", "pivot", "n", "empty").distinct()
     members = materialised(members, "jaccard-members")
-    bodies = unique.select(F.xxhash64("id").alias("short"), "tokens", "n_shingles")
+    # sets that share fewer keys with all others together than a link shares are left closed
+    able = members.groupBy("short").agg(F.count("*").alias("c"), F.max("n").alias("n"), F.max("empty").alias("empty"))
+    able = able.where("c >= " + least_common("n", "empty", num, den)).select("short")
+    members = materialised(members.join(able, "short"), "jaccard-able")
+    # the shingles of what is opened, worked out again from the representative's text
+    opened = reps.join(members.select("short").distinct(), "short").select(F.col("rep").alias("doc_id"), "short").distinct()
+    opened = materialised(opened, "jaccard-opened")
+
+    def bodied(batches):
+        hashes = WordHashes()
+        for b in batches:
+            for lo in range(0, len(b), CHUNK):
+                rows = b.iloc[lo : lo + CHUNK]
+                out = []
+                for short, t in zip(rows.short, rows.text):
+                    s = shingle_set(t, hashes, width)
+                    if set_name(s)[0] == short:  # another row may carry the same id
+                        out.append((short, s.tobytes()))
+                yield pd.DataFrame(out, columns=["short", "tokens"])
+
+    # repeated rows give repeated bodies, which only repeat a link
+    bodies = materialised(plain.join(opened, "doc_id").mapInPandas(bodied, "short long, tokens binary"), "jaccard-bodies")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that link."""
@@ -163,28 +195,40 @@ def join(docs: DataFrame, num: int = 85, den: int = 100, width: int = 4) -> Data
 
         return materialised(rows.mapInPandas(check, "a long, b long"), "jaccard-links")
 
-    stars = members.where("short <> pivot").select(F.col("pivot").alias("a"), F.col("short").alias("b")).distinct()
+    sizes = members.select(F.col("short").alias("a"), F.col("n").alias("na"), F.col("empty").alias("ea")).distinct()
+    stars = members.where("short <> pivot").groupBy(F.col("pivot").alias("a"), F.col("short").alias("b")).agg(
+        F.count("*").alias("c"), F.max("n").alias("nb"), F.max("empty").alias("eb")
+    )
+    fits = f"least(na, nb) * {den} >= greatest(na, nb) * {num} and c >= " + least_common(
+        "greatest(na, nb)", "least(ea, eb)", num, den
+    )
+    # a pivot leads only some of the groups it shares with a set, so what fails here is looked at again below
+    stars = materialised(stars.join(sizes, "a").where(fits).select("a", "b"), "jaccard-stars")
     links = verified(stars)
     label = components(spark, links)
     # members of one group that the pivot did not bring together: every pair of them across components
     named = members.join(label, members.short == label.node, "left").select(
-        "key", "short", "n", F.coalesce("component", "short").alias("component")
+        "key", "short", "n", "empty", F.coalesce("component", "short").alias("component")
     )
     mixed = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
     open_ = materialised(named.join(mixed.select("key"), "key"), "jaccard-open")
-    left = open_.select("key", F.col("short").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"))
-    right = open_.select("key", F.col("short").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"))
-    rest = left.join(right, "key").where(
-        "a < b and ca <> cb and least(na, nb) * {0} >= greatest(na, nb) * {1}".format(den, num)
-    ).select("a", "b").distinct()
+    left, right = (
+        open_.select("key", *[F.col(c).alias(d + x) for c, d in (("short", ""), ("component", "c"), ("n", "n"), ("empty", "e"))])
+        for x in "ab"
+    )
+    rest = left.join(right, "key").where(f"a < b and ca <> cb and least(na, nb) * {den} >= greatest(na, nb) * {num}")
+    # all common groups of sets in two components are open here
+    rest = rest.groupBy("a", "b").agg(F.count("*").alias("c"), *[F.max(x).alias(x) for x in ("na", "nb", "ea", "eb")])
+    rest = rest.where(fits).select("a", "b")
     rest = rest.join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+    rest = materialised(rest, "jaccard-rest")
     label = components(spark, links.unionByName(verified(rest)))
     # the smallest document of every component, through the classes
-    classes = reps.withColumn("short", F.xxhash64("name")).join(label, F.col("short") == label.node, "left")
-    classes = classes.select("name", "rep", F.coalesce("component", "short").alias("component"))
+    classes = reps.join(label, F.col("short") == label.node, "left")
+    classes = classes.select("short", "check", "rep", F.coalesce("component", "short").alias("component"))
     lowest = classes.groupBy("component").agg(F.min("rep").alias("component_id"))
-    named = classes.join(lowest, "component").select("name", "component_id")
-    return found.select("doc_id", "n_shingles", "name").join(named, "name", "left").select(
+    named = classes.join(lowest, "component").select("short", "check", "component_id")
+    return found.select("doc_id", "n_shingles", "short", "check").join(named, ["short", "check"], "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
     )
 
