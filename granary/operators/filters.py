@@ -7,7 +7,7 @@ the column, so that they reach the parquet scan and prune partitions.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -102,23 +102,26 @@ def up_to_month(df: DataFrame, ts: str, month: date | str) -> DataFrame:
 
 
 def trailing_days(df: DataFrame, day: str, n: int, asof: date | str) -> DataFrame:
-    """Half-open window ``(asof - n, asof]`` on a column of day grain."""
+    """Rows of the ``n`` days that end with ``asof``, all of that day included."""
     last = dates.as_date(asof)
     first = dates.lookback_moment(last, 24 * n).date()
+    one = timedelta(days=1)
     return df.filter(
-        (F.col(day) > _lower_bound(df, day, first)) & (F.col(day) <= _lower_bound(df, day, last))
+        (F.col(day) >= _lower_bound(df, day, first + one)) & (F.col(day) < _lower_bound(df, day, last + one))
     )
 
 
 def on_lookback_day(df: DataFrame, day: str, hours: int, asof: date | str) -> DataFrame:
-    """Equality with midnight of ``asof`` minus ``hours``.
+    """Rows of the day that begins at midnight of ``asof`` minus ``hours``.
 
-    For hours that are not whole days no row of day grain can match.
+    Hours that are not whole days name no day, so no row matches.
     """
-    moment = dates.lookback_moment(asof, hours)
-    if hours % 24 and isinstance(df.schema[day].dataType, T.DateType):
+    if hours % 24:
         return df.filter(F.lit(False))
-    return df.filter(F.col(day) == _lower_bound(df, day, moment))
+    first = dates.lookback_moment(asof, hours).date()
+    return df.filter(
+        (F.col(day) >= _lower_bound(df, day, first)) & (F.col(day) < _lower_bound(df, day, first + timedelta(days=1)))
+    )
 
 
 def created_since(df: DataFrame, ts: str, days: int, asof: date | datetime | str) -> DataFrame:

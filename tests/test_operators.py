@@ -42,6 +42,14 @@ def test_lookback_day(spark, hours, found):
     assert filters.on_lookback_day(df, "d", hours, "2024-06-30").count() == found
 
 
+def test_day_filters_take_times_inside_the_day(spark):
+    df = spark.sql("""SELECT * FROM VALUES (1, timestamp'2024-05-31 23:00:00'), (2, timestamp'2024-06-01 00:00:00'),
+        (3, timestamp'2024-06-30 13:00:00'), (4, timestamp'2024-07-01 00:00:00') AS t(id, ts)""")
+    assert sorted(r[0] for r in filters.trailing_days(df, "ts", 30, "2024-06-30").collect()) == [2, 3]
+    assert [r[0] for r in filters.on_lookback_day(df, "ts", 24, "2024-07-01").collect()] == [3]
+    assert filters.on_lookback_day(df, "ts", 11, "2024-07-01").count() == 0
+
+
 @pytest.mark.parametrize("asof, first", [
     ("2024-06-10", date(2024, 6, 3)),
     (datetime(2024, 6, 10, 12), date(2024, 6, 4)),
