@@ -8,12 +8,11 @@ the threshold the same join shuffles and skewed partitions are split.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from granary.session import bounded_rows, literal_table
+from granary.session import literal_table
 
 
 def downloads_with_files(events: DataFrame, projects: DataFrame, files: DataFrame) -> DataFrame:
@@ -68,21 +67,9 @@ def membership_flag(
     ).drop("_present")
 
 
-def only_latest(
-    df: DataFrame, latest: DataFrame, keys: Sequence[str], max_filter_rows: int = 500
-) -> DataFrame:
-    """Rows of the given versions.
-
-    A handful of versions becomes a plain filter, which moves below the joins
-    of ``df`` and prunes partitions and row groups; more of them are a semi join.
-    """
-    rows = bounded_rows(latest.select(*keys), max_filter_rows)
-    if rows is None:
-        return df.join(latest.select(*keys), list(keys), "left_semi")
-    wanted = F.lit(False)
-    for row in rows:
-        wanted = wanted | reduce(lambda a, b: a & b, [F.col(k) == F.lit(row[k]) for k in keys])
-    return df.filter(wanted)
+def only_latest(df: DataFrame, latest: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of the given versions: one semi join, whatever their number."""
+    return df.join(latest.select(*keys), list(keys), "left_semi")
 
 
 def one_row_table(*frames: DataFrame) -> DataFrame:

@@ -10,10 +10,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from granary.functions import dates, messages, text
 from granary.operators import aggregates, filters, joins, ranking
-from granary.session import settled_small
-
-# Up to this many projects are settled before the events are touched.
-MAX_SETTLED_PROJECTS = 200_000
 
 PROJECT_COLUMNS = [
     "project", "name", "downloads_per_project", "data_download_size",
@@ -87,13 +83,11 @@ def leaderboard(
     """Downloads, bytes and unique users per public project in the window.
 
     The daily report sorts by unique users; the 30-day and all-time ones pass
-    ``sort_by="downloads_per_project"``.  The project list is settled first, so
-    the events meet it in a broadcast and never shuffle by (skewed) project.
+    ``sort_by="downloads_per_project"``.  The events meet the project ids in a
+    semi join, which adaptive execution broadcasts where their measured size allows.
     Names are attached after the aggregation and do not travel with the events.
     """
-    projects = settled_small(
-        filters.public_projects(nodes, exclude_id).select("project_id", "name"), MAX_SETTLED_PROJECTS
-    )
+    projects = filters.public_projects(nodes, exclude_id).select("project_id", "name")
     sized = _sized_downloads(events, projects.select("project_id"), files, window)
     stats = aggregates.download_stats(sized, ["project_id"], approx).join(projects, "project_id")
     columns = [text.prefixed_id(F.col("project_id")).alias("project"), *PROJECT_COLUMNS[1:]]
@@ -130,7 +124,7 @@ def group_leaderboard(
     Events of all member projects are selected and sized once, and only then
     multiplied by group membership.
     """
-    members = settled_small(group_members(nodes, groups), MAX_SETTLED_PROJECTS)
+    members = group_members(nodes, groups)
     keys = ["group_name", "file_view_id"]
     sized = _sized_downloads(events, members.select("project_id").distinct(), files, window)
     bridged = joins.bridge(sized, members.drop("project_name"), "project_id")
