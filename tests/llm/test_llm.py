@@ -136,3 +136,31 @@ def test_decontamination(spark, mixed):
     bench = spark.createDataFrame([(1, " ".join(WORDS[220:250])), (2, "absent words only here"), (3, None)], "item_id long, text string")
     assert [(r["doc_id"], r["item_id"]) for r in decontamination.matches(mixed, bench, min_cosine=0.0).collect()] == [(9, 1)]
     assert decontamination.common_subsequence(np.array([1, 2, 3, 4]), np.array([2, 9, 4, 1])) == 2
+
+
+def test_decontamination_finds_every_planted_copy_at_the_production_limit(spark):
+    rng = np.random.default_rng(5)
+    words = np.array([f"v{k}" for k in range(3000)])
+    items = [[str(w) for w in rng.choice(words, n)] for n in (8, 12, 16, 20, 30, 59) for _ in range(4)]
+    rows, planted = [], set()
+    for k in range(240):
+        item = list(items[k % len(items)])
+        for at in rng.permutation(len(item))[: int(len(item) * (0, 0.15, 0.3)[k % 3])]:
+            item[at] = f"other{k}"
+        text = [str(w) for w in rng.choice(words, int(rng.integers(100, 600)))]
+        at = int(rng.integers(0, len(text)))
+        rows.append((k, " ".join(text[:at] + item + text[at:])))
+        # brute force: every run of twice the item's words
+        true = items[k % len(items)]
+        whole, ids = text[:at] + item + text[at:], {w: n for n, w in enumerate(words)}
+        x, h = np.array([ids[w] for w in true]), np.array([ids.get(w, -1) for w in whole])
+        for lo in range(max(0, at - len(x)), at + len(x)):
+            there = h[lo : lo + 2 * len(x)]
+            tail = np.isin(x, there)[-max(1, len(x) // 4) :].mean()
+            if tail >= 0.5 and decontamination.common_subsequence(x, there) >= 0.6 * len(x):
+                planted.add((k, k % len(items)))
+                break
+    assert len(planted) > 200 and planted >= {(k, k % len(items)) for k in range(0, 240, 3)}
+    bench = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(items)], "item_id long, text string")
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert {(r["doc_id"], r["item_id"]) for r in decontamination.matches(table, bench).collect()} == planted
