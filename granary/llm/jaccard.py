@@ -233,8 +233,11 @@ def join(docs: DataFrame, num: int = 85, den: int = 100, width: int = 4) -> Data
     )
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """The document with the smallest id of each component; of repeated rows of that id one stays."""
-    kept = join(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+def keep_one(docs: DataFrame, num: int = 80, den: int = 100, width: int = 5) -> DataFrame:
+    """The document with the smallest id of each component; of repeated rows of that id one stays.
+
+    Near duplicates have a Jaccard of at least 0.8 over five-word shingles; the defaults of ``join`` are its query's own.
+    """
+    kept = join(docs, num, den, width).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
     kept = materialised(kept.select(F.col("doc_id").alias("kept_id")), "jaccard-kept")
     return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").dropDuplicates(["doc_id"])

@@ -164,3 +164,14 @@ def test_decontamination_finds_every_planted_copy_at_the_production_limit(spark)
     bench = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(items)], "item_id long, text string")
     table = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     assert {(r["doc_id"], r["item_id"]) for r in decontamination.matches(table, bench).collect()} == planted
+
+
+def test_keep_one_takes_five_words_and_eight_tenths(spark):
+    a = WORDS[:60]
+    rows = [(1, " ".join(a)), (2, " ".join(a[:46])), (3, " ".join(a[:48]))]  # 42 and 44 of the 56 five-word shingles
+    rows += [(4, " ".join(WORDS[100:160])), (5, " ".join(WORDS[100:150])), (6, " ".join(WORDS[200:260])), (7, " ".join(WORDS[200:248]))]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for i, t in rows}
+    linked = {(i, j) for i in sets for j in sets if i < j and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    assert linked == {(2, 3), (4, 5)}  # 42 / 44, 46 / 56; 44 / 56 is under the limit
+    assert sorted(r["doc_id"] for r in jaccard.keep_one(table).collect()) == [1, 2, 4, 6, 7]
