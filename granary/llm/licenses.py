@@ -23,8 +23,11 @@ TEMPLATES = [
     ("Proprietary", "All rights reserved. No part of this publication may be reproduced, distributed, or transmitted in any form or by any means"),
 ]
 WIDTH = 3  # words of a shingle
-SIZES = (16, 64)  # shingles of a window; windows overlap by half
-BANDS = 32  # one row each: a template filling a fifth of a window collides with probability 1 - 0.8**32 = 0.9992
+SMALLEST = 4  # shingles of the smallest window; sizes double from there, and windows overlap by half
+# One row each.  A window is the first size of at least twice its template, so the template fills at least a quarter of
+# it, and shingles of no template are not hashed.  With 0.8 of the template there, at least a sixth of the hashed
+# shingles are common: they collide with probability 1 - (5/6)**64 = 0.99999 or more.
+BANDS = 64
 MIN_CONTAINMENT = 0.8
 
 _WORDS = "filter(split(lower(regexp_replace({text}, '[^\\\\p{{L}}\\\\p{{N}}]+', ' ')), ' '), w -> w <> '')"
@@ -46,48 +49,62 @@ def _bands(shingles: str) -> str:
 
 
 def templates(spark, rows=None) -> DataFrame:
-    """license, template (its number), size of its windows, distinct shingles and band values."""
+    """license, template (its number), size of its windows, number of its shingles, and the distinct ones."""
     rows = [(k, name, text) for k, (name, text) in enumerate(rows or TEMPLATES)]
     out = literal_table(spark, rows, "template int, license string, text string")
     out = out.withColumn("words", F.expr(_WORDS.format(text="text")))
     out = out.withColumn("goal", F.expr(f"array_distinct({_shingles('words')})"))
-    small, large = SIZES
-    return out.withColumn("width", F.when(F.size("goal") * 2 <= small, small).otherwise(large)).select(
-        "template", "license", "width", "goal"
+    out = out.withColumn("length", F.expr(f"size({_shingles('words')})"))
+    doublings = F.ceil(F.log2(F.greatest(2 * F.col("length"), F.lit(SMALLEST)) / SMALLEST) - 1e-9)
+    return out.withColumn("width", (SMALLEST * F.pow(F.lit(2), doublings)).cast("int")).select(
+        "template", "license", "width", "length", "goal"
     )
 
 
 def scan(docs: DataFrame, rows=None, min_containment: float = MIN_CONTAINMENT) -> DataFrame:
     """doc_id, license, template, containment and first window of every license text found in a document.
 
-    Windows that hold no template shingle have containment 0 and are left out before they are hashed.  Null and empty
+    The window is the first of those that hold most of the text.  Windows that hold no template shingle have
+    containment 0 and are left out before they are hashed.  Null and empty
     texts give no rows; repeated rows give one finding each per doc_id.
     """
     spark = docs.sparkSession
     known = templates(spark, rows)
-    # the templates are configuration; their shingles are settled as literals once
-    all_goals = sorted({h for r in known.select("goal").collect() for h in r["goal"]})
+    # the templates are configuration; their shingles and window sizes are settled as literals once
+    settled = known.select("width", "goal").collect()
+    widths = sorted({r["width"] for r in settled})
+    all_goals = sorted({h for r in settled for h in r["goal"]})
     literal = "array(" + ", ".join(f"{h}L" if h > -(2**63) else "-9223372036854775807L - 1L" for h in all_goals) + ")"
     text = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     # explode of one element keeps Catalyst from working the words out again inside every use of them
     words = text.select("doc_id", F.explode(F.array(F.expr(_WORDS.format(text="text")))).alias("words"))
     hashed = words.select("doc_id", F.explode(F.array(F.expr(_shingles("words")))).alias("h")).where(F.expr(f"arrays_overlap(h, {literal})"))
-    hits = F.expr(f"filter(transform(h, (x, i) -> if(array_contains({literal}, x), i, -1)), i -> i >= 0)")
-    wide = hashed.withColumn("hits", hits).withColumn("width", F.explode(F.array(*[F.lit(s) for s in SIZES])))
+    # places and values of the template shingles; the others count for no template
+    hits = F.expr(f"filter(transform(h, (x, i) -> struct(i AS i, x AS x)), p -> array_contains({literal}, p.x))")
+    hits = hashed.select("doc_id", F.explode(F.array(hits)).alias("hits"))
+    wide = hits.withColumn("width", F.explode(F.array(*[F.lit(s) for s in widths])))
     # window number w covers shingles w * width / 2 .. w * width / 2 + width
     wide = wide.withColumn(
-        "w", F.explode(F.expr("array_distinct(flatten(transform(hits, i -> let_windows(i))))".replace(
-            "let_windows(i)", "if(i < width / 2, array(0), array(int(i div (width div 2)) - 1, int(i div (width div 2))))"
+        "w", F.explode(F.expr("array_distinct(flatten(transform(hits, p -> let_windows(p.i))))".replace(
+            "let_windows(p.i)", "if(p.i < width / 2, array(0), array(int(p.i div (width div 2)) - 1, int(p.i div (width div 2))))"
         )))
-    )
-    windows = wide.select("doc_id", "width", "w", F.expr("explode(array(slice(h, cast(w * (width div 2) + 1 as int), width)))").alias("part"))
-    probes = windows.withColumn("b", F.explode(F.expr(_bands("part")))).select("doc_id", "width", "w", "part", "b.*")
-    goals = known.withColumn("b", F.explode(F.expr(_bands("goal")))).select("template", "license", "width", "goal", "b.*")
+    ).withColumn("at", F.expr("cast(w * (width div 2) as int)"))
+    # what is around a window, up to the longest template of its size
+    near = "filter(hits, p -> p.i >= at - width div 2 AND p.i < at + width + width div 2)"
+    windows = wide.select("doc_id", "width", "at", F.explode(F.array(F.expr(near))).alias("near"))
+    part = "transform(filter(near, p -> p.i >= at AND p.i < at + width), p -> p.x)"
+    windows = windows.withColumn("part", F.explode(F.array(F.expr(part))))
+    probes = windows.withColumn("b", F.explode(F.expr(_bands("part")))).select("doc_id", "width", "at", "near", "part", "b.*")
+    goals = known.withColumn("b", F.explode(F.expr(_bands("goal")))).select("template", "license", "width", "length", "goal", "b.*")
     found = probes.join(goals, ["width", "band", "low"])
-    share = F.size(F.array_intersect("part", "goal")) / F.size("goal")
-    found = found.select("doc_id", "license", "template", share.alias("containment"), F.expr("cast(w * (width div 2) as int)").alias("at"))
+    # the text of the window widened by the template's length, so that no copy is cut by its edges
+    around = F.expr("transform(filter(near, p -> p.i >= at - length AND p.i < at + width + length), p -> p.x)")
+    found = found.select(
+        "doc_id", "license", "template", (F.size(F.array_intersect(around, "goal")) / F.size("goal")).alias("containment"),
+        F.size(F.array_intersect("part", "goal")).alias("inside"), "at",
+    )
     found = found.where(F.col("containment") >= min_containment)
-    best = F.max(F.struct(F.col("containment"), (-F.col("at")).alias("at")))
+    best = F.max(F.struct(F.col("containment"), F.col("inside"), (-F.col("at")).alias("at")))
     return found.groupBy("doc_id", "license", "template").agg(best.alias("best")).select(
         "doc_id", "license", "template", F.col("best.containment").alias("containment"), (-F.col("best.at")).alias("first_shingle")
     )

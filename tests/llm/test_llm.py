@@ -175,3 +175,24 @@ def test_keep_one_takes_five_words_and_eight_tenths(spark):
     linked = {(i, j) for i in sets for j in sets if i < j and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
     assert linked == {(2, 3), (4, 5)}  # 42 / 44, 46 / 56; 44 / 56 is under the limit
     assert sorted(r["doc_id"] for r in jaccard.keep_one(table).collect()) == [1, 2, 4, 6, 7]
+
+
+def test_license_scan_finds_altered_copies_at_every_offset(spark):
+    mit = licenses.TEMPLATES[1][1].split()
+    whole = [f"term{k}" for k in range(300)]
+    rows, altered = [], {}
+    for offset in range(70):
+        copies = [mit] + [mit[:k] + ["other"] * n + mit[k + n :] for k in (2, 24, 45) for n in (1, 2)]
+        for n, copy in enumerate(copies):
+            altered[10 * offset + n] = (1, [" ".join(mit), " ".join(copy)])
+            rows.append((10 * offset + n, " ".join(WORDS[:offset] + copy + WORDS[200:260])))
+        altered[10 * offset + 9] = (2, [" ".join(whole)] * 2)
+        rows.append((10 * offset + 9, " ".join(WORDS[:offset] + whole + WORDS[200:260])))
+    want = set()
+    for key, (template, texts) in altered.items():
+        a, b = ({tuple(w[k : k + 3]) for k in range(len(w) - 2)} for w in ("".join(c if c.isalnum() else " " for c in t).lower().split() for t in texts))
+        want.add((key, template, round(len(a & b) / len(a), 9)))
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    given = [licenses.TEMPLATES[0], licenses.TEMPLATES[1], ("Own", " ".join(whole))]
+    got = {(r["doc_id"], r["template"], round(r["containment"], 9)) for r in licenses.scan(table, given).collect()}
+    assert got == want
