@@ -24,6 +24,14 @@ def materialised(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+ROW = "granary row"  # column of row ids
+
+
+def numbered(docs: DataFrame, label: str) -> DataFrame:
+    """The rows with an id each that stays the same in every later use: ids of the data may be null or repeat."""
+    return materialised(docs.withColumn(ROW, F.monotonically_increasing_id()), label)
+
+
 def held_out(doc_id: Column) -> Column:
     """Whether crc32 of the id's text leaves no remainder modulo 5; a null id counts as held out."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.common import WordHashes, materialised, mix64, shingles
+from granary.llm.common import ROW, WordHashes, materialised, mix64, numbered, shingles
 
 _WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -108,11 +108,23 @@ def components(spark, edges: DataFrame) -> DataFrame:
 def join(docs: DataFrame, num: int = 85, den: int = 100, width: int = 4) -> DataFrame:
     """doc_id, n_shingles, component_id of every row; documents link when den * common >= num * united.
 
-    Null and empty texts have no shingles and link with nothing.  Repeated ids stay; equal texts link.  Documents
-    with equal sets form a class first, and only one of each class is compared.
+    Null and empty texts have no shingles and link with nothing.  Repeated ids stay; equal texts link.  A component
+    is named by the smallest id in it, by null if all are null.
     """
-    spark = docs.sparkSession
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = numbered(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "jaccard-rows")
+    return linked(rows, num, den, width).select(
+        "doc_id", "n_shingles", F.coalesce("first.doc_id", "doc_id").alias("component_id")
+    )
+
+
+def linked(rows: DataFrame, num: int, den: int, width: int) -> DataFrame:
+    """Row id, doc_id, n_shingles and first row (none, doc_id, row) of the component of every numbered row.
+
+    Rows with equal sets form a class first, and only one of each class is compared.  The first row is the one with
+    the smallest id, null ids last; it is null for rows that have no shingles.
+    """
+    spark = rows.sparkSession
+    plain = rows.select(F.col(ROW).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
 
     def sets(batches):
         hashes, seen = WordHashes(), set()
@@ -134,13 +146,15 @@ def join(docs: DataFrame, num: int = 85, den: int = 100, width: int = 4) -> Data
                         seen.clear()
                     seen.add(name)
                 yield pd.DataFrame({
-                    "doc_id": rows.doc_id.array, "n_shingles": sizes, "short": names, "check": checks, "keys": keys,
+                    "row": rows.row.array, "doc_id": rows.doc_id.array, "n_shingles": sizes, "short": names, "check": checks, "keys": keys,
                     "empty": empty,
                 }).astype({"doc_id": "Int64"})
 
-    schema = "doc_id long, n_shingles long, short long, check long, keys array<long>, empty int"
+    schema = "row long, doc_id long, n_shingles long, short long, check long, keys array<long>, empty int"
     found = materialised(plain.mapInPandas(sets, schema), "jaccard-sets")
-    reps = found.where("n_shingles > 0").groupBy("short", "check").agg(F.min("doc_id").alias("rep"))
+    reps = found.where("n_shingles > 0").groupBy("short", "check").agg(
+        F.min("row").alias("rep"), F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "row")).alias("first")
+    )
     reps = materialised(reps, "jaccard-classes")
     keys = found.where("keys is not null").select("short", F.col("n_shingles").cast("int").alias("n"), "empty", F.explode("keys").alias("key"))
     # most keys occur once: only those that come again go on
@@ -160,7 +174,7 @@ def join(docs: DataFrame, num: int = 85, den: int = 100, width: int = 4) -> Data
     able = able.where("c >= " + least_common("n", "empty", num, den)).select("short")
     members = materialised(members.join(able, "short"), "jaccard-able")
     # the shingles of what is opened, worked out again from the representative's text
-    opened = reps.join(members.select("short").distinct(), "short").select(F.col("rep").alias("doc_id"), "short").distinct()
+    opened = reps.join(members.select("short").distinct(), "short").select(F.col("rep").alias("row"), "short")
     opened = materialised(opened, "jaccard-opened")
 
     def bodied(batches):
@@ -171,12 +185,10 @@ def join(docs: DataFrame, num: int = 85, den: int = 100, width: int = 4) -> Data
                 out = []
                 for short, t in zip(rows.short, rows.text):
                     s = shingle_set(t, hashes, width)
-                    if set_name(s)[0] == short:  # another row may carry the same id
-                        out.append((short, s.tobytes()))
+                    out.append((short, s.tobytes()))
                 yield pd.DataFrame(out, columns=["short", "tokens"])
 
-    # repeated rows give repeated bodies, which only repeat a link
-    bodies = materialised(plain.join(opened, "doc_id").mapInPandas(bodied, "short long, tokens binary"), "jaccard-bodies")
+    bodies = materialised(plain.select("row", "text").join(opened, "row").mapInPandas(bodied, "short long, tokens binary"), "jaccard-bodies")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that link."""
@@ -223,21 +235,22 @@ def join(docs: DataFrame, num: int = 85, den: int = 100, width: int = 4) -> Data
     rest = rest.join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     rest = materialised(rest, "jaccard-rest")
     label = components(spark, links.unionByName(verified(rest)))
-    # the smallest document of every component, through the classes
+    # the first row of every component, through the classes
     classes = reps.join(label, F.col("short") == label.node, "left")
-    classes = classes.select("short", "check", "rep", F.coalesce("component", "short").alias("component"))
-    lowest = classes.groupBy("component").agg(F.min("rep").alias("component_id"))
-    named = classes.join(lowest, "component").select("short", "check", "component_id")
-    return found.select("doc_id", "n_shingles", "short", "check").join(named, ["short", "check"], "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
+    classes = classes.select("short", "check", "first", F.coalesce("component", "short").alias("component"))
+    lowest = classes.groupBy("component").agg(F.min("first").alias("first"))
+    named = classes.drop("first").join(lowest, "component").select("short", "check", "first")
+    return found.select("row", "doc_id", "n_shingles", "short", "check").join(named, ["short", "check"], "left").select(
+        "row", "doc_id", "n_shingles", "first"
     )
 
 
 def keep_one(docs: DataFrame, num: int = 80, den: int = 100, width: int = 5) -> DataFrame:
-    """The document with the smallest id of each component; of repeated rows of that id one stays.
+    """The row with the smallest id of each component; null ids come last, and of a repeated id one row is the first.
 
-    Near duplicates have a Jaccard of at least 0.8 over five-word shingles; the defaults of ``join`` are its query's own.
+    Rows are kept or dropped by their texts alone, so rows that link with nothing stay whatever their ids.  Near
+    duplicates have a Jaccard of at least 0.8 over five-word shingles; the defaults of ``join`` are its query's own.
     """
-    kept = join(docs, num, den, width).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    kept = materialised(kept.select(F.col("doc_id").alias("kept_id")), "jaccard-kept")
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").dropDuplicates(["doc_id"])
+    rows = numbered(docs, "jaccard-rows")
+    kept = linked(rows, num, den, width).where("first IS NULL OR first.row = row").select(F.col("row").alias(ROW))
+    return rows.join(materialised(kept, "jaccard-kept"), ROW, "left_semi").select(*docs.columns)

@@ -196,3 +196,19 @@ def test_license_scan_finds_altered_copies_at_every_offset(spark):
     given = [licenses.TEMPLATES[0], licenses.TEMPLATES[1], ("Own", " ".join(whole))]
     got = {(r["doc_id"], r["template"], round(r["containment"], 9)) for r in licenses.scan(table, given).collect()}
     assert got == want
+
+
+def test_rows_with_null_and_repeated_ids_are_kept_and_dropped_one_by_one(spark):
+    a, b, c, d = (" ".join(WORDS[k : k + 60]) for k in (0, 80, 160, 240))
+    near = " ".join(WORDS[240:298])
+    rows = [(None, a, "s", "1"), (None, b, "s", "2"), (None, "", "s", "3"), (None, None, "s", "4"),  # unlike each other
+            (5, c, "s", "5"), (5, a, "s", "6"), (5, " ".join(WORDS[320:380]), "s", "7"),
+            (None, d, "s", "8"), (None, near, "s", "9")]  # linked, by null ids alone
+    table = docs(spark, rows)
+    kept = {r["n_shingles"] for r in jaccard.keep_one(table).collect()}
+    assert len(kept & {"8", "9"}) == 1 and kept - {"8", "9"} == {"2", "3", "4", "5", "6", "7"}
+    got = [(r["doc_id"], r["component_id"]) for r in jaccard.join(table).collect()]
+    assert sorted(got, key=str) == sorted([(5, 5)] * 3 + [(None, 5)] + [(None, None)] * 5, key=str)
+    bench = spark.createDataFrame([(1, " ".join(WORDS[90:120]))], "item_id long, text string")
+    clean = decontamination.keep_unseen(table, bench)
+    assert {r["n_shingles"] for r in clean.collect()} == set("13456789") and clean.columns == table.columns
