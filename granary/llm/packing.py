@@ -2,7 +2,8 @@
 
 Deficit round robin over one token queue per source, in closed form: how far each queue has come at an output
 position follows from rounded shares, so what a queue gets short in one window it gets in a later one, and every
-task works out its own pieces without talking to the others.
+task works out its own pieces without talking to the others.  Sources too small for a piece in every window share one
+queue, itself a mixture of them by the same rule over longer stretches, and so on down to the smallest.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from granary.llm.common import materialised
 WINDOW = 2048
 REST = "\0small sources"  # no stored source has this name
 MIN_SHARE = 16  # sources with fewer tokens than this per window share one queue
+REMEMBERED = 10_000_000  # bounds that a layout remembers
 _TOKENS = "part long, doc_id long, source string, pos long, doc_tokens long, ids binary"
 _PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, queue string"
@@ -61,7 +63,8 @@ class Layout:
 
     def __init__(self, parts: list[dict], window: int = WINDOW):
         self.parts, self.window = parts, window
-        self._bounds = lru_cache(200_000)(self._bounds_at)
+        widest = max((len(p["edges"]) for p in parts), default=0) + 1
+        self._bounds = lru_cache(max(2, REMEMBERED // widest))(self._bounds_at)
 
     def _bounds_at(self, p: int, u: int) -> list[int]:
         """Tokens of the first k queues among the first ``u`` of a phase; never decreasing in ``u`` for any queue."""
@@ -108,6 +111,44 @@ class Layout:
             raise ValueError(f"queue {queue!r} holds fewer than {at + n} tokens")
 
 
+def levels(totals: dict[str, int], target: dict[str, float] | None = None, window: int = WINDOW) -> list[tuple]:
+    """(phases, window) of the output, then of the queue REST of each level before.
+
+    Without a target, sources under MIN_SHARE tokens a window go to REST.  Its own windows are so long that each
+    source of at least half its largest one's tokens gets MIN_SHARE of them, so tokens halve from level to level.
+    """
+    out, left = [], dict(sorted(totals.items()))
+    while True:
+        everything = sum(left.values())
+        small = {} if target else {s: n for s, n in left.items() if n * window < MIN_SHARE * everything}
+        own = {s: n for s, n in left.items() if s not in small}
+        out.append((phases({**own, REST: sum(small.values())} if small else own, target), window))
+        if not small:
+            return out
+        left, window = small, -(-2 * MIN_SHARE * sum(small.values()) // max(small.values()))
+
+
+class Mixture:
+    """Where each token of a source goes, through the levels."""
+
+    def __init__(self, found: list[tuple]):
+        self.layouts = [Layout(parts, window) for parts, window in found]
+        self.level = {q: k for k, (parts, _) in enumerate(found) for part in parts for q in part["queues"] if q != REST}
+
+    def pieces(self, source: str, at: int, n: int):
+        """(tokens before, length, output position) of source tokens at .. at + n."""
+        k = self.level[source]
+        out = list(self.layouts[k].pieces(source, at, n))
+        for layout in reversed(self.layouts[:k]):
+            joined: list[tuple] = []
+            for done, size, where in out:  # what lies together in REST goes on as one
+                if joined and joined[-1][2] + joined[-1][1] == where:
+                    done, size, where = joined[-1][0], joined[-1][1] + size, joined.pop()[2]
+                joined.append((done, size, where))
+            out = [(done + d, m, to) for done, size, where in joined for d, m, to in layout.pieces(REST, where, size)]
+        return out
+
+
 def tokenised(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:
     """Token ids of whole texts with their place among the task's tokens of the same source."""
 
@@ -155,28 +196,16 @@ def pack(
     before = F.sum("n").over(Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     held = materialised(held.withColumn("base", F.coalesce(before, F.lit(0).cast("long"))), "packing-totals")
     totals = {r["source"]: r["n"] for r in held.groupBy("source").agg(F.sum("n").alias("n")).collect()}
-    everything = sum(totals.values())
-    name, base, queues, rest = {}, {}, {}, 0
-    for s, n in sorted(totals.items()):
-        if target is None and n * window < MIN_SHARE * everything:
-            name[s], base[s] = REST, rest
-            rest += n
-        else:
-            name[s], base[s] = s, 0
-            queues[s] = n
-    if rest:
-        queues[REST] = rest
-    plan = phases(queues, target)
+    plan = levels(totals, target, window)
 
     def cut(batches):
-        layout = Layout(plan, window)
+        layout = Mixture(plan)
         for b in batches:
             out = []
             for doc_id, source, at, total, raw in zip(b["doc_id"], b["source"], b["at"], b["doc_tokens"], b["ids"]):
-                queue = name[source]
-                for start, n, where in layout.pieces(queue, int(at) + base[source], int(total)):
+                for start, n, where in layout.pieces(source, int(at), int(total)):
                     crc = zlib.crc32(memoryview(raw)[4 * start : 4 * (start + n)])
-                    out.append((doc_id, start, n, crc, total, where // window, where % window, queue))
+                    out.append((doc_id, start, n, crc, total, where // window, where % window, source))
             frame = pd.DataFrame(out, columns=[c.split()[0] for c in _PIECES.split(", ")])
             frame["doc_id"] = frame["doc_id"].astype("Int64")
             yield frame

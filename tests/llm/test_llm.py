@@ -212,3 +212,27 @@ def test_rows_with_null_and_repeated_ids_are_kept_and_dropped_one_by_one(spark):
     bench = spark.createDataFrame([(1, " ".join(WORDS[90:120]))], "item_id long, text string")
     clean = decontamination.keep_unseen(table, bench)
     assert {r["n_shingles"] for r in clean.collect()} == set("13456789") and clean.columns == table.columns
+
+
+def test_small_sources_are_mixed_by_their_shares():
+    rng = np.random.default_rng(2)
+    for totals in (
+        {f"s{k:03d}": 3000 + k for k in range(400)}, {"hot": 2_000_000, **{f"t{k:03d}": int(n) for k, n in enumerate(rng.integers(20, 4000, 300))}}
+    ):
+        found = packing.levels(totals, window=2048)
+        layout, owner = packing.Mixture(found), np.full(sum(totals.values()), -1)
+        for k, (source, n) in enumerate(totals.items()):
+            at = 0
+            while at < n:
+                take = min(int(rng.integers(1, 500)), n - at)
+                pieces = layout.pieces(source, at, take)
+                assert [p[0] for p in pieces] == np.cumsum([0] + [p[1] for p in pieces])[:-1].tolist() and sum(p[1] for p in pieces) == take
+                for _, size, where in pieces:
+                    assert (owner[where : where + size] == -1).all() and where // 2048 == (where + size - 1) // 2048
+                    owner[where : where + size] = k
+                at += take
+        assert (owner >= 0).all()
+        # at the end of every window each source is within a few of its own pieces of its share
+        for upto in range(2048, len(owner), 2048):
+            held = np.bincount(owner[:upto], minlength=len(totals))
+            assert np.abs(held - np.array(list(totals.values())) * upto / len(owner)).max() <= 4 * packing.MIN_SHARE
