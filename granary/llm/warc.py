@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import re
 import zlib
+from bisect import bisect_right
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -16,6 +18,8 @@ from granary.session import scratch_path
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"  # fixed value: base32
 _VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 _MEMBER = b"\x1f\x8b\x08"
+_END = "\0"  # last byte of a gzip member of less than 16 MiB
+STEP = 1 << 16  # compressed bytes unpacked at a time
 RECORDS_PER_FILE = 2000
 
 
@@ -48,7 +52,10 @@ def records(pages: DataFrame, min_revisit_bytes: int = 0) -> DataFrame:
 
 
 def write_archives(rows: DataFrame, path: str, per_file: int = RECORDS_PER_FILE) -> None:
-    """Write records as gzip-compressed WARC files with at most ``per_file`` records each."""
+    """Write records as WARC files with at most ``per_file`` records each, every record a gzip member of its own.
+
+    Spark's text writer takes the members as they are and puts the line separator after each: their last byte.
+    """
     crlf = "\r\n"
     body = F.when(F.col("record_type") == "revisit", "").otherwise(F.col("payload"))
     clean = F.regexp_replace(F.coalesce("url", F.lit("")), "[\\r\\n]", "")
@@ -61,41 +68,87 @@ def write_archives(rows: DataFrame, path: str, per_file: int = RECORDS_PER_FILE)
         F.when(F.col("refers_to").isNotNull(), F.concat(F.lit(f"{crlf}WARC-Refers-To: <urn:page:"), F.col("refers_to").cast("string"), F.lit(">"))).otherwise(""),
         F.lit(f"{crlf}Content-Length: "), F.octet_length(body).cast("string"), F.lit(f"{crlf}{crlf}"), body,
     )
-    writer = rows.select(line.alias("value")).write.option("lineSep", "\r\n\r\n").option("compression", "gzip")
-    writer.option("maxRecordsPerFile", per_file).text(path)
+
+    def members(batches):
+        for b in batches:
+            for lo in range(0, len(b), 100):
+                yield pd.DataFrame({"member": [member(x)[:-1] for x in b["record"].iloc[lo : lo + 100]]})
+
+    packed = rows.select(F.concat(line, F.lit(f"{crlf}{crlf}")).cast("binary").alias("record"))
+    packed = packed.mapInPandas(members, "member binary").select(F.col("member").cast("string").alias("value"))
+    packed.write.option("lineSep", _END).option("maxRecordsPerFile", per_file).text(path)
+
+
+def member(record: bytes) -> bytes:
+    """A record as one gzip member that ends in a zero byte: behind 16 MiB or more stands an empty member."""
+    out = gzip.compress(record, 6, mtime=0)
+    return out if out.endswith(_END.encode()) else out + gzip.compress(b"", 6, mtime=0)
 
 
 def inflate(raw: bytes) -> tuple[bytes, list[tuple[int, int]]]:
-    """Bytes of all readable gzip members, and the (from, to) ranges given up; plain bytes come back as they are."""
+    """Bytes of all readable gzip members, and the (from, to) ranges given up; plain bytes come back as they are.
+
+    Of a damaged member the bytes before the damage are kept, and its range is given up.
+    """
+    return unpacked(raw)[:2]
+
+
+def unpacked(raw: bytes) -> tuple[bytes, list[tuple[int, int]], list[int]]:
+    """What ``inflate`` gives, and the places in the bytes where a member's rest is missing."""
     if not raw.startswith(_MEMBER) and _VERSION.search(raw[:64]):
-        return raw, []
-    out, gaps, at = [], [], 0
+        return raw, [], []
+    out, gaps, seams, at = bytearray(), [], [], 0
     while at < len(raw):
-        unzip = zlib.decompressobj(31)
-        broken, got = False, []
-        try:
-            for lo in range(at, len(raw), 1 << 16):
-                got.append(unzip.decompress(raw[lo : lo + (1 << 16)]))
-                if unzip.eof:
-                    break
-            broken = not unzip.eof
-        except zlib.error:
-            broken = True
-        out += got
-        if not broken:
-            at = min(lo + (1 << 16), len(raw)) - len(unzip.unused_data)
+        unzip, lo = zlib.decompressobj(31), at
+        broken = False
+        while lo < len(raw) and not unzip.eof and not broken:
+            before = unzip.copy()
+            try:
+                out += unzip.decompress(raw[lo : lo + STEP])
+            except zlib.error:
+                broken = True
+                # the failed call gave nothing, so its bytes go in again one by one up to the damage
+                try:
+                    for k in range(lo, min(lo + STEP, len(raw))):
+                        out += before.decompress(raw[k : k + 1])
+                except zlib.error:
+                    pass
+            lo += STEP
+        if unzip.eof and not broken:
+            at = min(lo, len(raw)) - len(unzip.unused_data)
             continue
         later = raw.find(_MEMBER, at + 1)
         later = later if later >= 0 else len(raw)
         gaps.append((at, later))
+        seams.append(len(out))
         at = later
-    return b"".join(out), gaps
+    return bytes(out), gaps, seams
+
+
+def _entity(headers: dict[str, str], block: bytes) -> bytes:
+    """The payload of a response block: what follows the HTTP headers, or the whole block without them."""
+    if headers.get("content-type", "").lower().startswith("application/http") or re.match(rb"HTTP/\d", block):
+        head, found, body = block.partition(b"\r\n\r\n")
+        return body if found else b""
+    return block
+
+
+def _told(digest: str, payload: bytes) -> bool:
+    """Whether a digest header names the payload; a missing one, or one by an unknown method, is not checked."""
+    name, _, value = digest.strip().partition(":")
+    name = name.lower().replace("-", "")
+    if name not in ("md5", "sha1", "sha256", "sha512"):
+        return True
+    real = hashlib.new(name, payload)
+    return value.lower() == real.hexdigest() or value.upper().rstrip("=") == base64.b32encode(real.digest()).decode().rstrip("=")
 
 
-def salvage(data: bytes):
+def salvage(data: bytes, seams: list[int] | tuple[int, ...] = ()):
     """Records of an archive as ("record", headers, payload) and unreadable ranges as ("gap", from, to).
 
-    After a record that fails a check (headers, length, ending, digest) the search goes on at the next version line.
+    The payload of a response is its HTTP body, or its block where that has no HTTP headers.  After a record that
+    fails a check (headers, length, ending, digest) the search goes on at the next version line.  No record reaches
+    over a seam, where bytes are missing.
     """
     at = 0
     while at < len(data):
@@ -111,9 +164,14 @@ def salvage(data: bytes):
                 body = data[end + 4 : end + 4 + int(length)]
                 stop = end + 4 + int(length) + 4
                 good = data[stop - 4 : stop] == b"\r\n\r\n" and len(body) == int(length)
+                cut = bisect_right(seams, at)
+                good = good and not (cut < len(seams) and seams[cut] < stop)
                 if good and headers.get("warc-type") == "response":
-                    told = headers.get("warc-payload-digest", "")
-                    good = told == "sha1:" + base64.b32encode(hashlib.sha1(body).digest()).decode()
+                    told, block = headers.get("warc-payload-digest", ""), body
+                    body = _entity(headers, block)
+                    # some writers take the whole block for the payload
+                    good = _told(told, body) or _told(told, block)
+                    good = good and _told(headers.get("warc-block-digest", ""), block)
         if good:
             yield "record", headers, body
             at = stop
@@ -142,19 +200,19 @@ def read_archives(spark, path: str) -> DataFrame:
     def read(batches):
         for b in batches:
             for file, raw in zip(b.path, b.content):
-                data, members = inflate(raw)
+                data, members, seams = unpacked(raw)
                 out = [("member", file, lo, hi, None, None, None, None, None, None, None) for lo, hi in members]
-                for item in salvage(data):
+                for item in salvage(data, seams):
                     if item[0] == "gap":
                         out.append(("gap", file, item[1], item[2], None, None, None, None, None, None, None))
                         continue
                     h, body = item[1], item[2]
                     kind = h.get("warc-type")
-                    told = h.get("x-payload-length", "")
+                    told, told_digest = h.get("x-payload-length", ""), h.get("warc-payload-digest")
                     out.append((
                         "record", file, None, None, ident(h.get("warc-record-id")), h.get("warc-target-uri"),
                         len(body) if kind == "response" else int(told) if told.isdigit() else None,
-                        h.get("warc-payload-digest", "").removeprefix("sha1:"), kind,
+                        told_digest.removeprefix("sha1:") if told_digest else None, kind,
                         ident(h.get("warc-refers-to")), body.decode("utf-8", "replace") if kind == "response" else None,
                     ))
                 frame = pd.DataFrame(out, columns=[c.split()[0] for c in schema.split(", ")])

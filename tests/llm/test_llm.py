@@ -236,3 +236,49 @@ def test_small_sources_are_mixed_by_their_shares():
         for upto in range(2048, len(owner), 2048):
             held = np.bincount(owner[:upto], minlength=len(totals))
             assert np.abs(held - np.array(list(totals.values())) * upto / len(owner)).max() <= 4 * packing.MIN_SHARE
+
+
+def test_warc_damage_costs_the_records_it_hits(spark, tmp_path):
+    rng = np.random.default_rng(8)
+    pages = [(k, f"http://a/{k}", " ".join(rng.choice(WORDS, 60))) for k in range(300)]
+    table = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(1)
+    warc.write_archives(warc.records(table).repartition(1), str(tmp_path / "w"))
+    (file,) = (tmp_path / "w").glob("part-*")
+    raw = bytearray(file.read_bytes())
+    assert {r["page_id"]: r["payload"] for r in warc.read_archives(spark, str(tmp_path / "w")).collect()} == {k: t for k, _, t in pages}
+    for share in (0.3, 0.6, 0.9):
+        raw[int(len(raw) * share)] ^= 0x55
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "x.warc.gz").write_bytes(raw)
+    rows = [r for r in warc.read_archives(spark, str(tmp_path / "d")).collect() if r["kind"] == "record"]
+    assert len(rows) >= 297 and all(r["payload"] == pages[r["page_id"]][2] for r in rows)
+
+
+def test_warc_reads_standard_responses_and_what_stands_before_damage():
+    def record(block, *more):
+        lines = [b"WARC/1.0", b"WARC-Type: response", *more, b"Content-Length: %d" % len(block)]
+        return b"\r\n".join(lines) + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\nbody"
+    sha1 = b"WARC-Payload-Digest: sha1:" + base64.b32encode(hashlib.sha1(b"body").digest())
+    kind = b"Content-Type: application/http; msgtype=response"
+    data = record(b"plain") + record(http, kind, sha1) + record(http.replace(b"body", b"bodY"), kind, sha1)
+    found = list(warc.salvage(data))
+    assert [x[0] for x in found] == ["record", "record", "gap"] and [x[2] for x in found[:2]] == [b"plain", b"body"]
+    # one member for many records, damaged half way
+    whole = b"".join(record(hashlib.sha256(b"%d" % k).hexdigest().encode()) for k in range(2000))
+    packed = zlib.compressobj(6, zlib.DEFLATED, 31)
+    raw = bytearray(packed.compress(whole) + packed.flush())
+    raw[len(raw) // 2 : len(raw) // 2 + 40] = b"\xff" * 40
+    got, gaps = warc.inflate(bytes(raw))
+    same = next((k for k, (x, y) in enumerate(zip(got, whole)) if x != y), len(got))
+    assert same > 0.4 * len(whole) and gaps == [(0, len(raw))]
+    # a record is never completed with bytes from behind a seam
+    assert [x[0] for x in warc.salvage(data[:-9] + b"\r\n\r\n", [20])][0] == "gap"
+
+
+def test_warc_members_end_in_a_zero_byte():
+    import gzip
+
+    for body in (b"", b"x", bytes(1 << 24)):
+        assert warc.member(body).endswith(b"\0") and gzip.decompress(warc.member(body)) == body
