@@ -282,3 +282,77 @@ def test_warc_members_end_in_a_zero_byte():
 
     for body in (b"", b"x", bytes(1 << 24)):
         assert warc.member(body).endswith(b"\0") and gzip.decompress(warc.member(body)) == body
+
+
+def test_pipeline_stages_against_brute_force(spark, tmp_path):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    rng = np.random.default_rng(12)
+    items = [[str(w) for w in rng.choice(WORDS, n)] for n in (16, 30, 50)]
+    texts = [[str(w) for w in rng.choice(WORDS, int(rng.integers(60, 200)))] for _ in range(24)]
+    for k in range(10):  # near copies of several distances
+        copy = list(texts[k])
+        for at in rng.permutation(len(copy))[: k // 2]:
+            copy[at] = "edited"
+        texts.append(copy)
+    for k, item in enumerate(items):  # altered benchmark passages and license texts
+        changed = [w if n % 5 else "changed" for n, w in enumerate(item)]
+        texts.append(texts[20][:40] + changed + texts[21 + k][:40])
+        mit = licenses.TEMPLATES[1][1].split()
+        texts.append(texts[20 + k][30:50] + mit[: 20 + k] + ["changed"] + mit[21 + k :] + texts[k][:30])
+    ids = [None if k % 6 == 0 else k // 2 * 2 for k in range(len(texts))]  # null and repeated ids
+    table = docs(spark, [(i, " ".join(t), "s" if k % 2 else None, str(k)) for k, (i, t) in enumerate(zip(ids, texts))])
+    spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(items)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    stages = dict(corpus_pipeline.STAGES)
+
+    def runs(width):
+        return [{tuple(t[k : k + width]) for k in range(len(t) - width + 1)} for t in texts]
+
+    def components(sets, limit):
+        label = list(range(len(sets)))
+        for a in range(len(sets)):
+            for b in range(a):
+                if len(sets[a] & sets[b]) >= limit * len(sets[a] | sets[b]):
+                    x, y = label[a], label[b]
+                    label = [min(x, y) if v in (x, y) else v for v in label]
+        return label
+
+    label = components(runs(5), 0.8)
+    lowest = {}
+    for k in range(len(texts)):
+        key = (ids[k] is None, ids[k] or 0)
+        lowest[label[k]] = min(lowest.get(label[k], key), key)
+    kept = [int(r["n_shingles"]) for r in stages["jaccard"](spark, table, str(tmp_path)).collect()]
+    assert sorted(label[k] for k in kept) == sorted(set(label)) and len(set(label)) < len(texts)
+    assert all((ids[k] is None, ids[k] or 0) == lowest[label[k]] for k in kept)
+
+    joined = {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard.join(table).collect()}
+    sets = runs(4)
+    label = components(sets, 0.85)
+    named = {x: min((i for i, y in zip(ids, label) if x == y and i is not None), default=None) for x in label}
+    assert joined == {(ids[k], len(sets[k]), named[label[k]]) for k in range(len(texts))}
+
+    seen = set()
+    for k, text in enumerate(texts):
+        for item in items:
+            for lo in range(len(text)):
+                there = text[lo : lo + 2 * len(item)]
+                row = [0] * (len(there) + 1)
+                for x in item:
+                    last = row[:]
+                    for n, y in enumerate(there):
+                        row[n + 1] = last[n] + 1 if x == y else max(row[n], last[n + 1])
+                tail = item[-(len(item) // 4) :]
+                if row[-1] >= 0.6 * len(item) and sum(w in there for w in tail) >= 0.5 * len(tail):
+                    seen.add(k)
+    clean = stages["decontamination"](spark, table, str(tmp_path))
+    assert {int(r["n_shingles"]) for r in clean.collect()} == set(range(len(texts))) - seen and len(seen) == 3
+    found = {(r["doc_id"], r["template"]) for r in licenses.scan(table).collect()}
+    assert found == {(ids[k], 1) for k in (35, 37, 39)}
+    if pytest.importorskip("public_tokenizers"):
+        rows = stages["packing"](spark, clean, str(tmp_path)).collect()
+        places = sorted((r["sequence_id"], r["offset"], r["length"]) for r in rows)
+        upto = 0
+        for window, offset, length in places:
+            assert window * packing.WINDOW + offset == upto
+            upto += length
+        assert upto == sum(r["length"] for r in rows)
