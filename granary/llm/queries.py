@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from granary.llm import decontamination, html, jaccard, licenses, packing, quality, sketches, toxicity, urls, warc
+from granary.llm import (
+    decontamination, html, infill, jaccard, langid, licenses, merkle, packing, quality, sketches, toxicity, urls, warc,
+)
 from granary.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -53,18 +56,35 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = infill.restore(infill.transform(table(spark, sf_dir, "documents")))
+    shas = [F.sha2(F.col(c).cast("binary"), 256).alias(f"{c}_sha256") for c in ("output", "restored")]
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *shas)
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    return merkle.manifest(merkle.document_leaves(table(spark, sf_dir, "documents"), tampered), proofs=False)
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def all_queries() -> dict:
     named = {
         f.__name__: f for f in (
             op1_license_scan, op2_url_filter, op3_html_extract, op4_toxicity, op5_packing, op6_warc, op7_quality,
-            op8_fingerprint, op9_jaccard_join, op10_decontaminate,
+            op8_fingerprint, op9_jaccard_join, op10_decontaminate, op11_infill, op12_merkle_manifest, op13_language_id,
         )
     }
     return {**named, "pipeline": corpus_pipeline.run}
 
 
 def all_oracles() -> dict[str, str]:
-    return {"op2_url_filter": URL_SQL, "op6_warc": WARC_SQL}
+    return {
+        "op2_url_filter": URL_SQL, "op6_warc": WARC_SQL, "op11_infill": INFILL_SQL, "op12_merkle_manifest": merkle_sql(),
+    }
 
 
 URL_SQL = r"""
@@ -90,3 +110,67 @@ SELECT page_id, payload_bytes,
        CASE WHEN page_id < kept THEN kept END AS refers_to
 FROM k
 """
+
+INFILL_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+u AS (SELECT *, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS lines, ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2,
+             ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4 FROM d),
+c AS (SELECT *, len(lines) AS n, least(h1 % (len(lines) + 1), h2 % (len(lines) + 1)) AS a, greatest(h1 % (len(lines) + 1), h2 % (len(lines) + 1)) AS b,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+                  WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (SELECT *, coalesce(array_to_string(lines[1:a], ''), '') AS prefix, coalesce(array_to_string(lines[a + 1:b], ''), '') AS middle,
+             coalesce(array_to_string(lines[b + 1:n], ''), '') AS suffix FROM c)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(t) AS restored_sha256
+FROM p
+"""
+
+
+def merkle_sql(levels: int = 16) -> str:
+    """The manifest in SQL, for sources, and a number of sources, of at most 3 ** levels."""
+    def leaf(text: str) -> str:
+        parts = ["doc_id", "source", "lang", "n_chars", text]
+        return "sha256(" + " || ".join(f"coalesce(strlen({p}::VARCHAR)::VARCHAR || ':' || {p}::VARCHAR, '-')" for p in parts) + ")"
+
+    run = "PARTITION BY tree, pos // 3 ORDER BY pos"
+    out = [f"""
+WITH d AS (SELECT doc_id, source, {leaf("text")} AS leaf, {leaf("replace(text, chr(10), '')")} AS less,
+                  list_reduce(flatten([[4294967295], flatten([[ord(x), -1, -1, -1, -1, -1, -1, -1, -1] FOR x IN string_split(doc_id::VARCHAR, '')])]),
+                    LAMBDA c, b: CASE WHEN b >= 0 THEN xor(c, b) ELSE xor(c >> 1, (c & 1) * 3988292384) END) AS crc FROM documents),
+l AS (SELECT doc_id, coalesce('=' || source, '') AS tree, leaf, CASE WHEN xor(crc, 4294967295) % 2 = 0 THEN less ELSE leaf END AS candidate FROM d),
+a0 AS (SELECT tree, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, leaf AS h, doc_id, leaf, candidate FROM l)"""]
+
+    def climb(x: str) -> None:
+        for k in range(levels):
+            out.append(f"""
+{x}s{k} AS (SELECT *, count(*) OVER (PARTITION BY tree) AS size, coalesce(string_agg(h, '') OVER ({run} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+       coalesce(string_agg(h, '') OVER ({run} ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {x}{k}),
+{x}{k + 1} AS (SELECT tree, pos // 3 AS pos, CASE WHEN max(size) > 1 THEN sha256(string_agg(h, '' ORDER BY pos)) ELSE max(h) END AS h FROM {x}s{k} GROUP BY tree, pos // 3)""")
+
+    climb("a")
+    out.append(f"""
+b0 AS (SELECT '' AS tree, row_number() OVER (ORDER BY tree) - 1 AS pos, h, tree AS name, h AS subroot FROM a{levels})""")
+    climb("b")
+    out.append("""
+f0 AS (SELECT doc_id, tree AS name, tree, pos, leaf, candidate AS f, '' AS proof FROM a0)""")
+    step = 0
+
+    def ascend(x: str) -> None:
+        nonlocal step
+        for k in range(levels):
+            out.append(f"""
+f{step + 1} AS (SELECT doc_id, name, f.tree, pos // 3 AS pos, leaf, CASE WHEN size > 1 THEN sha256(l || f || r) ELSE f END AS f, proof || l || r AS proof
+       FROM f{step} f JOIN (SELECT tree, pos, size, l, r FROM {x}s{k}) s USING (tree, pos))""")
+            step += 1
+
+    ascend("a")
+    out.append(f"""
+f{step + 1} AS (SELECT doc_id, f.name, '' AS tree, b0.pos, leaf, f, proof FROM f{step} f JOIN b0 ON f.name = b0.name)""")
+    step += 1
+    ascend("b")
+    out.append(f"""
+o AS (SELECT f.doc_id, leaf, b0.subroot, root.h AS root, sha256(proof) AS proof_sha256, f AS folded_root
+      FROM f{step} f JOIN b0 ON f.name = b0.name JOIN b{levels} root ON f.tree = root.tree)""")
+    return ",".join(out) + """
+SELECT *, folded_root = root AS verified FROM o"""
