@@ -327,6 +327,14 @@ ORACLE: dict[str, str] = {
         SELECT project, downloads_per_project, DATE '1998-06-29' AS record_date,
                number_of_unique_users_downloaded, data_download_size
         FROM combined WHERE project NOT IN ('syn-100', 'syn-98', 'syn-97')""",
+    "summary_all_time": f"WITH {DOWNLOADS}, {_public('TRUE')} SELECT * FROM public_board",
+    "summary_trailing30": f"""WITH {DOWNLOADS}, {_public("d.record_date BETWEEN DATE '1998-05-21' AND DATE '1998-06-19' AND NOT (d.record_date BETWEEN DATE '1998-05-25' AND DATE '1998-05-27' AND (d.project_id % 2 = 1 OR d.record_date = DATE '1998-05-26'))")}
+        SELECT * FROM public_board""",
+    "summary_groups": f"""WITH {DOWNLOADS}, {_group("d.record_date BETWEEN DATE '1998-03-11' AND DATE '1998-06-14'")}
+        SELECT * FROM group_board""",
+    "summary_estimate": f"""WITH {DOWNLOADS}
+        SELECT project_id, CAST(count(DISTINCT user_id) AS BIGINT) AS users, TRUE AS close FROM downloads JOIN files ON file_handle_id = id
+        WHERE record_date BETWEEN DATE '1998-01-01' AND DATE '1998-06-30' GROUP BY project_id""",
     "trending_month_top10": f"""WITH {DOWNLOADS},
         recent AS (
           SELECT project_id, record_date, user_id FROM downloads
@@ -641,6 +649,16 @@ ORACLE: dict[str, str] = {
     "stream_usage_sliding": """WITH days AS (SELECT DISTINCT CAST(CAST(ts AS DATE) + CAST(i AS INTEGER) AS DATE) AS d FROM events, range(7) r(i))
         SELECT strftime(x.d, '%Y-%m-%d') AS day, CAST(count(*) AS BIGINT) AS events, CAST(count(DISTINCT e.user_id) AS BIGINT) AS unique_users
         FROM days x JOIN events e ON CAST(e.ts AS DATE) <= x.d AND CAST(e.ts AS DATE) > x.d - 7 GROUP BY x.d""",
+    "stream_usage_late": """WITH e AS (SELECT *, event_id % 4 AS b, CAST(ts AS DATE) AS d FROM events),
+        m AS (SELECT k, max(ts) - INTERVAL 10 DAY AS mark FROM e JOIN range(1, 4) r(k) ON b < k GROUP BY k),
+        t AS (SELECT e.*, coalesce(ts < mark, FALSE) AS late FROM e LEFT JOIN m ON b = k)
+        SELECT strftime(d, '%Y-%m-%d') AS day, CAST(count(*) FILTER (NOT late) AS BIGINT) AS events,
+               CAST(count(DISTINCT user_id) FILTER (NOT late) AS BIGINT) AS unique_users, CAST(count(*) FILTER (late) AS BIGINT) AS late
+        FROM t GROUP BY d""",
+    "stream_intake_runs": """WITH e AS (SELECT DISTINCT user_id AS submission_id, event_id % 9 AS run FROM events WHERE event_type = 'signup'),
+        one AS (SELECT submission_id, min(run) AS first FROM e GROUP BY submission_id)
+        SELECT submission_id, CAST(first AS BIGINT) AS run FROM one
+        UNION ALL SELECT submission_id, CAST(min(run) AS BIGINT) FROM e JOIN one USING (submission_id) WHERE run >= first + 7 GROUP BY submission_id""",
     "stream_dedup": "SELECT DISTINCT user_id AS submission_id FROM events WHERE event_type = 'signup'",
     "stream_messages": """SELECT CAST(event_id AS VARCHAR) AS id, 'Entity syn' || event_id || ' has been created and can be viewed at https://example.org/entity/syn' || event_id AS body
         FROM events""",

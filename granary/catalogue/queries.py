@@ -15,7 +15,7 @@ from granary.catalogue.tables import Tables
 from granary.functions import dates, text, versions
 from granary.operators import aggregates, filters, joins, quality, ranking
 from granary.plans import (
-    catalog, documents, ingest, intake, leaderboards, matrix, platform, reports, runs, tracking,
+    catalog, documents, ingest, intake, leaderboards, matrix, platform, reports, runs, summaries, tracking,
 )
 from granary.session import cut_lineage, scratch_path
 from granary.sinks import files as file_sinks, tables as table_sinks
@@ -123,6 +123,61 @@ def public_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     return leaderboards.public_snapshot(_combined(Tables(spark, folder)), GROUPS, 24, ASOF)
 
 
+def _stored_usage(t: Tables, first: date, last: date, daily_from: date | None = None) -> summaries.UsageStore:
+    store = summaries.UsageStore(scratch_path(t.spark, "usage-store"), daily_from)
+    store.put(t.download_events(), t.files(), first, last)
+    return store
+
+
+@query
+def summary_all_time(spark: SparkSession, folder: str) -> DataFrame:
+    """The all-time board as a merge of stored months, the last of them merged from stored days."""
+    t = Tables(spark, folder)
+    first, last = date(1992, 1, 1), date(2002, 12, 31)
+    store = _stored_usage(t, first, last, daily_from=date(2001, 10, 1))
+    return summaries.leaderboard(t.nodes(), store.rows(spark, first, last), HOME_PROJECT, "downloads_per_project")
+
+
+@query
+def summary_trailing30(spark: SparkSession, folder: str) -> DataFrame:
+    """Thirty days that begin in one month and end in the next, after three of them have been loaded again.
+
+    The second load lacks the events of odd projects, and one day altogether.
+    """
+    t = Tables(spark, folder)
+    store = _stored_usage(t, date(1998, 5, 1), date(1998, 6, 30))
+    fewer = t.download_events().filter("project_id % 2 = 0 AND CAST(record_date AS DATE) <> DATE'1998-05-26'")
+    for _ in range(2):
+        store.put(fewer, t.files(), date(1998, 5, 25), date(1998, 5, 27))
+    rows = store.rows(spark, date(1998, 5, 21), date(1998, 6, 19))
+    return summaries.leaderboard(t.nodes(), rows, HOME_PROJECT, "downloads_per_project")
+
+
+@query
+def summary_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups over whole months in the middle and days at both ends."""
+    t = Tables(spark, folder)
+    store = _stored_usage(t, date(1998, 3, 1), date(1998, 6, 30))
+    return summaries.group_leaderboard(t.nodes(), store.rows(spark, date(1998, 3, 11), date(1998, 6, 14)), GROUPS)
+
+
+@query
+def summary_estimate(spark: SparkSession, folder: str) -> DataFrame:
+    """Unique users of half a year exactly, and whether the united sketches come within a twentieth (or two) of that."""
+    t = Tables(spark, folder)
+    first, last = date(1998, 1, 1), date(1998, 6, 30)
+    store = _stored_usage(t, first, last, daily_from=date(1998, 7, 1))
+    rows = store.rows(spark, first, last)
+    exact = summaries.totals(rows, ["project_id"]).select("project_id", F.col("number_of_unique_users_downloaded").alias("users"))
+    # one sketch per project and eighth of the users, united per project
+    parts = summaries.sketches(rows.withColumn("part", F.col("word") % 8), ["project_id", "part"])
+    near = summaries.estimated_users(parts, ["project_id"])
+    error = F.abs(F.col("estimated_users") - F.col("users"))
+    return exact.join(near, "project_id").select(
+        "project_id", "users", (error <= F.greatest(F.lit(2), F.col("users") * 0.05)).alias("close")
+    )
+
+
 @query
 def trending_month_top10(spark: SparkSession, folder: str) -> DataFrame:
     t = Tables(spark, folder)
@@ -977,6 +1032,44 @@ def stream_usage_sliding(spark: SparkSession, folder: str) -> DataFrame:
     return report.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "events", "unique_users")
 
 
+def _landed(spark: SparkSession, rows: DataFrame, parts: int, label: str) -> str:
+    """Events as a folder of ``parts`` files that arrive one after another, dealt by event id."""
+    path = scratch_path(spark, label)
+    for k in range(parts):
+        part = rows.filter(F.col("event_id") % parts == k)
+        part.repartition(1).write.mode("append").parquet(path)
+    return path
+
+
+@query
+def stream_usage_late(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts per day from four batches, and the events that came too late to be counted."""
+    events = Tables(spark, folder).raw("events").withColumn("ts", F.col("ts").cast("timestamp"))
+    path, log = _landed(spark, events, 4, "late-source"), scratch_path(spark, "late")
+    stream = jobs.stream_folder(spark, path, events.schema, files_per_batch=1)
+    jobs.run_available(stream, jobs.usage_with_late(log, "1 day", "10 days"), scratch_path(spark, "late-checkpoint"))
+    counts = jobs.usage_report(spark.read.parquet(f"{log}/counts"))
+    late = spark.read.parquet(f"{log}/late").groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("late"))
+    counts = counts.select(F.to_date("window.start").alias("day"), "events", "unique_users")
+    both = counts.join(late, "day", "full").fillna(0, ["events", "unique_users", "late"])
+    return both.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "events", "unique_users", "late")
+
+
+@query
+def stream_intake_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Submissions taken on by nine runs, each id at most once in seven runs; the last run is repeated."""
+    events = Tables(spark, folder).raw("events").select(
+        "event_id", F.col("user_id").alias("submission_id"),
+        F.when(F.col("event_type") == "signup", intake.RECEIVED).otherwise("CLOSED").alias("status"),
+    )
+    path, log = _landed(spark, events, 9, "queue"), scratch_path(spark, "taken")
+    stream = jobs.stream_folder(spark, path, events.schema, files_per_batch=1)
+    write = jobs.take_on(log)
+    jobs.run_available(stream, write, scratch_path(spark, "queue-checkpoint"))
+    write(events.filter("event_id % 9 = 8"), 8)
+    return spark.read.parquet(log).select("submission_id", F.col("batch_id").cast("long").alias("run"))
+
+
 @query
 def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     queue = _event_stream(spark, folder).select(

@@ -101,6 +101,12 @@ def up_to_month(df: DataFrame, ts: str, month: date | str) -> DataFrame:
     return df.filter(F.col(ts) < _lower_bound(df, ts, following))
 
 
+def day_range(df: DataFrame, day: str, first: date, last: date) -> DataFrame:
+    """Rows of the days ``first`` to ``last``, all of the last day included."""
+    end = last + timedelta(days=1)
+    return df.filter((F.col(day) >= _lower_bound(df, day, first)) & (F.col(day) < _lower_bound(df, day, end)))
+
+
 def trailing_days(df: DataFrame, day: str, n: int, asof: date | str) -> DataFrame:
     """Rows of the ``n`` days that end with ``asof``, all of that day included."""
     last = dates.as_date(asof)

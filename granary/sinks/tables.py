@@ -90,6 +90,16 @@ def replace_partition(df: DataFrame, path: str, keys: Sequence[str]) -> None:
     )
 
 
+def stored_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """What is stored below ``path``, or no rows where nothing has been written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def _existing_partitions(df: DataFrame, path: str, keys: Sequence[str]) -> DataFrame | None:
     spark = df.sparkSession
     try:

@@ -8,14 +8,17 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from granary.functions import messages
 from granary.operators import filters
 from granary.plans.intake import IN_PROGRESS, RECEIVED
-from granary.session import is_directory
+from granary.session import is_directory, literal_table
+from granary.sinks.tables import stored_or_empty
+
+_MARKS = "high long, counted long, late long, batch_id long"
 
 
 def stream_folder(
@@ -62,19 +65,40 @@ def usage_report(counts: DataFrame, keys: Sequence[str] = (), user: str = "user_
     )
 
 
-def sliding_report(daily: DataFrame, days: int, user: str = "user_id") -> DataFrame:
-    """Events and exact unique users of the ``days`` days up to each day.
+def sliding_report(daily: DataFrame, days: int, user: str = "user_id", keys: Sequence[str] = ()) -> DataFrame:
+    """Events and exact unique users of the ``days`` days up to each day, from daily per-user counts.
 
-    Built from the daily per-user counts, so a row is repeated per covered day
-    only after the events have been collapsed.  Days without any event in
-    their range have no row.
+    A sweep: a user's days each cover the ``days`` days from them on.  Where a covered stretch begins the number of
+    users rises by one, after its end it falls by one; events rise by a day's count and fall when it leaves the
+    range.  So a user-day gives two changes, which combine per day before they are shuffled, and a running sum
+    over days does the rest.  Days without any event in their range have no row; a missing user counts no one.
     """
     first = F.to_date("window.start")
-    covered = F.sequence(F.lit(0), F.lit(days - 1))
-    spread = daily.select(first.alias("first"), user, "n", F.explode(covered).alias("offset"))
-    return spread.groupBy(F.date_add("first", F.col("offset")).alias("day")).agg(
-        F.sum("n").alias("events"), F.countDistinct(user).alias("unique_users")
+    seen = daily.select(*keys, first.alias("first"), F.col(user).alias("_user"), "n")
+    own = Window.partitionBy(*keys, "_user").orderBy("first")
+    after, before = F.lead("first").over(own), F.lag("first").over(own)
+    here = F.col("_user").isNotNull()
+    stretches = seen.select(
+        *keys, "first", "n",
+        (here & (before.isNull() | (F.date_add(before, days) < F.col("first")))).cast("long").alias("rises"),
+        (here & (after.isNull() | (F.date_add("first", days) < after))).cast("long").alias("falls"),
+    )
+    changes = stretches.select(
+        *keys,
+        F.inline(F.array(
+            F.struct(F.col("first").alias("day"), F.col("n").alias("events"), F.col("rises").alias("users")),
+            F.struct(F.date_add("first", days).alias("day"), (-F.col("n")).alias("events"), (-F.col("falls")).alias("users")),
+        )),
     )
+    daily_changes = changes.groupBy(*keys, "day").agg(F.sum("events").alias("events"), F.sum("users").alias("users"))
+    # one row per calendar day (and key) from here on
+    order = Window.partitionBy(*keys).orderBy("day")
+    running = daily_changes.select(
+        *keys, "day", F.lead("day").over(order).alias("until"),
+        F.sum("events").over(order).alias("events"), F.sum("users").over(order).alias("unique_users"),
+    )
+    held = running.filter("events > 0").withColumn("day", F.explode(F.sequence("day", F.date_sub("until", 1))))
+    return held.select("day", *keys, "events", "unique_users")
 
 
 def approx_usage(
@@ -105,6 +129,56 @@ def batch_log(path: str, column: str = "batch_id") -> Callable[[DataFrame, int],
     return write
 
 
+def take_on(path: str, runs: int = 6, key: str = "submission_id") -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` writer that takes on received submissions, each batch being a run.
+
+    An id that one of the last ``runs`` batches has taken on is left out; after that it may come again.  The table of
+    taken ids, one partition per batch, is all the memory there is: a batch that is repeated compares with the
+    batches before it only, so it writes what it wrote.  Ids in the batch are made distinct, missing ones are dropped.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        ids = filters.by_value(batch, "status", RECEIVED).select(key).dropna().distinct()
+        taken = stored_or_empty(batch.sparkSession, path, f"{key} {dict(batch.dtypes)[key]}, batch_id long")
+        recent = taken.filter(F.col("batch_id").between(batch_id - runs, batch_id - 1))
+        batch_log(path)(ids.join(recent, key, "left_anti"), batch_id)
+
+    return write
+
+
+def usage_with_late(
+    path: str, length: str, delay: str, ts: str = "ts", user: str = "user_id", keys: Sequence[str] = ()
+) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` writer that counts events per (window, user) and keeps the late ones apart.
+
+    An event is late if it lies more than ``delay`` before the latest event of the batches before; events without a
+    time are put with them.  Below ``path``, ``counts`` holds each batch's counts, which add up, ``late`` the whole late
+    events and ``marks`` one row per batch: the latest time and how many events were counted and late.  The mark is
+    written last.  A repeated batch looks at the marks before it and replaces its own output.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        marks = stored_or_empty(spark, f"{path}/marks", _MARKS)
+        high = marks.filter(F.col("batch_id") < batch_id).agg(F.max("high")).scalar()
+        limit = F.timestamp_micros(high) - F.expr(f"INTERVAL {delay}")
+        tagged = batch.withColumn("_late", F.col(ts).isNull() | F.coalesce(F.col(ts) < limit, F.lit(False)))
+        seen = Observation()
+        counted = tagged.observe(
+            seen, F.max(F.unix_micros(ts)).alias("high"), F.count_if(~F.col("_late")).alias("counted"),
+            F.count_if("_late").alias("late"),
+        ).filter(~F.col("_late"))
+        counts = counted.groupBy(F.window(ts, length).alias("window"), *keys, user).agg(F.count(F.lit(1)).alias("n"))
+        batch_log(f"{path}/counts")(counts, batch_id)
+        found = seen.get
+        if found["late"]:
+            batch_log(f"{path}/late")(tagged.filter("_late").drop("_late"), batch_id)
+        mark = [(found["high"], found["counted"], found["late"])]
+        batch_log(f"{path}/marks")(literal_table(spark, mark, "high long, counted long, late long"), batch_id)
+
+    return write
+
+
 def latest_of_log(log: DataFrame, keys: Sequence[str], column: str = "batch_id") -> DataFrame:
     """Current state of an update log: the row of the latest batch per key."""
     rest = [c for c in log.columns if c not in keys and c != column]
