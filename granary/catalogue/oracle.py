@@ -598,14 +598,18 @@ ORACLE: dict[str, str] = {
     "release_store": """SELECT year(o_orderdate) || '_' || quarter(o_orderdate) || '_CONSORTIUM' AS "RELEASE", CAST(count(*) AS BIGINT) AS n,
         CAST(CASE WHEN year(o_orderdate) = 1996 THEN 1 ELSE count(DISTINCT o_custkey) END AS BIGINT) AS n_patients
         FROM orders GROUP BY year(o_orderdate), quarter(o_orderdate)""",
-    "release_files_ingest": """SELECT c_custkey AS record_id, CASE WHEN c_mktsegment != 'HOUSEHOLD' THEN c_name END AS c_name,
+    "release_files_ingest": """SELECT c_custkey AS record_id,
+          CASE WHEN c_mktsegment NOT IN ('HOUSEHOLD', 'AUTOMOBILE') THEN c_name END AS c_name,
           CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN c_acctbal END AS c_acctbal,
-          CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 'NSCLC' ELSE 'BRCA' END AS "COHORT",
-          CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN '2_1_CONSORTIUM' ELSE '1_2_PUBLIC' END AS "RELEASE",
-          CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 'CONSORTIUM' ELSE 'PUBLIC' END AS "RELEASE_TYPE",
-          CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 2 ELSE 1 END AS "MAJOR_VERSION",
-          CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 1 ELSE 2 END AS "MINOR_VERSION"
-        FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY', 'HOUSEHOLD')""",
+          v.cohort AS "COHORT", v.major || '_' || v.minor || '_' || v.kind AS "RELEASE", v.kind AS "RELEASE_TYPE",
+          v.major AS "MAJOR_VERSION", v.minor AS "MINOR_VERSION"
+        FROM customer JOIN (VALUES ('BUILDING', 'BRCA', 1, 2, 'PUBLIC'), ('MACHINERY', 'BRCA', 1, 2, 'PUBLIC'), ('HOUSEHOLD', 'NSCLC', 2, 1, 'CONSORTIUM'),
+             ('FURNITURE', 'NSCLC', 2, 2, 'PUBLIC'), ('AUTOMOBILE', 'CRC', 1, 1, 'CONSORTIUM')) v(segment, cohort, major, minor, kind) ON c_mktsegment = segment""",
+    "main_release_ingest": """WITH q AS (SELECT *, quarter(o_orderdate) AS q, CASE WHEN quarter(o_orderdate) % 2 = 1 THEN 'PUBLIC' ELSE 'CONSORTIUM' END AS kind FROM orders)
+        SELECT 'S' || o_orderkey AS "SAMPLE_ID", 'a "name", ' || o_orderpriority AS "NOTE",
+               CASE WHEN o_orderstatus != 'P' THEN CAST(year(o_orderdate) AS INTEGER) END AS "YEAR", '17_' || q || '_' || kind AS "RELEASE",
+               kind AS "RELEASE_TYPE", 17 AS "MAJOR_VERSION", CAST(q AS INTEGER) AS "MINOR_VERSION" FROM q""",
+    "project_ingest": """SELECT c_custkey, c_name, 'line one' || chr(10) || '"line two", ' || c_mktsegment AS note, c_mktsegment AS project FROM customer""",
     "release_file_choice": """SELECT p_partkey AS id, CASE p_type WHEN 'PROMO' THEN 'data_clinical_sample.txt' ELSE 'cancer_panel_test_level_dataset.csv' END AS name,
         CASE p_type WHEN 'PROMO' THEN 'CLINICAL_SAMPLE' ELSE 'CANCER_PANEL_TEST_LEVEL' END AS table_name
         FROM part WHERE p_type IN ('PROMO', 'LARGE')""",

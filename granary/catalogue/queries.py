@@ -790,28 +790,27 @@ def release_store(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def release_files_ingest(spark: SparkSession, folder: str) -> DataFrame:
-    """Customers delivered as files whose columns differ, then ingested by cohort and release."""
+    """All customers delivered as folders of files whose columns differ, then ingested by cohort and release."""
     t = Tables(spark, folder)
     root = scratch_path(spark, "delivery")
     target = scratch_path(spark, "cohorts")
     customers = t.raw("customer")
-    a = customers.filter("c_mktsegment IN ('BUILDING', 'MACHINERY')").select(
-        F.col("c_custkey").alias("record_id"), "c_name", F.lit("x").alias("cohort")
-    )
-    b = customers.filter("c_mktsegment = 'HOUSEHOLD'").select(
-        "c_acctbal", F.col("c_custkey").alias("record_id")
-    )
-    a.write.option("header", True).csv(f"{root}/a")
-    b.write.option("header", True).csv(f"{root}/b")
-    found = delimited.list_files(spark, root, "*.csv").select("path")
-    specs = [
-        delimited.ReleaseSpec(
-            "brca" if "/a/" in row["path"] else "nsclc", [row["path"]], "PANEL",
-            "public_01_2" if "/a/" in row["path"] else "Consortium_2_1", sep=",",
-            types={"record_id": "bigint", "c_acctbal": "double"},
-        )
-        for row in found.toLocalIterator()
+    # cohort, version, columns in their order, segments
+    deliveries = [
+        ("brca", "public_01_2", ["record_id", "c_name", "cohort"], ["BUILDING", "MACHINERY"]),
+        ("nsclc", "Consortium_2_1", ["c_acctbal", "record_id"], ["HOUSEHOLD"]),
+        ("nsclc", "public_2_2", ["record_id", "c_name", "cohort"], ["FURNITURE"]),
+        ("crc", "consortium_1_1", ["record_id"], ["AUTOMOBILE"]),
+        ("crc", "public_preview_1_0", ["record_id"], ["AUTOMOBILE"]),
     ]
+    specs = []
+    for cohort, version, columns, segments in deliveries:
+        place = f"{root}/{cohort}-{version}"
+        kept = customers.filter(F.col("c_mktsegment").isin(segments)).withColumn("cohort", F.lit("x"))
+        kept.withColumnRenamed("c_custkey", "record_id").select(*columns).write.option("header", True).csv(place)
+        specs.append(delimited.ReleaseSpec(
+            cohort, [place], "PANEL", version, ",", {"record_id": "bigint", "c_acctbal": "double"}, columns, folders=True
+        ))
     ingest.ingest_cohorts(spark, specs, target, ingested_at=INGESTED_AT)
     stored = spark.read.parquet(target)
     return stored.select(
@@ -819,6 +818,60 @@ def release_files_ingest(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def main_release_ingest(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders delivered as release folders of quarters, then walked and stored by release, twice.
+
+    Years that are not numbers become NULL.  Folders of old releases and files at other depths are left out.
+    """
+    root, target = scratch_path(spark, "releases-in"), scratch_path(spark, "main")
+    orders = Tables(spark, folder).raw("orders")
+    rows = orders.select(
+        F.concat(F.lit("S"), F.col("o_orderkey").cast("string")).alias("SAMPLE_ID"),
+        F.concat(F.lit('a "name", '), F.col("o_orderpriority")).alias("NOTE"),
+        F.when(F.col("o_orderstatus") == "P", "unknown").otherwise(F.year("o_orderdate").cast("string")).alias("YEAR"),
+        F.quarter("o_orderdate").alias("quarter"),
+    )
+    file = "data_clinical_sample.txt"
+    places = [(q, f"Releases/Release 17/17.{q}-{'public' if q % 2 else 'consortium'}") for q in range(1, 5)]
+    for q, place in [*places, (1, "Releases/Release 05/5.1-public"), (2, "Releases/Release 18/deep/18.1-public"), (3, "Releases/Release 18")]:
+        part = rows.filter(F.col("quarter") == q).drop("quarter")
+        part.write.option("header", True).option("sep", "\t").option("escape", '"').csv(f"{root}/{place}/{file}")
+    for overwrite in (False, False, True):
+        ingest.ingest_walk(
+            spark, root, target, ["SAMPLE_ID", "NOTE", "YEAR"], overwrite, {"YEAR": "int"}, ingested_at=INGESTED_AT
+        )
+    return spark.read.parquet(f"{target}/CLINICAL_SAMPLE").drop("INGESTED_AT")
+
+
+@query
+def project_ingest(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers delivered per market segment, two files each, one table per project; notes hold line breaks.
+
+    The tables are written, left alone and replaced, and every project's rows come back.
+    """
+    root, target = scratch_path(spark, "projects-in"), scratch_path(spark, "projects")
+    run = target.rsplit("-", 1)[-1]
+    customers = Tables(spark, folder).raw("customer").select(
+        "c_custkey", "c_name", F.concat(F.lit('line one\n"line two", '), F.col("c_mktsegment")).alias("note"), "c_mktsegment"
+    )
+    specs = []
+    for segment in ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]:
+        files = [f"{root}/{segment}-{half}" for half in range(2)]
+        for half, path in enumerate(files):
+            part = customers.filter((F.col("c_mktsegment") == segment) & (F.col("c_custkey") % 2 == half))
+            part.drop("c_mktsegment").write.option("header", True).option("escape", '"').csv(path)
+        specs.append(delimited.ReleaseSpec(
+            f"p_{run}_{segment.lower()}", files, "clinical", types={"c_custkey": "bigint"},
+            columns=["c_custkey", "c_name", "note"], multi_line=True,
+        ))
+    for overwrite in (False, False, True):
+        ingest.ingest_projects(spark, specs, overwrite, INGESTED_AT, strict=True, location=target)
+    stored = [spark.table(f"{s.cohort}.{s.table}") for s in specs]
+    segment = F.upper(F.substring_index("RELEASE", "_", -1))
+    return ranking.stack(*stored).select("c_custkey", "c_name", "note", segment.alias("project"))
+
+
 @query
 def release_file_choice(spark: SparkSession, folder: str) -> DataFrame:
     name = (

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from granary.functions import versions
 from granary.operators import filters, quality
@@ -70,33 +70,73 @@ def ingest_main(
     tables.store_release(main_releases(rows, ingested_at=ingested_at), path, MAIN_KEYS, overwrite_partition)
 
 
+def ingest_walk(
+    spark: SparkSession, root: str, path: str, columns: Sequence[str], overwrite_partition: bool = False,
+    types: Mapping[str, str] | None = None, strict: bool = False, ingested_at: datetime | None = None,
+    files: Mapping[str, str] | None = None, multi_line: bool = False,
+) -> dict[str, dict[str, int]]:
+    """Walk the release folders below ``root`` and store the configured files by release; one scan per file name.
+
+    ``files`` maps a file name to its table, a folder below ``path``.  Returns what was stored per table: rows,
+    malformed and unbalanced rows, and values that did not fit their type.  Skipped releases are not counted.
+    """
+    found = {}
+    for name, table in (files or delimited.PORTAL_FILES).items():
+        seen = Observation()
+        rows = delimited.release_walk(spark, root, name, columns, types, multi_line=multi_line)
+        tables.store_release(
+            main_releases(rows, ingested_at=ingested_at), f"{path.rstrip('/')}/{table}", MAIN_KEYS, overwrite_partition,
+            lambda df, seen=seen: delimited.counted_faults(df, seen, strict),
+        )
+        found[table] = delimited.faults(seen)
+    return found
+
+
 def ingest_cohorts(
     spark: SparkSession, specs: Sequence[delimited.ReleaseSpec], path: str,
-    overwrite_partition: bool = False, ingested_at: datetime | None = None,
-) -> None:
+    overwrite_partition: bool = False, ingested_at: datetime | None = None, strict: bool = False,
+) -> dict[str, int]:
     """Read the configured cohort releases and store them by cohort and release.
 
-    The same rule holds for clinical and portal files.
+    The same rule holds for clinical and portal files.  Returns the stored rows and the faults among them, as far as
+    they come from deliveries with known columns.
     """
-    rows = delimited.read_release_set(spark, specs).withColumn("_source_file", file_name(F.col("_file")))
+    seen = Observation()
+    rows = delimited.read_release_set(spark, specs, marks=True).withColumn("_source_file", file_name(F.col("_file")))
     tables.store_release(
         cohort_releases(rows.drop("_file"), "_cohort", "_source_file", ingested_at=ingested_at),
-        path, COHORT_KEYS, overwrite_partition,
+        path, COHORT_KEYS, overwrite_partition, lambda df: delimited.counted_faults(df, seen, strict),
     )
+    return delimited.faults(seen)
 
 
 def ingest_projects(
     spark: SparkSession, specs: Sequence[delimited.ReleaseSpec], overwrite: bool = False,
-    ingested_at: datetime | None = None,
+    ingested_at: datetime | None = None, strict: bool = False, faults: dict[str, dict[str, int]] | None = None,
+    location: str | None = None,
 ) -> dict[str, bool]:
-    """One schema and table per project; all files of a project are stacked in one write."""
+    """One schema and table per project; all files of a project are stacked in one write.
+
+    Files of projects with known columns are read once, and ``faults`` gets what was counted per table.  Tables are
+    kept below ``location`` if it is given.
+    """
     written = {}
     for spec in specs:
-        rows = delimited.read_delimited(spark, list(spec.files), sep=spec.separator, types=spec.types)
+        seen = Observation()
+        if spec.columns:
+            rows = delimited.read_known(
+                spark, list(spec.files), spec.columns, spec.separator, "#", spec.types, spec.multi_line
+            )
+            rows = delimited.counted_faults(rows, seen, strict)
+        else:
+            rows = delimited.read_delimited(spark, list(spec.files), sep=spec.separator, types=spec.types)
         rows = filters.add_release_metadata(rows, spec.cohort, ingested_at=ingested_at)
         tables.ensure_schema(spark, spec.cohort)
         name = f"{spec.cohort}.{spec.table}"
-        written[name] = tables.save_table(rows, name, overwrite=overwrite)
+        place = {"path": f"{location.rstrip('/')}/{spec.cohort}/{spec.table}"} if location else {}
+        written[name] = tables.save_table(rows, name, overwrite=overwrite, **place)
+        if spec.columns and written[name] and faults is not None:
+            faults[name] = delimited.faults(seen)
     return written
 
 

@@ -90,21 +90,6 @@ def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: str | Stru
     return spark.createDataFrame(table, schema)
 
 
-def settled_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """Turn a result into literal rows when it is proven to be small.
-
-    At most ``max_rows + 1`` rows reach the driver.  Within the bound the frame
-    becomes a local relation whose exact size Catalyst knows, so joins with it
-    broadcast without a hint and without shuffling the other side, and using it
-    twice does not compute it twice.  Beyond the bound the distributed frame is
-    returned as it is and joins shuffle.
-    """
-    table = df.limit(max_rows + 1).toArrow()
-    if table.num_rows > max_rows:
-        return df
-    return df.sparkSession.createDataFrame(table, df.schema)
-
-
 def is_directory(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` is a folder on the file system Spark reads it from."""
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date
 from functools import reduce
 
@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
 
 from granary.operators.quality import check_options
-from granary.session import settled_small
 
 WRITE_OPTIONS = ("format", "partition_by", "max_records_per_file", "compression", "path")
 
@@ -79,10 +78,12 @@ def by_partition(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *keys)
 
 
-def replace_partition(df: DataFrame, path: str, keys: Sequence[str]) -> None:
+def replace_partition(
+    df: DataFrame, path: str, keys: Sequence[str], finish: Callable[[DataFrame], DataFrame] | None = None
+) -> None:
     """Replace exactly the partitions that occur in ``df``; others stay as they are."""
     (
-        by_partition(df, keys)
+        by_partition(finish(df) if finish else df, keys)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*keys)
@@ -112,23 +113,29 @@ def _existing_partitions(df: DataFrame, path: str, keys: Sequence[str]) -> DataF
 
 
 def missing_partitions(df: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
-    """Rows whose partition is not stored yet."""
+    """Rows whose partition is not stored yet: one anti join, whatever the number of stored partitions."""
     existing = _existing_partitions(df, path, keys)
-    if existing is None:
-        return df
-    return df.join(settled_small(existing), list(keys), "left_anti")
+    return df if existing is None else df.join(existing, list(keys), "left_anti")
 
 
-def append_missing_partitions(df: DataFrame, path: str, keys: Sequence[str]) -> None:
+def append_missing_partitions(
+    df: DataFrame, path: str, keys: Sequence[str], finish: Callable[[DataFrame], DataFrame] | None = None
+) -> None:
     """Append partitions that are not stored yet and skip the others."""
     rows = missing_partitions(df, path, keys)
-    by_partition(rows, keys).write.mode("append").partitionBy(*keys).parquet(path)
+    by_partition(finish(rows) if finish else rows, keys).write.mode("append").partitionBy(*keys).parquet(path)
 
 
-def store_release(df: DataFrame, path: str, keys: Sequence[str], overwrite_partition: bool) -> None:
-    """The one rule for all release families: replace, or append what is missing."""
+def store_release(
+    df: DataFrame, path: str, keys: Sequence[str], overwrite_partition: bool,
+    finish: Callable[[DataFrame], DataFrame] | None = None,
+) -> None:
+    """The one rule for all release families: replace, or append what is missing.
+
+    ``finish`` is applied to the rows that are about to be written, for checks that skipped rows need not pass.
+    """
     write = replace_partition if overwrite_partition else append_missing_partitions
-    write(df, path, keys)
+    write(df, path, keys, finish)
 
 
 def refresh_and_export(df: DataFrame, path: str, rows_per_file: int = 50_000) -> None:

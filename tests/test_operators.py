@@ -5,7 +5,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from granary.operators import aggregates, filters, joins, quality, ranking
-from granary.session import cut_lineage, literal_table, settled_small
+from granary.session import cut_lineage, literal_table
 
 
 def rows(df):
@@ -377,13 +377,6 @@ def test_literal_table_is_part_of_the_plan(spark):
     assert literal_table(spark, [], "k bigint").count() == 0
 
 
-def test_settled_only_within_the_bound(spark):
-    small = settled_small(spark.range(10), 10)
-    assert "LocalTableScan" in plan(small) and small.count() == 10
-    large = settled_small(spark.range(11), 10)
-    assert "LocalTableScan" not in plan(large) and large.count() == 11
-
-
 def test_cut_lineage_is_reliable(spark):
     df = cut_lineage(spark.range(5).withColumn("r", F.rand()))
     assert rows(df) == rows(df)

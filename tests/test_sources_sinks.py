@@ -4,7 +4,7 @@ from datetime import date, datetime
 
 import pytest
 from pyspark.errors import PySparkException
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from granary.plans import ingest, intake, reports
 from granary.sinks import files, tables
@@ -332,6 +332,83 @@ def test_project_ingest_stacks_all_files(spark, tmp_path):
     assert ingest.ingest_projects(spark, [spec], ingested_at=STAMP) == {"ntrk.panel": False}
 
 
+def test_known_columns_are_read_once_and_faults_counted(spark, tmp_path):
+    a = put(tmp_path / "a.csv", '# c\nID,name,age\n1,x,4\n2,"y, ""z""",old\n3,short\n4,a,5,extra\n')
+    b = put(tmp_path / "b.csv", 'id,name,age\n5,"un,6\n6,,\n')
+    columns, types = ["id", "name", "age"], {"ID": "bigint", "age": "int"}
+    seen = Observation()
+    df = delimited.counted_faults(delimited.read_known(spark, [a, b], columns, types=types), seen)
+    assert df.columns == columns
+    assert rows(df) == [(1, "x", 4), (2, 'y, "z"', None), (3, "short", None), (4, "a", 5), (5, "un,6", None), (6, None, None)]
+    assert seen.get == {"rows": 6, "malformed": 3, "unbalanced": 1, "failed_casts": 1}
+    # counting does not depend on which columns are used
+    seen = Observation()
+    assert delimited.counted_faults(delimited.read_known(spark, [a, b], columns, types=types), seen).select("id").count() == 6
+    assert seen.get["malformed"] == 3
+    with pytest.raises(PySparkException, match="faulty row"):
+        delimited.counted_faults(delimited.read_known(spark, a, columns, types=types), Observation(), strict=True).collect()
+    with pytest.raises(Exception, match="FAILED_READ_FILE"):
+        delimited.read_known(spark, a, ["id", "other", "age"]).collect()
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    path = put(tmp_path / "a.csv", 'id,note\n1,"a\nb"\n2,c\n')
+    whole = delimited.read_known(spark, path, ["id", "note"], multi_line=True)
+    assert rows(whole.select("id", "note", "_malformed")) == [("1", "a\nb", False), ("2", "c", False)]
+    # without the option the break is not silent: its second half is malformed and unbalanced
+    split = delimited.read_known(spark, path, ["id", "note"])
+    assert [tuple(r) for r in split.filter("_malformed").select("id", "_unbalanced").collect()] == [('b"', True)]
+
+
+def test_walk_applies_the_path_rule_and_opens_no_other_file(spark, tmp_path):
+    file = "data_clinical_sample.txt"
+    good = "SAMPLE_ID\tAGE\n"
+    put(tmp_path / "in" / "Releases" / "Release 17" / "17.1-public" / file, f"#x\n{good}S1\t4\nS2\told\n")
+    put(tmp_path / "in" / "Releases" / "Release 18" / "18.02-consortium" / file, f"{good}S3\t5\n")
+    put(tmp_path / "in" / "Releases" / "Release 18" / "18.3-public" / file, good)
+    put(tmp_path / "in" / "Releases" / "Release 18" / "18.3-public" / "meta.txt", "nothing\n")
+    # would fail the job if it were opened
+    put(tmp_path / "in" / "Releases" / "Release 05" / "5.1-public" / file, "OTHER\nx\n")
+    put(tmp_path / "in" / "Releases" / file, "OTHER\nx\n")
+    put(tmp_path / "in" / "Releases" / "Release 18" / "a" / "18.4-public" / file, "OTHER\nx\n")
+    out = str(tmp_path / "out")
+
+    def load(**options):
+        return ingest.ingest_walk(spark, str(tmp_path / "in"), out, ["SAMPLE_ID", "AGE"], types={"AGE": "int"}, ingested_at=STAMP, **options)
+
+    assert load() == {"CLINICAL_SAMPLE": {"rows": 3, "malformed": 0, "unbalanced": 0, "failed_casts": 1}}
+    assert load()["CLINICAL_SAMPLE"]["rows"] == 0
+    df = spark.read.parquet(f"{out}/CLINICAL_SAMPLE")
+    assert rows(df.select("SAMPLE_ID", "AGE", "RELEASE", "MAJOR_VERSION", "MINOR_VERSION")) == [
+        ("S1", 4, "17_1_PUBLIC", 17, 1), ("S2", None, "17_1_PUBLIC", 17, 1), ("S3", 5, "18_2_CONSORTIUM", 18, 2),
+    ]
+    with pytest.raises(PySparkException, match="faulty row"):
+        load(overwrite_partition=True, strict=True)
+    put(tmp_path / "in" / "Releases" / "Release 19" / "v19-public" / file, f"{good}S9\t1\n")
+    with pytest.raises(PySparkException, match="Unexpected version format"):
+        load()
+
+
+def test_release_set_with_known_columns(spark, tmp_path):
+    specs = [
+        delimited.ReleaseSpec("crc", [str(tmp_path / "one")], "P", "public_02_2", columns=["cohort", "id"], types={"id": "int"}, folders=True),
+        delimited.ReleaseSpec("brca", [str(tmp_path / "two" / "p q.csv")], "P", "consortium_1_1", columns=["id", "note"], types={"id": "int"}),
+        delimited.ReleaseSpec("nsclc", [str(tmp_path / "three.csv")], "P", "public_1_1", types={"id": "int"}),
+    ]
+    put(tmp_path / "one" / "a.csv", "cohort,id\nwrong,1\n")
+    put(tmp_path / "one" / "b.csv", "cohort,id\nwrong,x\n")
+    put(tmp_path / "two" / "p q.csv", "id,note\n3,n\n4\n")
+    put(tmp_path / "three.csv", "age,id\n7,5\n")
+    path = str(tmp_path / "out")
+    found = ingest.ingest_cohorts(spark, specs, path, ingested_at=STAMP)
+    assert found == {"rows": 5, "malformed": 1, "unbalanced": 0, "failed_casts": 1}
+    assert rows(spark.read.parquet(path).select("id", "note", "age", "COHORT", "RELEASE", "SOURCE_FILE")) == [
+        (1, None, None, "CRC", "2_2_PUBLIC", "a.csv"), (3, "n", None, "BRCA", "1_1_CONSORTIUM", "p q.csv"),
+        (4, None, None, "BRCA", "1_1_CONSORTIUM", "p q.csv"), (5, None, "7", "NSCLC", "1_1_PUBLIC", "three.csv"),
+        (None, None, None, "CRC", "2_2_PUBLIC", "b.csv"),
+    ]
+
+
 def test_catalog_refresh(spark, tmp_path):
     path = put(tmp_path / "portal.csv", "id,grant\n1,g1\n")
     ingest.refresh_catalog(spark, {"portal_nf": (path, "file")})
