@@ -251,34 +251,42 @@ lines AS (
     CASE WHEN CAST(replace(source, 'src', '') AS INT) < 10 THEN 'CC-0' ELSE 'unknown_license' END ||
     '","version":1,"dct:conformsTo":"http://mlcommons.org/croissant/1.0"' ||
     CASE WHEN CAST(replace(source, 'src', '') AS INT) < 10 THEN ',"keywords":["text","web"]' ELSE ',"title":"' || source || '"' END ||
-    ',"distribution":[' AS line
+    ',"distribution":[' AS line, '' AS place
   FROM keyed
   UNION ALL
   SELECT object_key, 1,
     '{{"@type":"FileObject","@id":"metadata","contentUrl":"https://example.org/entity/' || dataset_id ||
     '.1","name":"metadata","description":"Metadata associated with ' || source ||
-    '","encodingFormat":"application/csv","md5":"unknown","sha256":"unknown"}}'
+    '","encodingFormat":"application/csv","md5":"unknown","sha256":"unknown"}}', ''
   FROM keyed
   UNION ALL
   SELECT k.object_key, 2,
     ',{{"@type":"FileObject","@id":"' || a.file_id || '.' || a.file_version || '","name":"' || a.name ||
     '","description":"' || a.description || '","contentUrl":"https://example.org/entity/' || a.file_id || '.' || a.file_version ||
-    '","encodingFormat":"' || a.encoding || '","md5":"' || a.md5 || '","sha256":"unknown"}}'
+    '","encodingFormat":"' || a.encoding || '","md5":"' || a.md5 || '","sha256":"unknown"}}', a.file_id || '.' || lpad(a.file_version::VARCHAR, 10, '0')
   FROM attached a JOIN keyed k ON a.dataset_id = k.dataset_id AND a.source = k.source
   UNION ALL
   SELECT object_key, 3,
-    '],"recordSet":{{"@type":"RecordSet","@id":"default","name":"default","description":"Metadata for the dataset","field":['
+    '],"recordSet":{{"@type":"RecordSet","@id":"default","name":"default","description":"Metadata for the dataset","field":[', ''
   FROM keyed
   UNION ALL
   SELECT k.object_key, 4,
     CASE WHEN row_number() OVER (PARTITION BY f.dataset_id ORDER BY lower(f.key), f.key) = 1 THEN '' ELSE ',' END ||
     '{{"@type":"Field","@id":"metadata/' || f.key || '","name":"' || f.key ||
-    '","description":"","dataType":"sc:Text","source":{{"fileObject":{{"@id":"metadata"}},"extract":{{"column":"' || f.key || '"}}}}}}'
+    '","description":"","dataType":"sc:Text","source":{{"fileObject":{{"@id":"metadata"}},"extract":{{"column":"' || f.key || '"}}}}}}', lower(f.key) || chr(1) || f.key
   FROM fields f JOIN keyed k ON f.dataset_id = k.dataset_id
   UNION ALL
-  SELECT object_key, 5, ']}}}}' FROM keyed
+  SELECT object_key, 5, ']}}}}', '' FROM keyed
 )"""
 
+MINIMAL = """SELECT p_name || '_syn' || p_partkey || '.minimal_croissant.jsonld' AS object_key,
+        '{"@context":"https://schema.org/","@type":"Dataset","name":"' || p_name || '","description":"' ||
+        CASE WHEN p_size > 10 THEN 'About ' || p_name ELSE '' END || '","url":"https://example.org/entity/syn' || p_partkey ||
+        '","identifier":"syn' || p_partkey || '","creator":{"@type":"Organization","name":"' ||
+        CASE WHEN p_size > 20 THEN p_brand ELSE 'Example Institute' END || '"},"license":"' ||
+        CASE WHEN p_size > 30 THEN 'CC-0' ELSE '' END || '"}' AS document
+        FROM part WHERE p_size != 13"""
+
 MATRIX = """
 cells AS (
   SELECT p.p_brand AS "Hugo", 'N' || s.s_nationkey AS specimen, max(l.l_extendedprice) AS tpm
@@ -436,17 +444,26 @@ ORACLE: dict[str, str] = {
     "users_total": "SELECT CAST(count(*) AS BIGINT) AS total_users FROM customer",
     "users_active": f"""WITH {RUNS}
         SELECT CAST(count(DISTINCT user_name) AS BIGINT) AS users_past_month FROM runs WHERE {PAST_MONTH}""",
-    "run_bundle": f"""WITH {RUNS}
-        SELECT * FROM (
-          SELECT 'total_workflows_per_workspace_past_week' AS report, count(DISTINCT workspace_id) AS n_rows FROM runs WHERE {PAST_WEEK}
-          UNION ALL SELECT 'workflow_distribution_past_week', count(*) FROM (SELECT DISTINCT workspace_id, project_name FROM runs WHERE {PAST_WEEK})
-          UNION ALL SELECT 'avg_workflows_run_per_month', 1
-          UNION ALL SELECT 'avg_workflows_run_per_week', 1
-          UNION ALL SELECT 'run_status_breakdown_past_year', count(DISTINCT status) FROM runs WHERE {YEAR} AND complete IS NOT NULL
-          UNION ALL SELECT 'workflow_breakdown_past_month', count(DISTINCT project_name) FROM runs WHERE {PAST_MONTH} AND complete IS NOT NULL
-          UNION ALL SELECT 'total_users', 1
-          UNION ALL SELECT 'active_users_past_month', 1
-        ) WHERE n_rows > 0""",
+    "run_bundle": f"""WITH {RUNS},
+        week AS (SELECT workspace_id, project_name, count(*) AS n FROM runs WHERE {PAST_WEEK} GROUP BY ALL),
+        totals AS (SELECT workspace_id, sum(n) AS total FROM week GROUP BY workspace_id),
+        closed_year AS (SELECT status, count(*) AS n FROM runs WHERE {YEAR} AND complete IS NOT NULL GROUP BY status),
+        closed_month AS (SELECT project_name, count(*) AS n FROM runs WHERE {PAST_MONTH} AND complete IS NOT NULL GROUP BY project_name),
+        lines AS (
+          SELECT 'total_workflows_per_workspace_past_week' AS report, n_name AS name, NULL AS workflow, total AS n, NULL::DOUBLE AS value, 2 AS n_fields
+          FROM totals JOIN nation ON workspace_id = n_nationkey
+          UNION ALL SELECT 'workflow_distribution_past_week', n_name, project_name, n, round(n / total * 100, 6), 4
+          FROM week JOIN totals USING (workspace_id) JOIN nation ON workspace_id = n_nationkey
+          UNION ALL SELECT 'avg_workflows_run_per_month', NULL, NULL, NULL, round(avg(n), 2), 1
+          FROM (SELECT count(*) AS n FROM runs WHERE {YEAR} GROUP BY strftime(date_created, '%B %Y')) HAVING count(*) > 0
+          UNION ALL SELECT 'avg_workflows_run_per_week', NULL, NULL, NULL, round(avg(n), 2), 1
+          FROM (SELECT count(*) AS n FROM runs WHERE {YEAR} GROUP BY strftime(date_created, '%Y/%U')) HAVING count(*) > 0
+          UNION ALL SELECT 'run_status_breakdown_past_year', status, NULL, n, round(n / (SELECT sum(n) FROM closed_year) * 100, 2), 3 FROM closed_year
+          UNION ALL SELECT 'workflow_breakdown_past_month', project_name, NULL, n, round(n / (SELECT sum(n) FROM closed_month) * 100, 2), 3 FROM closed_month
+          UNION ALL SELECT 'total_users', NULL, NULL, count(*), NULL, 1 FROM customer
+          UNION ALL SELECT 'active_users_past_month', NULL, NULL, count(DISTINCT user_name), NULL, 1 FROM runs WHERE {PAST_MONTH}
+        )
+        SELECT report, name, workflow, CAST(n AS BIGINT) AS n, value, n_fields FROM lines""",
     "run_summaries": """WITH done AS (SELECT l_orderkey, max(l_shipdate) AS shipped FROM lineitem GROUP BY l_orderkey),
         r AS (
           SELECT o.*, d.shipped + to_seconds(o.o_orderkey % 86400) - o.o_orderdate AS span,
@@ -481,8 +498,13 @@ ORACLE: dict[str, str] = {
         SELECT idx AS index, title, views, unique_downloads, link, category FROM usage""",
     "category_counts": f"WITH {USAGE} SELECT category, CAST(count(*) AS BIGINT) AS n_records FROM usage GROUP BY category",
     "report_file_totals": f"""WITH {USAGE}
-        SELECT category, CAST(sum(views) AS BIGINT) AS total_views, CAST(sum(downloads) AS BIGINT) AS total_downloads
-        FROM usage GROUP BY category""",
+        SELECT category, title, '2024-01-30' AS date, views::VARCHAR AS views, unique_views::VARCHAR AS unique_views,
+               downloads::VARCHAR AS downloads, unique_downloads::VARCHAR AS unique_downloads, link FROM usage
+        UNION ALL
+        SELECT category, 'TOTALS', '', sum(views)::VARCHAR, sum(unique_views)::VARCHAR, sum(downloads)::VARCHAR, sum(unique_downloads)::VARCHAR, ''
+        FROM usage GROUP BY category
+        UNION ALL
+        SELECT DISTINCT category, 'Title', 'Publication Date', 'Total Views', 'Unique Views', 'Total Downloads', 'Unique Downloads', 'Link' FROM usage""",
     "record_errors": """SELECT o_orderkey AS index, 'record ' || o_orderkey || ' missing fields: link' AS error FROM orders WHERE o_orderstatus != 'O'
         UNION ALL SELECT o_orderkey, 'record ' || o_orderkey || ' has empty ''link''' FROM orders WHERE o_orderstatus != 'O'
         UNION ALL SELECT o_orderkey, 'record ' || o_orderkey || ' has empty ''title''' FROM orders WHERE o_orderstatus = 'F'
@@ -537,21 +559,17 @@ ORACLE: dict[str, str] = {
           AND (p_retailprice <= 905 OR p_size > 40)""",
     "stale_minimal_objects": """SELECT replace(p_name, ' ', '_') || '_syn' || p_partkey || '.minimal_croissant.jsonld' AS key
         FROM part WHERE p_type != 'PROMO' AND p_retailprice <= 905""",
-    "dataset_documents": f"WITH {DOCS}, {DOCUMENT_LINES} SELECT * FROM lines",
+    "dataset_documents": f"WITH {DOCS}, {DOCUMENT_LINES} SELECT object_key, section, line FROM lines",
     "document_files": f"""WITH {DOCS}, {DOCUMENT_LINES}
-        SELECT object_key, CAST(count(*) AS BIGINT) AS n_lines FROM lines GROUP BY object_key""",
+        SELECT 'https://objects.example.org/' || object_key AS object_url, row_number() OVER (PARTITION BY object_key ORDER BY section, place) - 1 AS place,
+               line FROM lines""",
     "document_links": """SELECT DISTINCT 'syn' || replace(source, 'src', '') AS dataset_id, 1 AS dataset_version, 'syn900' AS dataset_collection,
         'https://objects.example.org/' || source || '_syn' || replace(source, 'src', '') || '.1_datasetCollection_syn900_croissant.jsonld' AS object_url
         FROM documents""",
     "attachments": f"""WITH {DOCS}
         SELECT dataset_id, file_id, file_version, name, description, encoding, md5 FROM attached""",
-    "minimal_documents": """SELECT p_name || '_syn' || p_partkey || '.minimal_croissant.jsonld' AS object_key,
-        '{"@context":"https://schema.org/","@type":"Dataset","name":"' || p_name || '","description":"' ||
-        CASE WHEN p_size > 10 THEN 'About ' || p_name ELSE '' END || '","url":"https://example.org/entity/syn' || p_partkey ||
-        '","identifier":"syn' || p_partkey || '","creator":{"@type":"Organization","name":"' ||
-        CASE WHEN p_size > 20 THEN p_brand ELSE 'Example Institute' END || '"},"license":"' ||
-        CASE WHEN p_size > 30 THEN 'CC-0' ELSE '' END || '"}' AS document
-        FROM part WHERE p_size != 13""",
+    "minimal_documents": MINIMAL,
+    "minimal_files": f"SELECT object_key, 0::BIGINT AS place, document AS line, FALSE AS damaged FROM ({MINIMAL})",
     "gene_matrix": f"""WITH {MATRIX}
         SELECT "Hugo", """
     + ", ".join(f"max(CASE WHEN specimen = 'N{n}' THEN tpm END) AS \"N{n}\"" for n in range(25))

@@ -284,11 +284,6 @@ def variant_paths(spark: SparkSession, folder: str) -> DataFrame:
 # -- runs --------------------------------------------------------------------
 
 
-def _reports(t: Tables) -> dict[str, DataFrame]:
-    users = t.raw("customer").select(F.col("c_name").alias("user_name"))
-    return runs.run_reports(t.runs(), t.workspaces(), users, RUN_ASOF)
-
-
 @query
 def runs_per_workspace(spark: SparkSession, folder: str) -> DataFrame:
     t = Tables(spark, folder)
@@ -335,9 +330,18 @@ def users_active(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def run_bundle(spark: SparkSession, folder: str) -> DataFrame:
-    """All reports as (report, number of rows) of the JSON bundle."""
-    bundle = file_sinks.bundle_reports(_reports(Tables(spark, folder)))
-    return bundle.groupBy("report").agg(F.count("row_json").alias("n_rows"))
+    """Every row of the eight reports, derived from one cube, read back from the JSON of the bundle."""
+    t = Tables(spark, folder)
+    users = t.raw("customer").select(F.col("c_name").alias("user_name"))
+    cube = cut_lineage(runs.run_cube(t.runs(), RUN_ASOF))
+    bundle = file_sinks.bundle_reports(runs.reports_from_cube(cube, t.workspaces(), users))
+    field = lambda *names: F.coalesce(*[F.get_json_object("row_json", f"$.{n}") for n in names])
+    return bundle.select(
+        "report", field("workspace", "status", "project_name").alias("name"), field("workflow").alias("workflow"),
+        field("total_runs", "status_count", "runs", "total_users", "users_past_month").cast("long").alias("n"),
+        F.round(field("percentage", "month_avg_past_year", "week_avg_past_year").cast("double"), 6).alias("value"),
+        F.size(F.json_object_keys("row_json")).alias("n_fields"),
+    )
 
 
 @query
@@ -378,14 +382,15 @@ def _usage_rows(t: Tables) -> DataFrame:
 
 
 def _usage_pages(t: Tables) -> DataFrame:
-    """The records as landed pages; a page never holds more than its fixed size."""
+    """The records landed as files of pages; a page never holds more than its fixed size."""
     rows = _usage_rows(t)
     page = (F.floor(F.col("p_partkey") / reports.PAGE_SIZE) + 1).alias("page")
     pages = rows.groupBy(page).agg(F.array_sort(F.collect_list("record")).alias("records"))
     total = t.raw("part").agg(F.count(F.lit(1))).scalar()
-    return cut_lineage(pages.select(
-        "page", F.struct(F.col("records").alias("hits"), total.alias("total")).alias("hits")
-    ))
+    landed = pages.select("page", F.struct(F.col("records").alias("hits"), total.alias("total")).alias("hits"))
+    path = scratch_path(t.spark, "pages")
+    landed.write.parquet(path)
+    return t.spark.read.schema(landed.schema).parquet(path)
 
 
 @query
@@ -409,17 +414,14 @@ def category_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def report_file_totals(spark: SparkSession, folder: str) -> DataFrame:
-    """Totals rows read back from the written CSV reports."""
+    """Every line of the written CSV reports as text: headings, details and totals."""
     t = Tables(spark, folder)
     path = scratch_path(spark, "report")
     records = reports.usage_columns(_usage_rows(t), RECORD_URL, F.col("p_partkey"))
     reports.write_reports(records.drop("checked"), path)
-    rows = spark.read.option("header", True).csv(path)
-    return rows.filter(F.col("Title") == reports.TOTALS).select(
-        "category",
-        F.col("Total Views").cast("long").alias("total_views"),
-        F.col("Total Downloads").cast("long").alias("total_downloads"),
-    )
+    names = list(reports.REPORT_HEADINGS)
+    rows = spark.read.schema(", ".join(f"{c} string" for c in [*names, "category"])).csv(path)
+    return rows.select("category", *[F.coalesce(c, F.lit("")).alias(c) for c in names])
 
 
 @query
@@ -652,11 +654,25 @@ def dataset_documents(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def document_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Fragments per written document file, read back."""
+    """Every line of every document under its published link, in order, from the written files."""
+    t = Tables(spark, folder)
     path = scratch_path(spark, "documents")
-    file_sinks.write_documents(_documents(Tables(spark, folder)), path)
-    rows = spark.read.text(path)
-    return rows.groupBy("object_key").agg(F.count(F.lit(1)).alias("n_lines"))
+    file_sinks.write_documents(_documents(t), path)
+    links = documents.document_links(t.datasets(), OBJECT_URL).select("object_url").distinct()
+    found = documents.resolve(links, file_sinks.document_manifest(spark, path), OBJECT_URL)
+    stored = found.filter("object_key IS NOT NULL").select("object_url", "object_key").distinct()
+    lines = file_sinks.read_documents(spark, path).join(stored, "object_key")
+    return lines.select("object_url", "place", "line")
+
+
+@query
+def minimal_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Minimal documents stored many to a file and found again by their keys; damaged pieces would show."""
+    path = scratch_path(spark, "minimal")
+    file_sinks.write_documents(documents.minimal_lines(_minimal(Tables(spark, folder))), path)
+    damaged = file_sinks.damaged_documents(spark, path).select("object_key", F.lit(True).alias("damaged")).distinct()
+    lines = file_sinks.read_documents(spark, path).join(damaged, "object_key", "left")
+    return lines.select("object_key", "place", "line", F.coalesce("damaged", F.lit(False)).alias("damaged"))
 
 
 @query
@@ -672,16 +688,20 @@ def attachments(spark: SparkSession, folder: str) -> DataFrame:
     ).drop("dataset_version", "dataset_collection")
 
 
-@query
-def minimal_documents(spark: SparkSession, folder: str) -> DataFrame:
-    rows = Tables(spark, folder).raw("part").select(
+def _minimal(t: Tables) -> DataFrame:
+    rows = t.raw("part").select(
         F.when(F.col("p_size") != 13, F.concat(F.lit("syn"), F.col("p_partkey").cast("string"))).alias("id"),
         F.col("p_name").alias("name"),
         F.when(F.col("p_size") > 10, F.concat(F.lit("About "), "p_name")).alias("description"),
         F.when(F.col("p_size") > 20, F.col("p_brand")).alias("contributors"),
         F.when(F.col("p_size") > 30, F.lit("CC-0")).alias("license"),
     )
-    return documents.minimal_documents(rows, ENTITY_URL, "Example Institute").select("object_key", "document")
+    return documents.minimal_documents(rows, ENTITY_URL, "Example Institute")
+
+
+@query
+def minimal_documents(spark: SparkSession, folder: str) -> DataFrame:
+    return _minimal(Tables(spark, folder)).select("object_key", "document")
 
 
 # -- matrix ------------------------------------------------------------------

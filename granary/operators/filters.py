@@ -192,6 +192,12 @@ def closed_between(df: DataFrame, ts: str, start: datetime, end: datetime) -> Da
     )
 
 
+def in_range(df: DataFrame, ts: str, start: datetime, end: datetime | None = None) -> Column:
+    """Whether a row lies in an inclusive time range, open at the end if none is given."""
+    low = F.col(ts) >= _lower_bound(df, ts, start)
+    return low if end is None else low & (F.col(ts) <= _lower_bound(df, ts, end))
+
+
 def between(df: DataFrame, ts: str, start: datetime, end: datetime) -> DataFrame:
     return df.filter(F.col(ts).between(_lower_bound(df, ts, start), _lower_bound(df, ts, end)))
 

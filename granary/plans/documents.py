@@ -314,6 +314,17 @@ def document_links(datasets: DataFrame, root_url: str) -> DataFrame:
     return datasets.select(*KEYS, object_url(root_url, key).alias("object_url"))
 
 
+def resolve(links: DataFrame, manifest: DataFrame, root_url: str) -> DataFrame:
+    """Published links with the stored pieces of their document, NULL where nothing is stored under the link."""
+    pieces = manifest.withColumn("object_url", object_url(root_url, F.col("object_key")))
+    return links.join(pieces, "object_url", "left")
+
+
+def minimal_lines(rows: DataFrame) -> DataFrame:
+    """Minimal documents as fragments for the document writer: one each."""
+    return rows.select("object_key", F.lit(0).alias("section"), F.lit("").alias("place"), F.col("document").alias("line"))
+
+
 def minimal_documents(catalog: DataFrame, entity_url: str, default_owner: str) -> DataFrame:
     """One small document per catalogue row: (object_key, dataset_id, dataset_name, document)."""
     rows = catalog.dropna(subset=["id"])

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from granary.functions import text
-from granary.operators import quality, ranking
+from granary.operators import quality
 from granary.sinks.files import write_ndjson_gz, write_report_csv
 from granary.sources.documents import flatten_pages, record_index
 
@@ -58,24 +58,27 @@ def usage_columns(rows: DataFrame, record_url: str, index: Column) -> DataFrame:
 def report_rows(records: DataFrame) -> DataFrame:
     """Detail rows and one flagged TOTALS row per category, in writing order.
 
-    The sort key is (is_total, index); the totals combine map-side.
+    The sort key is (is_total, index).  Details and totals are two grouping sets of one aggregate, so the records are
+    worked out once; a number per row keeps every detail a group of its own, equal ones too.
     """
-    columns = list(REPORT_HEADINGS)
-    detail = records.select("category", F.lit(0).alias("is_total"), F.col("index"), *columns)
-    totals = records.groupBy("category").agg(
-        *[F.sum(m).alias(m) for m in quality.METRIC_FIELDS]
-    ).select(
-        "category", F.lit(1).alias("is_total"), F.lit(None).cast("long").alias("index"),
-        F.lit(TOTALS).alias("title"), F.lit("").alias("date"), *quality.METRIC_FIELDS,
-        F.lit("").alias("link"),
+    texts = [c for c in REPORT_HEADINGS if c not in quality.METRIC_FIELDS]
+    rows = records.select("category", "index", *REPORT_HEADINGS, F.monotonically_increasing_id().alias("_row"))
+    keys = ["category", "_row", "index", *texts]
+    both = rows.groupingSets([[F.col("category")], [F.col(k) for k in keys]], *[F.col(k) for k in keys]).agg(
+        *[F.sum(m).alias(m) for m in quality.METRIC_FIELDS], F.grouping("_row").cast("int").alias("is_total")
     )
-    return ranking.stack(detail, totals)
+    marks = {c: F.lit(TOTALS if c == "title" else "") for c in texts}
+    shown = [
+        (F.when(F.col("is_total") == 1, marks[c]).otherwise(F.col(c)) if c in marks else F.col(c)).alias(c)
+        for c in REPORT_HEADINGS
+    ]
+    return both.select("category", "is_total", "index", *shown)
 
 
 def write_reports(records: DataFrame, path: str) -> None:
     """One CSV folder per category with the report headings."""
     rows = report_rows(records).withColumnsRenamed(REPORT_HEADINGS)
-    write_report_csv(rows, path, "category", ["is_total", "index"])
+    write_report_csv(rows, path, "category", ["is_total", "index"], heads=F.col("is_total") == 1)
 
 
 def require_usage_records(records: DataFrame) -> None:
