@@ -638,6 +638,11 @@ ORACLE: dict[str, str] = {
         SELECT coalesce(t.p_partkey, s.k) AS p_partkey, t.p_name, CASE WHEN s.k IS NULL THEN t.p_brand END AS p_brand,
                CASE WHEN s.k IS NULL THEN t.p_retailprice ELSE s.price END AS p_retailprice
         FROM t FULL JOIN s ON t.p_partkey = s.k""",
+    "merge_partitions": """SELECT o_orderkey, year(o_orderdate)::INTEGER AS year,
+          CASE WHEN (year(o_orderdate) IN (1996, 1997) AND o_orderkey % 2 = 0) OR year(o_orderdate) = 1999
+               THEN CASE WHEN o_orderkey % 3 > 0 THEN o_totalprice + 1 END ELSE o_totalprice END AS o_totalprice,
+          CASE WHEN year(o_orderdate) != 1999 THEN o_orderpriority END AS o_orderpriority,
+          CASE WHEN year(o_orderdate) IN (1996, 1997, 1999) THEN 'No' ELSE 'Yes' END AS kept FROM orders""",
     "snapshot_append": """SELECT s_nationkey, CAST(count(*) AS BIGINT) AS n, d AS export_date
         FROM supplier, (VALUES ('2024-01-01'), ('2024-01-02')) v(d) GROUP BY s_nationkey, d""",
     "table_save_rules": """SELECT n_nationkey, CAST(CASE WHEN n_nationkey < 5 THEN 2 ELSE 1 END AS BIGINT) AS n, n_name FROM nation""",

@@ -930,6 +930,26 @@ def merge_upsert(spark: SparkSession, folder: str) -> DataFrame:
     return table_sinks.merge_upsert(target, source, "p_partkey")
 
 
+@query
+def merge_partitions(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders stored by year, with the orders of two years changed and a year added in place, twice.
+
+    ``kept`` tells that a row lies in a file that the merge has not written.
+    """
+    orders = Tables(spark, folder).raw("orders").select(
+        "o_orderkey", "o_totalprice", "o_orderpriority", F.year("o_orderdate").alias("year")
+    )
+    path = scratch_path(spark, "merged")
+    table_sinks.replace_partition(orders.filter("year <> 1999"), path, ["year"])
+    before = cut_lineage(spark.read.parquet(path).select(F.col("_metadata.file_name").alias("file")).distinct())
+    change = orders.filter("(year IN (1996, 1997) AND o_orderkey % 2 = 0) OR year = 1999")
+    change = change.select("o_orderkey", "year", F.when(F.col("o_orderkey") % 3 > 0, F.col("o_totalprice") + 1).alias("o_totalprice"))
+    for _ in range(2):
+        table_sinks.merge_partitions(change, path, ["o_orderkey", "year"], ["year"])
+    now = spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("file"))
+    return joins.membership_flag(now, before, ["file"], "kept").drop("file")
+
+
 @query
 def snapshot_append(spark: SparkSession, folder: str) -> DataFrame:
     """Two daily snapshots, the second one taken twice."""

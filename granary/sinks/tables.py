@@ -158,17 +158,30 @@ def append_snapshot(df: DataFrame, path: str, day: date, name: str = "export_dat
     )
 
 
+def _once(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows, failing the job that reads them if a complete key occurs twice, as MERGE would.
+
+    The check is an aggregate on the keys alone; its one number guards the first key column.
+    """
+    most = source.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).scalar()
+    message = F.lit(f"several source rows for one key ({', '.join(keys)})")
+    kind = dict(source.dtypes)[keys[0]]
+    guarded = F.when(most > 1, F.raise_error(message).cast(kind)).otherwise(F.col(keys[0]))
+    return source.withColumn(keys[0], guarded)
+
+
 def merge_upsert(target: DataFrame, source: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """New version of the target: matched rows take all source columns, new rows are added.
 
-    Presence flags decide, so that a NULL in a matched source row overwrites.
-    Write the result to a new path; never onto the folder being read.
+    Presence flags decide, so that a NULL in a matched source row overwrites.  Incomplete keys match nothing; a
+    complete key that the source repeats fails the job.  Write the result to a new path, or see ``merge_partitions``.
     """
     keys = [key] if isinstance(key, str) else list(key)
     values = [c for c in target.columns if c not in keys]
     extra = [c for c in source.columns if c not in keys and c not in values]
     if extra:
         raise ValueError(f"source has columns the target lacks: {extra}")
+    source = _once(source, keys)
     old = target.select(*keys, *[F.col(c).alias(f"_old_{c}") for c in values], F.lit(True).alias("_in_old"))
     new = source.select(
         *keys, *[F.col(c).alias(f"_new_{c}") for c in source.columns if c not in keys],
@@ -185,6 +198,32 @@ def merge_upsert(target: DataFrame, source: DataFrame, key: str | Sequence[str])
     return merged.select(*[F.col(c) if c in keys else chosen[c] for c in target.columns])
 
 
+def touched_partitions(target: DataFrame, source: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Target rows in partitions that the source has rows for.
+
+    A semi join on the partition columns; where the source's partitions are few enough to be broadcast, it prunes the
+    scan of the target.  The filter on the count marks that side as selective, which pruning asks for.
+    """
+    touched = source.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 0")
+    return target.join(touched, list(partition_by), "left_semi")
+
+
+def merge_partitions(source: DataFrame, path: str, key: str | Sequence[str], partition_by: Sequence[str]) -> None:
+    """Upsert into a stored partitioned table in place, rewriting the partitions the source touches and no other.
+
+    The partition columns belong to the key, so a row never moves to another partition.  Files are replaced when the
+    whole job has succeeded, and merging the same source again changes nothing, so a lost job is run again.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    if not set(partition_by) <= set(keys):
+        raise ValueError(f"the partition columns {list(partition_by)} have to be part of the key {keys}")
+    stored = source.sparkSession.read.parquet(path)
+    kinds = dict(stored.dtypes)
+    source = source.select(*[F.col(c).cast(kinds[c]).alias(c) if c in kinds else F.col(c) for c in source.columns])
+    merged = merge_upsert(touched_partitions(stored, source, partition_by), source, keys)
+    replace_partition(merged, path, partition_by)
+
+
 def upsert_actions(
     target: DataFrame, source: DataFrame, keys: Sequence[str], value: str
 ) -> DataFrame:
