@@ -69,7 +69,8 @@ def fingerprints(docs: DataFrame, tasks: int | None = None) -> DataFrame:
     """Fingerprints of whole texts and of their edited forms, in ascending (doc_id, text) order, first after last.
 
     A null text counts as empty, a null doc_id comes first, repeated rows follow each other.  One shuffle of the
-    texts: ranges of ids, each with the first document of the next range added.
+    texts: ranges of ids, each with the first document of the next range added.  The smallest id of every range is
+    found first and reaches the driver (``tasks`` numbers at most), so the added documents are picked in the scan.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
@@ -86,12 +87,14 @@ def fingerprints(docs: DataFrame, tasks: int | None = None) -> DataFrame:
 
     dealt = rows.withColumn("bucket", bucket_of("doc_id"))
     lowest = F.min(F.struct(F.col("doc_id"), F.col("text")))
-    # the first document of each range: ids first, so that only their texts travel
     firsts = rows.select("doc_id").withColumn("bucket", bucket_of("doc_id")).groupBy("bucket").agg(
-        F.min(F.struct("doc_id")).alias("low")
-    ).select("bucket", F.col("low.doc_id").alias("low_id"))
-    heads = dealt.join(firsts, "bucket").where(F.col("doc_id").eqNullSafe(F.col("low_id")))
-    heads = heads.groupBy("bucket").agg(lowest.alias("low")).select("bucket", "low.*")
+        F.min("doc_id").alias("low"), F.count_if(F.isnull("doc_id")).alias("none")
+    ).collect()
+    lows = [r["low"] for r in firsts if not r["none"] and r["low"] is not None]
+    first = F.col("doc_id").isin(lows)
+    if any(r["none"] for r in firsts):  # nulls come first of all, so they head their range
+        first = first | F.isnull("doc_id")
+    heads = dealt.where(first).groupBy("bucket").agg(lowest.alias("low")).select("bucket", "low.*")
     order = Window.orderBy(F.col("bucket").desc())  # one row per range of ids, at most `tasks`
     wrap = F.max("bucket").over(Window.partitionBy(F.lit(1)))
     heads = heads.select(
