@@ -8,6 +8,9 @@ queue, itself a mixture of them by the same rule over longer stretches, and so o
 
 from __future__ import annotations
 
+import json
+import os
+import re
 import zlib
 from functools import lru_cache
 
@@ -21,7 +24,9 @@ from granary.llm.common import materialised
 WINDOW = 2048
 REST = "\0small sources"  # no stored source has this name
 MIN_SHARE = 16  # sources with fewer tokens than this per window share one queue
-REMEMBERED = 10_000_000  # bounds that a layout remembers
+REMEMBERED = 1_000_000  # bounds that a layout remembers
+BATCH_CHARS = 1_000_000  # characters whose ids are handed on at a time; a longer text goes alone
+LONG_RUN = 1000  # characters without (or only of) white space that the fast encoder is kept from
 _TOKENS = "part long, doc_id long, source string, pos long, doc_tokens long, ids binary"
 _PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, queue string"
@@ -149,37 +154,98 @@ class Mixture:
         return out
 
 
+# Fixed value: how byte-level BPE cuts a text before merging.
+_BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def _byte_ranks(described: dict) -> dict[bytes, int] | None:
+    """Merge ranks of a tokenizer file that is plain byte-level BPE whose ids follow its merges, else None."""
+    model, cutter = described["model"], described.get("pre_tokenizer") or {}
+    plain = (
+        model.get("type") == "BPE" and described.get("normalizer") is None and cutter.get("type") == "ByteLevel"
+        and not cutter.get("add_prefix_space") and cutter.get("use_regex", True)
+        and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+    )
+    if not plain:
+        return None
+    # printable bytes stand for themselves in the file, the others for the characters from 256 on
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    letters = {chr(b): b for b in shown}
+    letters.update({chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in set(shown))})
+    vocabulary = model["vocab"]
+    merged = ["".join(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
+    if len(vocabulary) != 256 + len(merged) or any(vocabulary.get(m) != 256 + k for k, m in enumerate(merged)):
+        return None
+    return {bytes(letters[c] for c in token): i for token, i in vocabulary.items()}
+
+
+def encoder(tokenizer: str):
+    """A function from a text to its ids by the tokenizer file, the same ids by the fastest way there is.
+
+    Plain byte-level BPE is worked out by ``tiktoken`` from the file's own merges.  Texts that hold one of the file's
+    added tokens, or very long runs with or without white space, and all other kinds of files go through
+    ``tokenizers``, one text at a time and without threads of its own.
+    """
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    slow = Tokenizer.from_file(tokenizer)
+    with open(tokenizer, encoding="utf-8") as f:
+        described = json.load(f)
+    ranks = _byte_ranks(described)
+
+    def by_file(text: str) -> list[int]:
+        return slow.encode(text, add_special_tokens=False).ids
+
+    if ranks is None:
+        return by_file
+    import tiktoken
+
+    fast = tiktoken.Encoding("granary", pat_str=_BYTE_PATTERN, mergeable_ranks=ranks, special_tokens={})
+    added = [t["content"] for t in described.get("added_tokens", [])]
+    long_run = re.compile(rf"\S{{{LONG_RUN}}}|\s{{{LONG_RUN}}}")
+
+    def encode(text: str) -> list[int]:
+        if any(a in text for a in added) or long_run.search(text):
+            return by_file(text)
+        return fast.encode_ordinary(text)
+
+    return encode
+
+
 def tokenised(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:
     """Token ids of whole texts with their place among the task's tokens of the same source."""
 
-    def encode(batches):
+    def encoded(batches):
         from pyspark import TaskContext
-        from tokenizers import Tokenizer
 
         part = TaskContext.get().partitionId()
-        tok = Tokenizer.from_file(tokenizer)
+        encode = encoder(tokenizer)
         place: dict[str, int] = {}
+
+        def frame(out: list[tuple]) -> pd.DataFrame:
+            rows = pd.DataFrame(out, columns=["part", "doc_id", "source", "pos", "doc_tokens", "ids"])
+            return rows.astype({"doc_id": "Int64"})
+
         for b in batches:
-            for lo in range(0, len(b), 256):
-                rows = b.iloc[lo : lo + 256]
-                out = []
-                for doc_id, source, enc in zip(
-                    rows.doc_id, rows.source, tok.encode_batch(rows.text.tolist(), add_special_tokens=False)
-                ):
-                    ids = np.array([*enc.ids, end_id], dtype="<u4")
-                    at = place.get(source, 0)
-                    place[source] = at + len(ids)
-                    out.append((part, doc_id, source, at, len(ids), ids.tobytes()))
-                frame = pd.DataFrame(out, columns=["part", "doc_id", "source", "pos", "doc_tokens", "ids"])
-                frame["doc_id"] = frame["doc_id"].astype("Int64")
-                yield frame
+            out, held = [], 0
+            for doc_id, source, text in zip(b.doc_id, b.source, b.text):
+                if held and held + len(text) > BATCH_CHARS:
+                    yield frame(out)
+                    out, held = [], 0
+                ids = np.array([*encode(text), end_id], dtype="<u4")
+                at = place.get(source, 0)
+                place[source] = at + len(ids)
+                out.append((part, doc_id, source, at, len(ids), ids.tobytes()))
+                held += len(text)
+            yield frame(out)
 
     source = F.col("source") if "source" in docs.columns else F.lit(None).cast("string")
     plain = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
         F.coalesce(source, F.lit("")).alias("source"),
     )
-    return plain.mapInPandas(encode, _TOKENS)
+    return plain.mapInPandas(encoded, _TOKENS)
 
 
 def pack(

@@ -83,13 +83,13 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> tup
     return fit_ftrl([np.frombuffer(b, np.int32) for b in got.ids], got.label.to_numpy(float))
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, float], keep: list[str]) -> DataFrame:
-    """Add ``score`` (0 to 1) as sparse dot products over whole texts; a null text counts as empty (the bias alone)."""
+def score(docs: DataFrame, model: tuple[np.ndarray, float], keep: list[str], into: str = "score") -> DataFrame:
+    """Add column ``into`` (0 to 1) as sparse dot products over whole texts; a null text counts as empty (the bias alone)."""
     weights, bias = model
     shared = docs.sparkSession.sparkContext.broadcast(weights.astype(np.float32))  # 2**BITS floats: fixed size
     fields = [f for f in docs.schema.fields if f.name in keep]
     names = [f.name for f in fields]
-    schema = docs.select(*names).schema.add("score", "double")
+    schema = docs.select(*names).schema.add(into, "double")
     narrow = docs.select(*names) if "text" in names else docs.select(*names, "text")
 
     def scored(batches):
@@ -100,7 +100,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], keep: list[str]) ->
             for t in b.text:
                 ids = ngram_ids(t, hashes)
                 logits.append(bias + (float(w[ids].sum()) * SCALE / len(ids) if len(ids) else 0.0))
-            out["score"] = 1 / (1 + np.exp(-np.clip(np.array(logits, float), -30, 30)))
+            out[into] = 1 / (1 + np.exp(-np.clip(np.array(logits, float), -30, 30)))
             yield out
 
     return narrow.mapInPandas(scored, schema)
@@ -120,5 +120,5 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, max_tra
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, max_train: int = MAX_TRAIN) -> DataFrame:
     """The documents scored at or above ``threshold``, with the columns they came with."""
-    scored = score(docs, train(docs, labels, max_train), docs.columns)
-    return scored.where(F.col("score") >= threshold).drop("score")
+    scored = score(docs, train(docs, labels, max_train), docs.columns, "granary score")
+    return scored.where(F.col("granary score") >= threshold).drop("granary score")

@@ -356,3 +356,58 @@ def test_pipeline_stages_against_brute_force(spark, tmp_path):
             assert window * packing.WINDOW + offset == upto
             upto += length
         assert upto == sum(r["length"] for r in rows)
+
+
+def test_fast_ids_are_those_of_the_tokenizer_file(tmp_path):
+    import json
+    import random
+
+    path = pytest.importorskip("public_tokenizers").path("byte_bpe_50k.json")
+    from tokenizers import Tokenizer
+
+    slow, encode = Tokenizer.from_file(path), packing.encoder(path)
+    pick = random.Random(4)
+    pieces = ["don't", " we'll", "\n\n", "  ", "\t", "é", "漢字", "😀", "123", "...", "$$$", " a", "Zürich", "\u00a0", "x" * 30, "\r\n", "'S", "<|endoftext|>", "\x00", "ﬁ", "²"]
+    texts = ["", " ", "<|endoftext|>", "x" * 5000, " " * 5000, "a " * 3000, *["".join(pick.choices(pieces, k=pick.randrange(1, 40))) for _ in range(2000)]]
+    assert [encode(t) for t in texts] == [slow.encode(t, add_special_tokens=False).ids for t in texts]
+    # a file whose ids do not follow its merges, or that is another kind, is not taken for byte-level BPE
+    described = json.load(open(path, encoding="utf-8"))
+    assert packing._byte_ranks(described) is not None
+    described["model"]["merges"] = described["model"]["merges"][::-1]
+    assert packing._byte_ranks(described) is None
+    other = json.load(open(pytest.importorskip("public_tokenizers").path("word_bpe_49k.json"), encoding="utf-8"))
+    assert packing._byte_ranks(other) is None
+    word = packing.encoder(pytest.importorskip("public_tokenizers").path("word_bpe_49k.json"))
+    assert word("Hello there") == Tokenizer.from_file(pytest.importorskip("public_tokenizers").path("word_bpe_49k.json")).encode("Hello there", add_special_tokens=False).ids
+
+
+def test_toxic_beginnings_are_learned_across_halves(spark):
+    import random
+
+    pick = random.Random(2)
+    words_ = [a + b for a in ("ta", "lo", "mi", "ru", "se", "ne") for b in ("ka", "po", "ri", "du", "ve")]
+    rows, marks = [], []
+    for k in range(1200):
+        bad = k % 6 == 0
+        text = pick.choices(words_, k=30)
+        if bad:
+            text[pick.randrange(30)] = "zorg" + pick.choice(words_)
+        rows.append((k, " ".join(text), "s", "x"))
+        marks.append((k, int(bad)))
+    table = docs(spark, rows).withColumn("score", F.lit("clash")).withColumn("raw", F.lit(1)).withColumn("features", F.lit(2))
+    labels = spark.createDataFrame(marks, "doc_id long, toxic int")
+    got = {r["doc_id"]: r for r in toxicity.classify(table, labels).collect()}
+    out = [k for k, _ in marks if got[k]["held_out"]]
+    assert sum(got[k]["predicted"] == dict(marks)[k] for k in out) / len(out) > 0.97
+    kept = toxicity.keep_clean(table, labels)
+    assert kept.columns == table.columns and 950 <= kept.count() <= 1050
+    # a lexicon learned from one half knows nothing of the other half's own words
+    part = spark.createDataFrame([(1.0, k % 2, f"only{'ab'[k % 2] * 3}x") for k in range(40)] + [(0.0, k % 2, "plain") for k in range(400)], "label double, half int, text string")
+    of_one, of_zero, of_all = toxicity.learned_beginnings(part)
+    assert "onlyb" in of_one and "onlya" not in of_one and "onlya" in of_zero and {"onlya", "onlyb"} <= set(of_all)
+
+
+def test_quality_stage_with_a_clashing_column(spark):
+    table = docs(spark, [(k, "good words here", "s", "x") for k in range(6)]).withColumn("score", F.lit("clash"))
+    labels = spark.createDataFrame([(k, 1) for k in range(6)], "doc_id long, quality int")
+    assert quality.keep_good(table, labels).columns == table.columns
