@@ -574,6 +574,15 @@ ORACLE: dict[str, str] = {
         SELECT "Hugo", """
     + ", ".join(f"max(CASE WHEN specimen = 'N{n}' THEN tpm END) AS \"N{n}\"" for n in range(25))
     + ' FROM cells GROUP BY "Hugo"',
+    "gene_matrix_pivot": f"""WITH {MATRIX}
+        SELECT "Hugo", """
+    + ", ".join(f"max(CASE WHEN specimen = 'N{n}' THEN tpm END) AS \"N{n}\"" for n in range(25))
+    + ' FROM cells GROUP BY "Hugo"',
+    "gene_matrix_lines": f"""WITH {MATRIX},
+        grid AS (SELECT g."Hugo", s.specimen, c.tpm FROM (SELECT DISTINCT "Hugo" FROM cells) g
+                 JOIN (SELECT DISTINCT specimen FROM cells) s ON TRUE LEFT JOIN cells c ON c."Hugo" = g."Hugo" AND c.specimen = s.specimen)
+        SELECT "Hugo" || chr(9) || string_agg(coalesce(tpm::VARCHAR, ''), chr(9) ORDER BY specimen) AS line FROM grid GROUP BY "Hugo"
+        UNION ALL SELECT 'Hugo' || chr(9) || string_agg(specimen, chr(9) ORDER BY specimen) FROM (SELECT DISTINCT specimen FROM cells)""",
     "gene_cells": f"WITH {MATRIX} SELECT * FROM cells",
     "arg_max": """SELECT l_partkey, l_extendedprice, l_orderkey, l_linenumber FROM lineitem
         QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY l_extendedprice DESC, l_orderkey DESC, l_linenumber DESC) = 1""",

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from granary.catalogue.tables import Tables
 from granary.functions import dates, text, versions
-from granary.operators import aggregates, filters, joins, quality, ranking
+from granary.operators import aggregates, filters, joins, quality, ranking, tiles
 from granary.plans import (
     catalog, documents, ingest, intake, leaderboards, matrix, platform, reports, runs, summaries, tracking,
 )
@@ -723,8 +723,31 @@ def _expression(t: Tables) -> tuple[DataFrame, DataFrame]:
     return expression, mapping
 
 
+def _gene_tiles(t: Tables) -> tuple[DataFrame, DataFrame]:
+    path = scratch_path(t.spark, "tiles")
+    matrix.write_gene_tiles(*_expression(t), path, width=8)
+    return tiles.read_tiles(t.spark, path)
+
+
 @query
 def gene_matrix(spark: SparkSession, folder: str) -> DataFrame:
+    """The specimens' columns, put together from stored tiles."""
+    stored, places = _gene_tiles(Tables(spark, folder))
+    return tiles.selected(stored, places, matrix.GENE, "specimen", SPECIMENS)
+
+
+@query
+def gene_matrix_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole matrix as text, written and read back: headings once, every cell in its place."""
+    stored, places = _gene_tiles(Tables(spark, folder))
+    path = scratch_path(spark, "matrix")
+    tiles.write_lines(tiles.lines(stored, places, matrix.GENE, "specimen"), path)
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
+@query
+def gene_matrix_pivot(spark: SparkSession, folder: str) -> DataFrame:
+    """The same matrix for known specimens in one step."""
     expression, mapping = _expression(Tables(spark, folder))
     return matrix.gene_matrix(expression, mapping, SPECIMENS)
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from granary.functions import text
-from granary.operators import aggregates, joins
+from granary.operators import aggregates, joins, tiles
 
 GENE = "Hugo"
 
@@ -30,3 +30,8 @@ def gene_matrix(
     """One row per gene, one column per specimen, the largest value in each cell."""
     cells = expression_cells(expression, mapping)
     return aggregates.sample_matrix(cells, GENE, "specimen", "tpm", specimens)
+
+
+def write_gene_tiles(expression: DataFrame, mapping: DataFrame, path: str, width: int = tiles.WIDTH) -> None:
+    """The gene matrix stored in tiles, for any number of specimens; ``tiles`` reads, selects and prints it."""
+    tiles.write_tiles(expression_cells(expression, mapping), path, GENE, "specimen", "tpm", width)
