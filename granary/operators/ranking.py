@@ -67,12 +67,18 @@ def duplicate_rows(df: DataFrame, keys: Sequence[str], long_keys: bool = False)
 
 
 def arg_max(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """The whole row with the largest value per key; equal values fall back to the other columns."""
+    """The whole row with the largest value per key; equal values fall back to the other columns, largest first.
+
+    The largest value is a hash aggregate (for values of fixed size), and a join back finds its rows.  Only these,
+    and of each task only the first per key, are sorted to settle ties.  A missing key is a key of its own.
+    """
     rest = [c for c in df.columns if c not in keys and c != value]
-    top = df.filter(F.col(value).isNotNull()).groupBy(*keys).agg(
-        F.max(F.struct(value, *rest)).alias("_top")
-    )
-    return top.select(*keys, *[F.col("_top")[c].alias(c) for c in [value, *rest]])
+    rows = df.filter(F.col(value).isNotNull())
+    top = rows.groupBy(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]).agg(F.max(value).alias("_top"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)])
+    best = rows.join(top, same & (F.col(value) == F.col("_top"))).select(*keys, value, *rest)
+    order = Window.partitionBy(*keys).orderBy(*[F.desc_nulls_last(c) for c in rest or [value]])
+    return best.withColumn("_place", F.row_number().over(order)).filter("_place = 1").drop("_place")
 
 
 def rank_desc(df: DataFrame, column: str, tiebreak: Sequence[str] = ()) -> DataFrame:

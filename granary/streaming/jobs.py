@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from granary.functions import messages
-from granary.operators import filters
+from granary.operators import filters, ranking
 from granary.plans.intake import IN_PROGRESS, RECEIVED
 from granary.session import is_directory, literal_table
 from granary.sinks.tables import stored_or_empty
@@ -181,9 +181,7 @@ def usage_with_late(
 
 def latest_of_log(log: DataFrame, keys: Sequence[str], column: str = "batch_id") -> DataFrame:
     """Current state of an update log: the row of the latest batch per key."""
-    rest = [c for c in log.columns if c not in keys and c != column]
-    last = log.groupBy(*keys).agg(F.max_by(F.struct(*rest), column).alias("_last"))
-    return last.select(*keys, "_last.*")
+    return ranking.arg_max(log, keys, column).drop(column)
 
 
 def run_available(
@@ -222,5 +220,5 @@ def status_transitions(
 
 
 def current_status(history: DataFrame, key: str = "submission_id", ts: str = "ts") -> DataFrame:
-    """Latest status per id from the status history."""
-    return history.groupBy(key).agg(F.max_by("status", ts).alias("status"))
+    """Latest status per id from the status history; entries without a time play no part."""
+    return ranking.arg_max(history.select(key, ts, "status"), [key], ts).select(key, "status")

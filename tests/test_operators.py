@@ -1,3 +1,4 @@
+import random
 from datetime import date, datetime
 
 import pytest
@@ -262,6 +263,24 @@ def test_arg_max_skips_nulls(spark):
     assert rows(ranking.arg_max(df, ["k"], "v")) == [("g", 5.0, "b")]
 
 
+def test_arg_max_settles_ties_and_sorts_no_input(spark):
+    pick = random.Random(6)
+    data = [(pick.choice([None, "a", "b", "c"]), pick.choice([None, 1.0, 2.0, float("nan")]) if k > 30 else 2.0, pick.choice([None, 1, 2]), pick.choice([None, "x", "y"])) for k in range(300)]
+    df = spark.createDataFrame(data, "k string, v double, n int, w string").repartition(5)
+    least = lambda x: (x is not None, x or 0) if not isinstance(x, str) else (True, x)
+    want = {}
+    for k, v, n, w in data:
+        if v is not None:
+            rank = (v != v, 0 if v != v else v, least(n), (w is not None, w or ""))
+            if k not in want or rank > want[k][0]:
+                want[k] = (rank, (k, repr(v), n, w))
+    got = [(r["k"], repr(r["v"]), r["n"], r["w"]) for r in ranking.arg_max(df, ["k"], "v").collect()]
+    assert sorted(got, key=repr) == sorted((row for _, row in want.values()), key=repr)
+    text = plan(ranking.arg_max(df, ["k"], "v"))
+    assert "SortAggregate" not in text and "WindowGroupLimit" in text
+    assert ranking.arg_max(df.select("k", "v").filter("k = 'a'"), ["k"], "v").count() == 1
+
+
 def test_numbering_is_complete_under_ties_and_skew(spark):
     df = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 50).alias("v"))
     out = ranking.numbered(df.repartition(7), [F.asc("v"), F.asc("id")]).collect()
