@@ -11,33 +11,35 @@ def values(df, column):
     return [r[column] for r in df.collect()]
 
 
-@pytest.mark.parametrize("name, expected", [
-    ("19.3-consortium", ("19_3_CONSORTIUM", "CONSORTIUM", 19, 3, None)),
-    ("20.0-public", ("20_0_PUBLIC", "PUBLIC", 20, 0, None)),
-    ("01.2-Public", ("1_2_PUBLIC", "PUBLIC", 1, 2, None)),
-    ("7_1-", ("7_1_", "", 7, 1, None)),
-    ("19.3consortium", (None, None, None, None, "Unexpected folder name format: 19.3consortium")),
-    ("19.3-consortium-x", (None, None, None, None, "Unexpected folder name format: 19.3-consortium-x")),
-    ("", (None, None, None, None, "Unexpected folder name format: ")),
-    ("v19.3-consortium", (None, None, None, None, "Unexpected version format: v19.3-consortium")),
-    ("19-consortium", (None, None, None, None, "Unexpected version format: 19-consortium")),
-    ("-consortium", (None, None, None, None, "Unexpected version format: -consortium")),
-])
-def test_parse_release(spark, name, expected):
-    df = spark.createDataFrame([(name,)], "name string")
-    assert tuple(versions.parse_release(df, "name").first()["parsed"]) == expected
-
-
-@pytest.mark.parametrize("version, release", [
-    ("public_02_2", "2_2_PUBLIC"), ("consortium_03_1", "3_1_CONSORTIUM"), ("PuBlIc_10_0", "10_0_PUBLIC"),
-    ("public-02-2", None), ("public_2", None), ("consortium_02_x", None), ("random_02_2", None),
-    ("02_2_public", None), ("", None), ("public_preview_01_0", None),
-])
-def test_parse_cohort_version(spark, version, release):
-    df = spark.createDataFrame([(version,)], "version string")
-    parsed = versions.parse_cohort_version(df, "version").first()["parsed"]
-    assert parsed["release"] == release
-    assert (parsed["error"] is None) == (release is not None)
+def test_release_names_in_all_spellings(spark):
+    """Every pair of numbers with every type, spelled with zeros, points or underscores and any case."""
+    made = []
+    for major, minor in [(0, 0), (3, 14), (12, 7), (105, 20)]:
+        for kind in ("gamma", "GAMMA", "gAmMa", ""):
+            for name in (f"{major}.{minor}-{kind}", f"00{major}_0{minor}-{kind}"):
+                up = kind.upper()
+                made.append((name, (f"{major}_{minor}_{up}", up, major, minor, None)))
+    df = spark.createDataFrame([(name,) for name, _ in made], "name string")
+    got = {r["name"]: tuple(r["parsed"]) for r in versions.parse_release(df, "name").collect()}
+    assert got == dict(made)
+
+
+def test_release_names_at_fault(spark):
+    """What is wrong is told by the number of dashes first, then by the two numbers before the dash."""
+    heads = ["4.2", "4", "4.2.1", "four.2", "4.", ".2", " 4.2", "4.2 "]
+    for tails, wanted in (([""], "Unexpected folder name format: "), (["-gamma"], "Unexpected version format: "), (["-gamma-delta", "--", "-gamma-"], "Unexpected folder name format: ")):
+        names = [h + t for h in heads for t in tails if not (h == "4.2" and t == "-gamma")]
+        df = spark.createDataFrame([(n,) for n in names], "name string")
+        for r in versions.parse_release(df, "name").collect():
+            assert tuple(r["parsed"]) == (None, None, None, None, wanted + r["name"])
+
+
+def test_cohort_versions(spark):
+    good = {f"{kind}_{a}_{b}": f"{int(a)}_{int(b)}_{kind.upper()}" for kind in ("public", "Consortium", "pUBLIC") for a in ("7", "007", "41") for b in ("0", "05")}
+    bad = ["", "public", "public_7", "public_7_", "public_7_1_1", "7_1_public", "public 7 1", "private_7_1", "public_7_one", "public_preview_7_1", " public_7_1"]
+    df = spark.createDataFrame([(v,) for v in [*good, *bad]], "version string")
+    got = {r["version"]: (r["parsed"]["release"], r["parsed"]["error"]) for r in versions.parse_cohort_version(df, "version").collect()}
+    assert got == {**{v: (r, None) for v, r in good.items()}, **{v: (None, f"Unexpected version format: {v}") for v in bad}}
 
 
 def test_strict_parsing_fails_the_job(spark):
@@ -46,13 +48,16 @@ def test_strict_parsing_fails_the_job(spark):
         versions.raise_on_error(df, "parsed").collect()
 
 
-@pytest.mark.parametrize("path, valid", [
-    ("Releases/Release 17", True), ("Releases/Release 16", False), ("Releases/Release 00", False),
-    ("Releases", False), ("Releases/Release 17/extra", False),
-])
-def test_valid_release_path(spark, path, valid):
-    df = spark.createDataFrame([(path,)], "path string")
-    assert values(df.select(versions.valid_release_path(F.col("path")).alias("v")), "v") == [valid]
+def test_release_paths_by_depth_and_number(spark):
+    paths = {}
+    for number in range(25):
+        name = f"Release {number:02d}"
+        paths[f"top/{name}"] = number > 16
+        paths[name] = paths[f"top/{name}/below"] = paths[f"a/top/{name}"] = False
+    paths["top/Release 5"] = True  # only the exact old names are skipped
+    df = spark.createDataFrame([(p,) for p in paths], "path string")
+    got = {r["path"]: r["valid"] for r in df.select("path", versions.valid_release_path(F.col("path")).alias("valid")).collect()}
+    assert got == paths
 
 
 def test_untyped_releases_are_seventeen():

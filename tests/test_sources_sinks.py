@@ -122,46 +122,42 @@ def test_end_of_pages(spark, sizes, total, kept):
     assert pages_of(spark, sizes, 10, total).count() == kept
 
 
-def test_usage_records_of_two_pages(spark, tmp_path):
-    def record(n, stats=True):
-        entry = {"id": n, "metadata": {"title": f"T{n}" + (" resource" if n == 100 else ""), "publication_date": "2024-01-01"}}
-        if stats:
-            entry["stats"] = {"views": 2, "unique_views": 1, "downloads": 1, "unique_downloads": 1}
-        return entry
-
-    first = {"page": 1, "hits": {"total": 101, "hits": [record(n) for n in range(100)]}}
-    second = {"page": 2, "hits": {"total": 101, "hits": [record(100, stats=False)]}}
-    put(tmp_path / "pages" / "1.json", json.dumps(first))
-    put(tmp_path / "pages" / "2.json", json.dumps(second))
-    pages = documents.read_pages(spark, str(tmp_path / "pages"))
-    records = reports.usage_records(pages, "https://x/")
+def test_usage_records_of_several_pages(spark, tmp_path):
+    """Seven records on pages of three; every third one has no statistics, the odd ones are resources."""
+    made = [
+        {"id": 40 + n, "metadata": {"title": f"Item {n}{' Resource' * (n % 2)}", "publication_date": f"2023-0{n + 1}-09"},
+         **({"stats": {"views": 10 * n, "unique_views": n, "downloads": 3 * n, "unique_downloads": 1}} if n % 3 else {})}
+        for n in range(7)
+    ]
+    for page in range(3):
+        put(tmp_path / "pages" / f"{page}.json", json.dumps({"page": page + 1, "hits": {"total": 7, "hits": made[3 * page : 3 * page + 3]}}))
+    records = reports.usage_records(documents.read_pages(spark, str(tmp_path / "pages")), "https://x/", page_size=3)
     reports.require_usage_records(records)
-    assert records.count() == 101
-    last = records.filter("index = 100").first()
-    assert (last["views"], last["link"], last["category"]) == (0, "https://x/100", "component")
-    totals = {r["category"]: r for r in reports.report_rows(records.drop("checked")).filter("is_total = 1").collect()}
-    assert (totals["report"]["views"], totals["component"]["views"]) == (200, 0)
+    got = {r["index"]: (r["title"], r["views"], r["link"], r["category"]) for r in records.collect()}
+    assert got == {
+        n: (m["metadata"]["title"], 10 * n if n % 3 else 0, f"https://x/{40 + n}", "component" if n % 2 else "report")
+        for n, m in enumerate(made)
+    }
+    totals = {r["category"]: r["views"] for r in reports.report_rows(records.drop("checked")).filter("is_total = 1").collect()}
+    assert totals == {"report": 20 + 40, "component": 10 + 50}
 
 
 def test_report_files_end_with_totals(spark, tmp_path):
-    data = [
-        (0, "B", "2024", 5, 4, 2, 1, "l", "report"), (1, "A", "2024", 5, 3, 2, 2, "l", "report"),
-        (2, "C component", "2024", 5, 4, 2, 1, "l", "component"),
-    ]
+    kinds = ["north", "south", "west"]
+    data = [(n, f"R{n}", f"2023-{n + 1:02d}", 7 * n, 5 * n, n, n % 2, f"u/{n}", kinds[n % 3]) for n in range(9)]
     df = spark.createDataFrame(
         data, "index bigint, title string, date string, views bigint, unique_views bigint, downloads bigint, "
         "unique_downloads bigint, link string, category string"
-    )
+    ).repartition(4)
     path = tmp_path / "out"
     reports.write_reports(df, str(path))
-    def written(category):
-        return [line for part in sorted((path / f"category={category}").glob("part-*")) for line in part.read_text().splitlines()]
-
-    lines = written("report")
-    assert lines[0] == "Title,Publication Date,Total Views,Unique Views,Total Downloads,Unique Downloads,Link"
-    assert lines[1].startswith("B,") and lines[2].startswith("A,")
-    assert [line.replace('""', "") for line in lines[3:]] == ["TOTALS,,10,7,4,3,"]
-    assert len(written("component")) == 3
+    for k, kind in enumerate(kinds):
+        parts = sorted((path / f"category={kind}").glob("part-*"))
+        written = [line.replace('""', "").split(",") for part in parts for line in part.read_text().splitlines()]
+        own = [d for d in data if d[0] % 3 == k]
+        assert written[0] == list(reports.REPORT_HEADINGS.values())
+        assert written[1:-1] == [[str(v) for v in d[1:8]] for d in own]
+        assert written[-1] == ["TOTALS", "", *[str(sum(d[c] for d in own)) for c in range(3, 7)], ""]
 
 
 def test_split_reports_have_one_heading_and_keep_equal_rows(spark, tmp_path):
