@@ -63,6 +63,12 @@ class Leaves(HTMLParser):
         if tag in VOID:
             self.handle_starttag(tag, attrs)
 
+    def parse_marked_section(self, i, report=1):
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:  # of no known kind: a comment up to the next ">", as browsers take it
+            return self.rawdata.find(">", i) + 1 or -1
+
     def close_to(self, tags, stop=()):
         for k in range(len(self.open) - 1, -1, -1):
             if self.open[k][0] in tags:

@@ -411,3 +411,11 @@ def test_quality_stage_with_a_clashing_column(spark):
     table = docs(spark, [(k, "good words here", "s", "x") for k in range(6)]).withColumn("score", F.lit("clash"))
     labels = spark.createDataFrame([(k, 1) for k in range(6)], "doc_id long, quality int")
     assert quality.keep_good(table, labels).columns == table.columns
+
+
+@pytest.mark.parametrize("odd", ["<![foo[x]]>", "<![ x>", "<![", "<![foo", "<!x", "<!-- a", "<?x", "<", "</", "<a <b", "&#xFFFFFFFF;", "<![CDATA[x]]>", "<!DOCTYPE [<!x]>"])
+def test_malformed_markup_does_not_fail(odd):
+    for page in (odd, f"<p>before</p>{odd}<p>after</p>", f"<p>before</p>{odd}"):
+        texts = [b[0] for b in html.leaves(page)]
+        assert page == odd or "before" in texts[0]
+    assert [b[0] for b in html.leaves("<p>one</p><![foo[x]]><p>two</p>")] == ["one", "two"]
