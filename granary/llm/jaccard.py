@@ -1,9 +1,11 @@
-"""Exact n-gram Jaccard join by groups of documents that agree on one part of their shingles.
-
-A document's distinct shingles are dealt by hash into parts, more parts than two linked documents can differ in
-shingles, so linked documents have an equal part.  The documents with an equal part form a group.  Per group the
-token union is described by its size and the sizes of its members; a query opens a group only if the bound on its
-overlap with that union can reach the limit.  What is opened is verified on the whole shingle sets.
+"""Exact n-gram Jaccard join by a matrix of tokens and groups.
+
+A document's tokens are its distinct shingles, ordered by hash.  Documents that link agree on at least some number of
+tokens of their first few (``kept_tokens``, ``fewest_common``); of these, tokens of one document alone fall away and
+each document goes on with its rarest ones.  Documents with an equal rare token meet its pivot, and what links forms
+groups.  Each group stores the union of its members' tokens; a document of another group is compared with its members
+only where its overlap with that union reaches the fewest tokens that a link has in common.  What is opened is
+verified on the whole shingle sets.
 """
 
 from __future__ import annotations
@@ -21,8 +23,7 @@ _WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 CHUNK = 200  # texts handed on at a time
 REMEMBERED = 500_000  # names of sets a task remembers
-SPARE = 8  # one part in so many is beyond the most in which a link can differ
-_STEP = 1.5  # ratio of the sizes at the two ends of a size class
+SPARE = 16  # one token in so many is kept beyond those that a link needs for one common token
 
 
 def shingle_set(text: str | None, hashes: WordHashes, width: int = 4) -> np.ndarray:
@@ -36,49 +37,18 @@ def set_name(s: np.ndarray) -> tuple[int, int]:
     return int(np.uint64(a).view(np.int64)), int(np.uint64(b).view(np.int64))
 
 
-def size_class(n: int) -> int:
-    return int(np.floor(np.log(n) / np.log(_STEP) + 1e-9))
-
-
-def class_top(level: int) -> int:
-    """The largest size of a class."""
-    return int(np.floor(_STEP ** (level + 1) + 1e-6))
+def kept_tokens(n: int, num: int, den: int) -> int:
+    """How many of its first tokens a set of n keeps.
 
+    A link has at least ceil(num n / den) tokens in common, n being the size of either set.  Sets that keep c tokens
+    more than the rest therefore have c kept tokens in common, c being the smaller one's ``1 + n // SPARE``.
+    """
+    return min(n, n - -(-num * n // den) + 1 + n // SPARE)
 
-def part_keys(s: np.ndarray, num: int, den: int) -> tuple[np.ndarray, int]:
-    """Keys of every part, for all classes of the larger document of a link, and the most parts a class leaves empty.
 
-    With sizes a <= b a link needs at least i = ceil(num (a + b) / (num + den)) common shingles, so the two differ
-    in at most a + b - 2 i.  A document whose filled parts are no more than that also gives its empty parts.
-    """
-    n = len(s)
-    out, empty = [], 0
-    largest = n * den // num
-    for level in range(size_class(n), size_class(max(largest, n)) + 1):
-        # the number of parts depends on the class alone
-        differ = 2 * class_top(level) * (den - num) // (num + den)
-        if differ == 0:
-            continue  # such sets link only when equal
-        parts = differ + max(2, differ // SPARE)
-        with np.errstate(over="ignore"):
-            spread = mix64(s + np.uint64(level + 1))
-            place = (spread >> np.uint64(33)).astype(np.int64) % parts
-            code = mix64(spread ^ np.uint64(0xA5A5))
-            sums = np.zeros(parts, np.uint64)
-            np.add.at(sums, place, code)
-            filled = np.bincount(place, minlength=parts) > 0
-            named = mix64(sums ^ mix64(np.arange(parts, dtype=np.uint64) + np.uint64(level << 32)))
-        empty = max(empty, parts - int(filled.sum()))
-        chosen = named if filled.sum() <= differ else named[filled]
-        out.append(chosen.view(np.int64))
-    return (np.concatenate(out) if out else np.empty(0, np.int64)), empty
-
-
-def least_common(n: str, empty: str, num: int, den: int) -> str:
-    """SQL for the fewest keys that a link shares, ``n`` being the larger size and ``empty`` the fewer empty parts."""
-    top = f"cast(floor(pow({_STEP}, floor(ln({n}) / ln({_STEP}) + 1e-9) + 1) + 1e-6) as bigint)"
-    differ = f"((2 * {top} * {den - num}) div {num + den})"
-    return f"greatest(1, greatest(2, {differ} div {SPARE}) - {empty})"
+def fewest_common(n: str, num: int, den: int) -> str:
+    """SQL for the fewest kept tokens that a set of ``n`` has in common with any set it links with."""
+    return f"(1 + (({n} * {num} + {den - 1}) div {den}) div {SPARE})"
 
 
 def components(spark, edges: DataFrame) -> DataFrame:
@@ -131,48 +101,50 @@ def linked(rows: DataFrame, num: int, den: int, width: int) -> DataFrame:
         for b in batches:
             for lo in range(0, len(b), CHUNK):
                 rows = b.iloc[lo : lo + CHUNK]
-                sizes, names, checks, keys, empty = [], [], [], [], []
+                sizes, names, checks, keys = [], [], [], []
                 for t in rows.text:
                     s = shingle_set(t, hashes, width)
                     name, check = set_name(s)
                     sizes.append(len(s))
                     names.append(name)
                     checks.append(check)
-                    # a task gives the keys of equal sets once; forgetting some only repeats them
-                    got, none = part_keys(s, num, den) if len(s) and name not in seen else (None, 0)
-                    keys.append(got)
-                    empty.append(none)
+                    # a task gives the tokens of equal sets once; forgetting some only repeats them
+                    fresh = len(s) and name not in seen
+                    keys.append(s[: kept_tokens(len(s), num, den)].view(np.int64) if fresh else None)
                     if len(seen) >= REMEMBERED:
                         seen.clear()
                     seen.add(name)
                 yield pd.DataFrame({
                     "row": rows.row.array, "doc_id": rows.doc_id.array, "n_shingles": sizes, "short": names, "check": checks, "keys": keys,
-                    "empty": empty,
                 }).astype({"doc_id": "Int64"})
 
-    schema = "row long, doc_id long, n_shingles long, short long, check long, keys array<long>, empty int"
+    schema = "row long, doc_id long, n_shingles long, short long, check long, keys array<long>"
     found = materialised(plain.mapInPandas(sets, schema), "jaccard-sets")
     reps = found.where("n_shingles > 0").groupBy("short", "check").agg(
         F.min("row").alias("rep"), F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "row")).alias("first")
     )
     reps = materialised(reps, "jaccard-classes")
-    keys = found.where("keys is not null").select("short", F.col("n_shingles").cast("int").alias("n"), "empty", F.explode("keys").alias("key"))
-    # most keys occur once: only those that come again go on
-    again = materialised(keys.groupBy("key").count().where("count > 1").select("key"), "jaccard-again")
-    shared = materialised(keys.join(again, "key"), "jaccard-shared")
-    # groups of at least two members: their pivot, and the largest and smallest set of the union
-    groups = shared.groupBy("key").agg(
+    keys = found.where("keys is not null").select("short", F.col("n_shingles").cast("int").alias("n"), F.explode("keys").alias("key"))
+    # most tokens are in one set only: the others go on
+    again = keys.groupBy("key").agg(F.count("*").alias("sets"), F.min("short").alias("lo"), F.max("short").alias("hi"))
+    again = materialised(again.where("lo <> hi").select("key", "sets"), "jaccard-again")
+    tokens = keys.join(again, "key").groupBy("short").agg(
+        F.max("n").alias("n"), F.sort_array(F.collect_set(F.struct("sets", "key"))).alias("tokens")
+    )
+    # a set has so many tokens in common with each it links with, so all but that many, less one, hold a common token;
+    # sets with fewer tokens link with nothing
+    spare = f"size(tokens) - {fewest_common('n', num, den)} + 1"
+    tokens = materialised(tokens.where(f"{spare} > 0").withColumn("tokens", F.col("tokens.key")), "jaccard-tokens")
+    rare = tokens.select("short", "n", F.explode(F.expr(f"slice(tokens, 1, {spare})")).alias("key"))
+    # the pivot of a token, and the largest and smallest set that has it
+    groups = rare.groupBy("key").agg(
         F.min("short").alias("pivot"), F.max("short").alias("last"), F.max("n").alias("largest"), F.min("n").alias("smallest")
     ).where("pivot <> last").drop("last")
-    members = shared.join(groups, "key").where(
-        # a union whose members are all too small or too large for the query cannot hold a link
+    members = rare.join(groups, "key").where(
+        # sets all too small or too large for this one cannot link with it
         (F.col("n") * num <= F.col("largest") * den) & (F.col("smallest") * num <= F.col("n") * den)
-    ).select("key", "short", "pivot", "n", "empty").distinct()
+    ).select("key", "short", "pivot", "n")
     members = materialised(members, "jaccard-members")
-    # sets that share fewer keys with all others together than a link shares are left closed
-    able = members.groupBy("short").agg(F.count("*").alias("c"), F.max("n").alias("n"), F.max("empty").alias("empty"))
-    able = able.where("c >= " + least_common("n", "empty", num, den)).select("short")
-    members = materialised(members.join(able, "short"), "jaccard-able")
     # the shingles of what is opened, worked out again from the representative's text
     opened = reps.join(members.select("short").distinct(), "short").select(F.col("rep").alias("row"), "short")
     opened = materialised(opened, "jaccard-opened")
@@ -207,33 +179,43 @@ def linked(rows: DataFrame, num: int, den: int, width: int) -> DataFrame:
 
         return materialised(rows.mapInPandas(check, "a long, b long"), "jaccard-links")
 
-    sizes = members.select(F.col("short").alias("a"), F.col("n").alias("na"), F.col("empty").alias("ea")).distinct()
-    stars = members.where("short <> pivot").groupBy(F.col("pivot").alias("a"), F.col("short").alias("b")).agg(
-        F.count("*").alias("c"), F.max("n").alias("nb"), F.max("empty").alias("eb")
-    )
-    fits = f"least(na, nb) * {den} >= greatest(na, nb) * {num} and c >= " + least_common(
-        "greatest(na, nb)", "least(ea, eb)", num, den
-    )
-    # a pivot leads only some of the groups it shares with a set, so what fails here is looked at again below
+    sizes = members.select(F.col("short").alias("a"), F.col("n").alias("na")).distinct()
+    stars = members.where("short <> pivot").select(F.col("pivot").alias("a"), F.col("short").alias("b"), F.col("n").alias("nb")).distinct()
+    fits = f"least(na, nb) * {den} >= greatest(na, nb) * {num}"
     stars = materialised(stars.join(sizes, "a").where(fits).select("a", "b"), "jaccard-stars")
     links = verified(stars)
+    # groups are the components so far; a rare token in several groups may hide links between them
     label = components(spark, links)
-    # members of one group that the pivot did not bring together: every pair of them across components
-    named = members.join(label, members.short == label.node, "left").select(
-        "key", "short", "n", "empty", F.coalesce("component", "short").alias("component")
+    named = members.drop("pivot").join(label, members.short == label.node, "left").select(
+        "key", "short", "n", F.coalesce("component", "short").alias("component")
     )
     mixed = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
     open_ = materialised(named.join(mixed.select("key"), "key"), "jaccard-open")
+    # the matrix: one row for each token of a group's union, with the sizes of the sets that have it
+    of_group = open_.select("short", "component").distinct()
+    union = of_group.join(tokens, "short").select("component", "n", F.explode("tokens").alias("key"))
+    union = union.groupBy("component", "key").agg(F.min("n").alias("smallest"), F.max("n").alias("largest"))
+    union = materialised(union, "jaccard-unions")
+    # sets and groups that meet in a rare token, then their overlap over all tokens
+    near = open_.groupBy("key", F.col("component").alias("group")).agg(F.min("n").alias("smallest"), F.max("n").alias("largest"))
+    met = open_.join(near, "key").where(
+        (F.col("component") != F.col("group")) & (F.col("n") * num <= F.col("largest") * den) & (F.col("smallest") * num <= F.col("n") * den)
+    ).select("short", "group").distinct()
+    met = materialised(met, "jaccard-met")
+    probe = met.join(tokens, "short").select("short", "group", "n", F.explode("tokens").alias("key"))
+    reach = probe.join(union.withColumnRenamed("component", "group"), ["group", "key"]).where(
+        (F.col("n") * num <= F.col("largest") * den) & (F.col("smallest") * num <= F.col("n") * den)
+    )
+    reach = reach.groupBy("short", "group").agg(F.count("*").alias("overlap"), F.max("n").alias("n"))
+    opens = materialised(reach.where("overlap >= " + fewest_common("n", num, den)).select("short", "group"), "jaccard-opens")
     left, right = (
-        open_.select("key", *[F.col(c).alias(d + x) for c, d in (("short", ""), ("component", "c"), ("n", "n"), ("empty", "e"))])
-        for x in "ab"
+        open_.select("key", *[F.col(c).alias(d + x) for c, d in (("short", ""), ("component", "c"), ("n", "n"))]) for x in "ab"
     )
-    rest = left.join(right, "key").where(f"a < b and ca <> cb and least(na, nb) * {den} >= greatest(na, nb) * {num}")
-    # all common groups of sets in two components are open here
-    rest = rest.groupBy("a", "b").agg(F.count("*").alias("c"), *[F.max(x).alias(x) for x in ("na", "nb", "ea", "eb")])
-    rest = rest.where(fits).select("a", "b")
-    rest = rest.join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    rest = materialised(rest, "jaccard-rest")
+    # both sets of a link open each other's group
+    left = left.join(opens.select(F.col("short").alias("a"), F.col("group").alias("cb")), "a")
+    right = right.join(opens.select(F.col("short").alias("b"), F.col("group").alias("ca")), "b")
+    rest = left.join(right, ["key", "ca", "cb"]).where("a < b").where(fits).select("a", "b").distinct()
+    rest = materialised(rest.join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "jaccard-rest")
     label = components(spark, links.unionByName(verified(rest)))
     # the first row of every component, through the classes
     classes = reps.join(label, F.col("short") == label.node, "left")

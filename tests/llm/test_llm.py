@@ -31,20 +31,48 @@ def test_join_groups_equal_and_near_documents(mixed):
     assert sorted(r["doc_id"] for r in jaccard.keep_one(mixed).collect()) == [1, 4, 5, 6, 9]
 
 
-def test_parts_meet_for_all_linked_sizes():
+def test_linked_sets_of_all_sizes_keep_enough_tokens_in_common():
     rng = np.random.default_rng(1)
-    for n in list(range(6, 40)) + [100, 1000]:
+    for num, n in [(num, n) for num in (85, 80) for n in list(range(1, 40)) + [100, 1000]]:
         a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
-        for drop in range(1, n):
+        for drop in range(0, n):
             b = np.sort(rng.permutation(a)[: n - drop])
-            if 100 * len(b) < 85 * n:
+            if 100 * len(b) < num * n:
                 break
-            (ka, ea), (kb, eb) = jaccard.part_keys(a, 85, 100), jaccard.part_keys(b, 85, 100)
-            if 2 * jaccard.class_top(jaccard.size_class(n)) * 15 // 185 == 0:
-                continue
-            differ = 2 * jaccard.class_top(jaccard.size_class(n)) * 15 // 185
-            common = len(set(ka) & set(kb))
-            assert common >= max(1, max(2, differ // jaccard.SPARE) - min(ea, eb)), (n, drop)
+            common = len(np.intersect1d(*(x[: jaccard.kept_tokens(len(x), num, 100)] for x in (a, b))))
+            for x in (a, b):
+                assert common >= 1 + -(-num * len(x) // 100) // jaccard.SPARE, (n, drop)
+
+
+def test_join_equals_brute_force_where_a_token_is_in_many_groups(spark):
+    rng = np.random.default_rng(4)
+    line, texts = [f"c{k}" for k in range(40)], []
+    for family in range(12):
+        base = [f"f{family}x{k}" for k in range(rng.integers(4, 60))]
+        for _ in range(12):
+            # copies with some words replaced, so that many links lead over other copies only
+            w = [x if rng.random() > 0.02 else f"r{rng.integers(1 << 40)}" for x in base]
+            texts.append(" ".join(line + w if rng.random() < 0.7 else w))
+    hashes = WordHashes()
+    for num, width in ((85, 4), (80, 5)):
+        sets = [jaccard.shingle_set(t, hashes, width) for t in texts]
+        first = list(range(len(texts)))
+
+        def top(k):
+            while first[k] != k:
+                k = first[k]
+            return k
+
+        for i, x in enumerate(sets):
+            for j in range(i):
+                common = len(np.intersect1d(x, sets[j]))
+                if 100 * common >= num * (len(x) + len(sets[j]) - common):
+                    lo, hi = sorted((top(i), top(j)))
+                    first[hi] = lo
+        table = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").repartition(5)
+        got = {r["doc_id"]: r["component_id"] for r in jaccard.join(table, num=num, width=width).collect()}
+        assert got == {k: top(k) for k in range(len(texts))}
+        assert 20 < len(set(got.values())) < len(texts) - 20
 
 
 def test_packing_covers_every_token_once():
