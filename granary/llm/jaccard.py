@@ -128,39 +128,44 @@ def linked(rows: DataFrame, num: int, den: int, width: int) -> DataFrame:
     # most tokens are in one set only: the others go on
     again = keys.groupBy("key").agg(F.count("*").alias("sets"), F.min("short").alias("lo"), F.max("short").alias("hi"))
     again = materialised(again.where("lo <> hi").select("key", "sets"), "jaccard-again")
-    tokens = keys.join(again, "key").groupBy("short").agg(
-        F.max("n").alias("n"), F.sort_array(F.collect_set(F.struct("sets", "key"))).alias("tokens")
-    )
-    # a set has so many tokens in common with each it links with, so all but that many, less one, hold a common token;
-    # sets with fewer tokens link with nothing
-    spare = f"size(tokens) - {fewest_common('n', num, den)} + 1"
-    tokens = materialised(tokens.where(f"{spare} > 0").withColumn("tokens", F.col("tokens.key")), "jaccard-tokens")
-    rare = tokens.select("short", "n", F.explode(F.expr(f"slice(tokens, 1, {spare})")).alias("key"))
-    # the pivot of a token, and the largest and smallest set that has it
-    groups = rare.groupBy("key").agg(
-        F.min("short").alias("pivot"), F.max("short").alias("last"), F.max("n").alias("largest"), F.min("n").alias("smallest")
-    ).where("pivot <> last").drop("last")
-    members = rare.join(groups, "key").where(
-        # sets all too small or too large for this one cannot link with it
-        (F.col("n") * num <= F.col("largest") * den) & (F.col("smallest") * num <= F.col("n") * den)
-    ).select("key", "short", "pivot", "n")
-    members = materialised(members, "jaccard-members")
+    # sets with fewer tokens in common with all others together than any link has are left closed
+    able = keys.join(again, "key").groupBy("short").agg(F.max("n").alias("n"), F.countDistinct("key").alias("c"))
+    able = able.where("c >= " + fewest_common("n", num, den)).select("short")
     # the shingles of what is opened, worked out again from the representative's text
-    opened = reps.join(members.select("short").distinct(), "short").select(F.col("rep").alias("row"), "short")
-    opened = materialised(opened, "jaccard-opened")
+    opened = materialised(reps.join(able, "short").select(F.col("rep").alias("row"), "short"), "jaccard-opened")
 
     def bodied(batches):
         hashes = WordHashes()
         for b in batches:
             for lo in range(0, len(b), CHUNK):
                 rows = b.iloc[lo : lo + CHUNK]
-                out = []
-                for short, t in zip(rows.short, rows.text):
-                    s = shingle_set(t, hashes, width)
-                    out.append((short, s.tobytes()))
-                yield pd.DataFrame(out, columns=["short", "tokens"])
-
-    bodies = materialised(plain.select("row", "text").join(opened, "row").mapInPandas(bodied, "short long, tokens binary"), "jaccard-bodies")
+                tokens = [shingle_set(t, hashes, width).view(np.int64) for t in rows.text]
+                yield pd.DataFrame({"short": rows.short.array, "n": [len(s) for s in tokens], "tokens": tokens})
+
+    bodies = plain.select("row", "text").join(opened, "row").mapInPandas(bodied, "short long, n int, tokens array<long>")
+    bodies = materialised(bodies, "jaccard-bodies")
+    # the same over all tokens of the opened sets, the rarest first: a link has ``least`` in common, so all but that
+    # many, less one, of the tokens that a set shares with others hold one that both have
+    least = f"((n * {num} + {den - 1}) div {den})"
+    every = bodies.select("short", "n", F.explode("tokens").alias("key"))
+    again = every.groupBy("key").agg(F.count("*").alias("sets")).where("sets > 1")
+    tokens = every.join(again, "key").groupBy("short").agg(
+        F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("sets", "key"))).alias("tokens")
+    )
+    tokens = materialised(tokens.where(f"size(tokens) >= {least}").withColumn("tokens", F.col("tokens.key")), "jaccard-tokens")
+    rare = tokens.select(
+        "short", "n", F.expr("n - size(tokens)").alias("own"), F.explode(F.expr(f"slice(tokens, 1, size(tokens) - {least} + 1)")).alias("key")
+    )
+    # the pivot of a token is the set with the fewest tokens of its own: copies of one text link with the least altered
+    groups = rare.groupBy("key").agg(
+        F.min(F.struct("own", "short")).alias("pivot"), F.min("short").alias("lo"), F.max("short").alias("hi"),
+        F.max("n").alias("largest"), F.min("n").alias("smallest"),
+    ).where("lo <> hi").select("key", F.col("pivot.short").alias("pivot"), "largest", "smallest")
+    members = rare.join(groups, "key").where(
+        # sets all too small or too large for this one cannot link with it
+        (F.col("n") * num <= F.col("largest") * den) & (F.col("smallest") * num <= F.col("n") * den)
+    ).select("key", "short", "pivot", "n")
+    members = materialised(members, "jaccard-members")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that link."""
@@ -172,14 +177,13 @@ def linked(rows: DataFrame, num: int, den: int, width: int) -> DataFrame:
             for b in batches:
                 keep = []
                 for ta, tb in zip(b.ta, b.tb):
-                    x, y = np.frombuffer(ta, np.uint64), np.frombuffer(tb, np.uint64)
-                    common = len(np.intersect1d(x, y, assume_unique=True))
-                    keep.append(den * common >= num * (len(x) + len(y) - common))
+                    common = len(np.intersect1d(ta, tb, assume_unique=True))
+                    keep.append(den * common >= num * (len(ta) + len(tb) - common))
                 yield b.loc[keep, ["a", "b"]]
 
         return materialised(rows.mapInPandas(check, "a long, b long"), "jaccard-links")
 
-    sizes = members.select(F.col("short").alias("a"), F.col("n").alias("na")).distinct()
+    sizes = tokens.select(F.col("short").alias("a"), F.col("n").alias("na"))
     stars = members.where("short <> pivot").select(F.col("pivot").alias("a"), F.col("short").alias("b"), F.col("n").alias("nb")).distinct()
     fits = f"least(na, nb) * {den} >= greatest(na, nb) * {num}"
     stars = materialised(stars.join(sizes, "a").where(fits).select("a", "b"), "jaccard-stars")
@@ -207,14 +211,14 @@ def linked(rows: DataFrame, num: int, den: int, width: int) -> DataFrame:
         (F.col("n") * num <= F.col("largest") * den) & (F.col("smallest") * num <= F.col("n") * den)
     )
     reach = reach.groupBy("short", "group").agg(F.count("*").alias("overlap"), F.max("n").alias("n"))
-    opens = materialised(reach.where("overlap >= " + fewest_common("n", num, den)).select("short", "group"), "jaccard-opens")
+    reach = reach.where(f"overlap >= {least}").select("short", "group", "n")
+    opens = materialised(reach.join(of_group, "short"), "jaccard-opens")
+    # both sets of a link open each other's group
     left, right = (
-        open_.select("key", *[F.col(c).alias(d + x) for c, d in (("short", ""), ("component", "c"), ("n", "n"))]) for x in "ab"
+        opens.select(F.col("short").alias(x), F.col("n").alias("n" + x), F.col("component").alias("c" + x), F.col("group").alias("c" + y))
+        for x, y in ("ab", "ba")
     )
-    # both sets of a link open each other's group
-    left = left.join(opens.select(F.col("short").alias("a"), F.col("group").alias("cb")), "a")
-    right = right.join(opens.select(F.col("short").alias("b"), F.col("group").alias("ca")), "b")
-    rest = left.join(right, ["key", "ca", "cb"]).where("a < b").where(fits).select("a", "b").distinct()
+    rest = left.join(right, ["ca", "cb"]).where("a < b").where(fits).select("a", "b")
     rest = materialised(rest.join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "jaccard-rest")
     label = components(spark, links.unionByName(verified(rest)))
     # the first row of every component, through the classes
