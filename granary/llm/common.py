@@ -24,6 +24,14 @@ def materialised(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(scratch: DataFrame) -> None:
+    """Remove the files of a ``materialised`` table; everything made from it has to be written by then."""
+    jvm, conf = scratch.sparkSession._jvm, scratch.sparkSession._jsc.hadoopConfiguration()
+    for folder in {f.rsplit("/", 1)[0] for f in scratch.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+        path.getFileSystem(conf).delete(path, True)
+
+
 ROW = "granary row"  # column of row ids
 
 

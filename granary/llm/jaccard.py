@@ -17,13 +17,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.common import ROW, WordHashes, materialised, mix64, numbered, shingles
+from granary.llm.common import ROW, WordHashes, discard, materialised, mix64, numbered, shingles
 
 _WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 CHUNK = 200  # texts handed on at a time
 REMEMBERED = 500_000  # names of sets a task remembers
-SPARE = 16  # one token in so many is kept beyond those that a link needs for one common token
+SPARE = 12  # one token in so many is kept beyond those that a link needs for one common token
 
 
 def shingle_set(text: str | None, hashes: WordHashes, width: int = 4) -> np.ndarray:
@@ -82,16 +82,17 @@ def join(docs: DataFrame, num: int = 85, den: int = 100, width: int = 4) -> Data
     is named by the smallest id in it, by null if all are null.
     """
     rows = numbered(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "jaccard-rows")
-    return linked(rows, num, den, width).select(
+    return linked(rows, num, den, width, spent=rows).select(
         "doc_id", "n_shingles", F.coalesce("first.doc_id", "doc_id").alias("component_id")
     )
 
 
-def linked(rows: DataFrame, num: int, den: int, width: int) -> DataFrame:
+def linked(rows: DataFrame, num: int, den: int, width: int, spent: DataFrame | None = None) -> DataFrame:
     """Row id, doc_id, n_shingles and first row (none, doc_id, row) of the component of every numbered row.
 
     Rows with equal sets form a class first, and only one of each class is compared.  The first row is the one with
-    the smallest id, null ids last; it is null for rows that have no shingles.
+    the smallest id, null ids last; it is null for rows that have no shingles.  ``spent`` is a scratch table that is
+    removed when the texts have been read for the last time.
     """
     spark = rows.sparkSession
     plain = rows.select(F.col(ROW).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -144,8 +145,10 @@ def linked(rows: DataFrame, num: int, den: int, width: int) -> DataFrame:
 
     bodies = plain.select("row", "text").join(opened, "row").mapInPandas(bodied, "short long, n int, tokens array<long>")
     bodies = materialised(bodies, "jaccard-bodies")
+    if spent is not None:
+        discard(spent)
     # the same over all tokens of the opened sets, the rarest first: a link has ``least`` in common, so all but that
-    # many, less one, of the tokens that a set shares with others hold one that both have
+    # many of the tokens that a set shares with others, and c more, hold c tokens that both have
     least = f"((n * {num} + {den - 1}) div {den})"
     every = bodies.select("short", "n", F.explode("tokens").alias("key"))
     again = every.groupBy("key").agg(F.count("*").alias("sets")).where("sets > 1")
@@ -153,9 +156,11 @@ def linked(rows: DataFrame, num: int, den: int, width: int) -> DataFrame:
         F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("sets", "key"))).alias("tokens")
     )
     tokens = materialised(tokens.where(f"size(tokens) >= {least}").withColumn("tokens", F.col("tokens.key")), "jaccard-tokens")
+    more = f"least(size(tokens), size(tokens) - {least} + 1 + n div {SPARE})"
     rare = tokens.select(
-        "short", "n", F.expr("n - size(tokens)").alias("own"), F.explode(F.expr(f"slice(tokens, 1, size(tokens) - {least} + 1)")).alias("key")
-    )
+        "short", "n", F.expr("n - size(tokens)").alias("own"), F.expr(f"size(tokens) - {least}").alias("last"),
+        F.posexplode(F.expr(f"slice(tokens, 1, {more})")).alias("place", "key"),
+    ).withColumn("lead", F.expr("place <= last"))
     # the pivot of a token is the set with the fewest tokens of its own: copies of one text link with the least altered
     groups = rare.groupBy("key").agg(
         F.min(F.struct("own", "short")).alias("pivot"), F.min("short").alias("lo"), F.max("short").alias("hi"),
@@ -164,7 +169,7 @@ def linked(rows: DataFrame, num: int, den: int, width: int) -> DataFrame:
     members = rare.join(groups, "key").where(
         # sets all too small or too large for this one cannot link with it
         (F.col("n") * num <= F.col("largest") * den) & (F.col("smallest") * num <= F.col("n") * den)
-    ).select("key", "short", "pivot", "n")
+    ).select("key", "short", "pivot", "n", "lead")
     members = materialised(members, "jaccard-members")
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -184,7 +189,7 @@ def linked(rows: DataFrame, num: int, den: int, width: int) -> DataFrame:
         return materialised(rows.mapInPandas(check, "a long, b long"), "jaccard-links")
 
     sizes = tokens.select(F.col("short").alias("a"), F.col("n").alias("na"))
-    stars = members.where("short <> pivot").select(F.col("pivot").alias("a"), F.col("short").alias("b"), F.col("n").alias("nb")).distinct()
+    stars = members.where("lead and short <> pivot").select(F.col("pivot").alias("a"), F.col("short").alias("b"), F.col("n").alias("nb")).distinct()
     fits = f"least(na, nb) * {den} >= greatest(na, nb) * {num}"
     stars = materialised(stars.join(sizes, "a").where(fits).select("a", "b"), "jaccard-stars")
     links = verified(stars)
@@ -195,24 +200,13 @@ def linked(rows: DataFrame, num: int, den: int, width: int) -> DataFrame:
     )
     mixed = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
     open_ = materialised(named.join(mixed.select("key"), "key"), "jaccard-open")
-    # the matrix: one row for each token of a group's union, with the sizes of the sets that have it
-    of_group = open_.select("short", "component").distinct()
-    union = of_group.join(tokens, "short").select("component", "n", F.explode("tokens").alias("key"))
-    union = union.groupBy("component", "key").agg(F.min("n").alias("smallest"), F.max("n").alias("largest"))
-    union = materialised(union, "jaccard-unions")
-    # sets and groups that meet in a rare token, then their overlap over all tokens
-    near = open_.groupBy("key", F.col("component").alias("group")).agg(F.min("n").alias("smallest"), F.max("n").alias("largest"))
-    met = open_.join(near, "key").where(
+    # the matrix: one row for each rare token of a group's union, with the sizes of the sets that have it
+    union = open_.groupBy("key", F.col("component").alias("group")).agg(F.min("n").alias("smallest"), F.max("n").alias("largest"))
+    reach = open_.join(union, "key").where(
         (F.col("component") != F.col("group")) & (F.col("n") * num <= F.col("largest") * den) & (F.col("smallest") * num <= F.col("n") * den)
-    ).select("short", "group").distinct()
-    met = materialised(met, "jaccard-met")
-    probe = met.join(tokens, "short").select("short", "group", "n", F.explode("tokens").alias("key"))
-    reach = probe.join(union.withColumnRenamed("component", "group"), ["group", "key"]).where(
-        (F.col("n") * num <= F.col("largest") * den) & (F.col("smallest") * num <= F.col("n") * den)
-    )
-    reach = reach.groupBy("short", "group").agg(F.count("*").alias("overlap"), F.max("n").alias("n"))
-    reach = reach.where(f"overlap >= {least}").select("short", "group", "n")
-    opens = materialised(reach.join(of_group, "short"), "jaccard-opens")
+    ).groupBy("short", "component", "group").agg(F.count("*").alias("overlap"), F.max("n").alias("n"))
+    # a group whose union has fewer tokens in common with a set than a link has holds none
+    opens = materialised(reach.where("overlap >= " + fewest_common("n", num, den)).drop("overlap"), "jaccard-opens")
     # both sets of a link open each other's group
     left, right = (
         opens.select(F.col("short").alias(x), F.col("n").alias("n" + x), F.col("component").alias("c" + x), F.col("group").alias("c" + y))
