@@ -15,9 +15,10 @@ BITS = 13  # slots of the hashed vocabulary
 RANK = 96
 LEADING = 4  # leading singular vectors left out: they tell languages apart, not topics
 SIZES = (24, 64)  # words of a passage; the passages of each size overlap by half
-SAMPLE_PASSAGES = 20_000  # passages the singular vectors are fitted on
-TASKS = 8  # partial sums of a power step
+FIT_WORDS = 1024  # words whose passages are multiplied at once in the fit
+PARTS = 64  # stretches of slots that partial sums are added up by
 ITEM_BLOCK = 4096  # benchmark items searched for at once
+REMEMBERED = 250_000  # words a task remembers the codes of
 _WORDS = re.compile(r"[^\W_]+")
 
 
@@ -25,24 +26,70 @@ def words(text: str | None) -> list[str]:
     return _WORDS.findall((text or "").lower())
 
 
-def slots(w: list[str], hashes: WordHashes) -> np.ndarray:
-    return (hashes(w) >> np.uint64(64 - BITS)).astype(np.int64)
+def vocabulary(benchmark: DataFrame) -> np.ndarray:
+    """Sorted hashes of the distinct words of the benchmark, the stated query set."""
 
+    def used(batches):
+        hashes = WordHashes()
+        for b in batches:
+            found = [hashes(words(t)) for t in b.text]
+            yield pd.DataFrame({"word": np.unique(np.concatenate([np.empty(0, np.uint64), *found])).view(np.int64)})
+
+    rows = benchmark.select("text").mapInPandas(used, "word long").distinct().collect()
+    return np.sort(np.array([r["word"] for r in rows], np.int64).view(np.uint64))
+
+
+def slot_table(listed: np.ndarray) -> np.ndarray:
+    """The slot of each code: codes below the number of slots are slots, the others name the benchmark's words."""
+    return np.concatenate([np.arange(1 << BITS), (listed >> np.uint64(64 - BITS)).astype(np.int64)])
+
+
+def code_type(listed: np.ndarray) -> str:
+    return "<u2" if len(listed) + (1 << BITS) <= 1 << 16 else "<u4"
+
+
+def coded(docs: DataFrame, listed: np.ndarray) -> DataFrame:
+    """doc_id and the codes of all words of every text, in order: what the fit and the search are worked out from."""
+    shared, kind = docs.sparkSession.sparkContext.broadcast(listed), code_type(listed)
+
+    def encode(batches):
+        import xxhash
+
+        known: dict[str, int] = {}
+        listed = {h: (1 << BITS) + k for k, h in enumerate(shared.value.tolist())}
+
+        def codes(w: list[str]) -> bytes:
+            try:
+                return np.fromiter(map(known.__getitem__, w), kind, len(w)).tobytes()
+            except KeyError:
+                if len(known) > REMEMBERED:
+                    known.clear()
+                for x in set(w).difference(known):
+                    h = xxhash.xxh64_intdigest(x.encode("utf-8", "surrogatepass"))
+                    known[x] = listed.get(h, h >> (64 - BITS))
+                return np.fromiter(map(known.__getitem__, w), kind, len(w)).tobytes()
+
+        for b in batches:
+            yield pd.DataFrame({"doc_id": b.doc_id.array, "codes": [codes(words(t)) for t in b.text]}).astype({"doc_id": "Int64"})
+
+    return materialised(docs.select("doc_id", "text").mapInPandas(encode, "doc_id long, codes binary"), "leak-codes")
 
-def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
-    """How many documents use each slot, over all documents; per task one row per slot."""
+
+def document_frequencies(texts: DataFrame, listed: np.ndarray) -> tuple[np.ndarray, int]:
+    """How many of the coded texts use each slot, over all texts; per task one row per slot."""
+    slot_of, kind = slot_table(listed), code_type(listed)
 
     def count(batches):
-        hashes, total, n = WordHashes(), np.zeros(1 << BITS, np.int64), 0
+        total, n = np.zeros(1 << BITS, np.int64), 0
         for b in batches:
-            for t in b.text:
+            for raw in b.codes:
                 used = np.zeros(1 << BITS, bool)
-                used[slots(words(t), hashes)] = True
+                used[slot_of[np.frombuffer(raw, kind)]] = True
                 total += used
                 n += 1
         yield pd.DataFrame({"slot": np.append(np.arange(1 << BITS), -1), "n": np.append(total, n)})
 
-    rows = docs.select("text").mapInPandas(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect()
+    rows = texts.select("codes").mapInPandas(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect()
     out = np.zeros(1 << BITS, np.int64)
     n = 0
     for r in rows:
@@ -53,47 +100,75 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     return out, n
 
 
-def singular_vectors(docs: DataFrame, idf: np.ndarray, rank: int = RANK, sample: int = SAMPLE_PASSAGES) -> np.ndarray:
+def fit_blocks(texts, size: int = SIZES[-1], most: int = FIT_WORDS):
+    """(slots, passage of each) of about ``most`` words at a time; the passages of a text follow each other."""
+    held, marks, n, passage = [], [], 0, 0
+    for s in texts:
+        for lo in range(0, len(s), most):
+            piece = s[lo : lo + most]
+            held.append(piece)
+            marks.append(passage + np.arange(len(piece)) // size)
+            passage = int(marks[-1][-1]) + 1
+            n += len(piece)
+            if n >= most:
+                yield np.concatenate(held), np.concatenate(marks)
+                held, marks, n, passage = [], [], 0, 0
+    if held:
+        yield np.concatenate(held), np.concatenate(marks)
+
+
+def singular_vectors(texts: DataFrame, listed: np.ndarray, idf: np.ndarray, rank: int = RANK) -> np.ndarray:
     """Right singular vectors of TF-IDF passages by a randomised projection and two power steps.
 
-    Each step is one Spark job over the sampled passages: tasks add up their own part of A'AQ, and the driver adds
-    the parts of the TASKS tasks.  The sample is the passages of the ``sample / 4`` documents with the smallest hash of the id.
+    Each step is one Spark job over all passages of all texts: tasks add up their own part of A'AQ, the parts are
+    added up by stretches of slots, and the driver gets the one sum, of a fixed size.
     """
-    chosen = docs.select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(sample // 4)
-    chosen = materialised(chosen.repartition(8, "doc_id"), "lsa-sample")
+    slot_of, kind = slot_table(listed), code_type(listed)
+    height = (1 << BITS) // PARTS
     q = np.linalg.qr(np.random.default_rng(11).standard_normal((1 << BITS, rank)))[0].astype(np.float32)
     for _ in range(3):
-        shared = docs.sparkSession.sparkContext.broadcast(q)  # fixed size: slots x rank
+        shared = texts.sparkSession.sparkContext.broadcast(q)  # fixed size: slots x rank
 
         def step(batches):
-            hashes, total = WordHashes(), np.zeros((1 << BITS, rank), np.float32)
+            total, place = np.zeros((1 << BITS, rank)), np.zeros(1 << BITS, np.int64)
             for b in batches:
-                for t in b.text:
-                    s = slots(words(t), hashes)
-                    for lo in range(0, max(len(s) - SIZES[1] // 2, 1), SIZES[1] // 2):
-                        at, tf = np.unique(s[lo : lo + SIZES[1]], return_counts=True)
-                        if len(at) == 0:
-                            continue
-                        x = (tf * idf[at]).astype(np.float32)
-                        x /= max(float(np.linalg.norm(x)), 1e-9)
-                        total[at] += np.outer(x, x @ shared.value[at])
-            yield pd.DataFrame({"v": [total.tobytes()]})
+                for s, passage in fit_blocks(slot_of[np.frombuffer(raw, kind)] for raw in b.codes):
+                    used = np.zeros(1 << BITS, bool)
+                    used[s] = True
+                    at = np.flatnonzero(used)
+                    place[at] = np.arange(len(at))
+                    rows = int(passage[-1]) + 1
+                    x = np.bincount(passage * len(at) + place[s], minlength=rows * len(at)).reshape(rows, len(at))
+                    x = x.astype(np.float32) * idf[at]
+                    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+                    total[at] += x.T @ (x @ shared.value[at])
+            parts = [total[k * height : (k + 1) * height].astype(np.float32).tobytes() for k in range(PARTS)]
+            yield pd.DataFrame({"part": range(PARTS), "v": parts})
+
+        def added(rows):
+            total = sum(np.frombuffer(v, np.float32).astype(np.float64) for v in rows.v)
+            return pd.DataFrame({"part": rows.part[:1], "v": [total.tobytes()]})
 
-        # a fixed number of tasks gives a fixed number of partial sums of a fixed size
         y = np.zeros((1 << BITS, rank))
-        for r in chosen.select("text").coalesce(TASKS).mapInPandas(step, "v binary").collect():
-            y += np.frombuffer(r["v"], np.float32).reshape(y.shape)
+        sums = texts.select("codes").mapInPandas(step, "part int, v binary").groupBy("part").applyInPandas(added, "part int, v binary")
+        for r in sums.collect():
+            y[r["part"] * height : (r["part"] + 1) * height] = np.frombuffer(r["v"]).reshape(height, rank)
         q = np.linalg.qr(y + 1e-9 * np.random.default_rng(3).standard_normal(y.shape))[0].astype(np.float32)
+        shared.unpersist()
     return q
 
 
 def common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
-    """Length of the longest common subsequence of two word lists; one row of the table at a time."""
-    row = np.zeros(len(b) + 1, np.int32)
-    for x in a:
-        step = np.where(b == x, row[:-1] + 1, row[1:])
-        row[1:] = np.maximum.accumulate(step)
-    return int(row[-1])
+    """Length of the longest common subsequence of two word lists; a row of the table is one number's bits."""
+    masks: dict[int, int] = {}
+    for k, x in enumerate(a.tolist()):
+        masks[x] = masks.get(x, 0) | 1 << k
+    full = row = (1 << len(a)) - 1
+    for x in b.tolist():
+        if x in masks:
+            both = row & masks[x]
+            row = ((row + both) | (row - both)) & full
+    return len(a) - row.bit_count()
 
 
 def passages(n: int, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -116,19 +191,39 @@ def agreement(
     return (float(common), float(tail.mean())) if common >= min_common else None
 
 
-def searched(item: np.ndarray, text: np.ndarray, min_common: float, min_answer: float):
-    """(lo, hi, common, answer) of every passage an item matches in.
+class Item:
+    """A benchmark item: its words as codes, and the places of its distinct words."""
+
+    def __init__(self, item_id: int, codes: np.ndarray):
+        self.item_id, self.codes = item_id, codes
+        self.distinct, self.times = np.unique(codes, return_counts=True)
 
-    The widened passages of the largest size hold each run of up to half that size and twice the item's words, those
-    of the other sizes among them.  One with fewer places that hold a word of the item than a match needs has none.
+
+def able_passages(item: Item, text: np.ndarray, min_common: float) -> np.ndarray:
+    """Which passages of the largest size, widened by the item's length, hold enough of its words for a match.
+
+    A word counts as often as both hold it, which is no less than in any common subsequence.  The widened passages
+    hold each run of up to half that size and twice the item's words, those of the other sizes among them.
     """
-    held = np.concatenate([[0], np.cumsum(np.isin(text, item))])
     lo, hi = passages(len(text), SIZES[-1])
-    n = held[np.minimum(hi + len(item), len(text))] - held[np.maximum(lo - len(item), 0)]
-    for p in np.flatnonzero(n / len(item) >= min_common):
-        got = agreement(item, text, lo[p], hi[p], min_common, min_answer)
-        if got:
-            yield lo[p], hi[p], *got
+    first, last = np.maximum(lo - len(item.codes), 0), np.minimum(hi + len(item.codes), len(text))
+    local = np.searchsorted(item.distinct, text)
+    local[local == len(item.distinct)] = 0
+    at = np.flatnonzero(item.distinct[local] == text)
+    local = local[at]
+    # a place counts unless the item's number of this word lies between it and the start of the passage already
+    order = np.argsort(local, kind="stable")
+    k = np.arange(len(at)) - item.times[local[order]]
+    same = (k >= 0) & (local[order][k] == local[order])
+    before = np.full(len(at), -1)
+    before[order] = np.where(same, at[order][k], -1)
+    begin, end = np.searchsorted(at, first), np.searchsorted(at, last)
+    enough = np.flatnonzero((end - begin) / len(item.codes) >= min_common)
+    n = (end - begin)[enough]
+    passage = np.repeat(np.arange(len(enough)), n)
+    place = np.arange(n.sum()) + np.repeat(begin[enough] - np.cumsum(n) + n, n)
+    held = np.bincount(passage[before[place] < first[enough][passage]], minlength=len(enough))
+    return enough[held / len(item.codes) >= min_common]
 
 
 def matches(
@@ -139,16 +234,19 @@ def matches(
     A passage matches when the longest common subsequence holds ``min_common`` of the item's words and ``min_answer``
     of the words of its last quarter, the answer, occur in it.  Passages whose latent cosine to the item is at least
     ``min_cosine`` are looked at first; an item not found in them is looked for in every passage, so the cosine decides
-    which passage is reported, never whether an item is found.  Items too few of whose words the whole document holds
-    could not match and are left out of its search.  Empty items and texts match nothing.
+    which passage is reported, never whether an item is found.  Items too few of whose words the document, or any
+    passage of it, holds could not match and are left out of its search.  Empty items and texts match nothing.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    df, n = document_frequencies(docs)
-    idf = np.log((1 + n) / (1 + df)).astype(np.float32) + np.float32(0.05)
-    base = spark.sparkContext.broadcast(singular_vectors(docs, idf)[:, LEADING:] * idf[:, None])  # fixed size
     items = benchmark.where("text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
     items = materialised(items.withColumn("block", F.floor(F.row_number().over(_by_item()) / ITEM_BLOCK)), "items")
+    listed = vocabulary(items)
+    texts = coded(docs, listed)
+    df, n = document_frequencies(texts, listed)
+    idf = np.log((1 + n) / (1 + df)).astype(np.float32) + np.float32(0.05)
+    base = spark.sparkContext.broadcast(singular_vectors(texts, listed, idf)[:, LEADING:] * idf[:, None])  # fixed size
+    slot_of, kind = slot_table(listed), code_type(listed)
     blocks = [r["block"] for r in items.select("block").distinct().orderBy("block").collect()]
     schema = "doc_id long, item_id long, cosine double, common double, answer double"
     found = spark.createDataFrame([], schema)
@@ -157,59 +255,57 @@ def matches(
 
         def search(batches, queries=queries):
             hashes, v = WordHashes(), base.value
-            known = [(i, hashes(words(t))) for i, t in queries]
-            known = [(i, h) for i, h in known if len(h)]
+            known = [Item(i, (1 << BITS) + np.searchsorted(listed, hashes(words(t)))) for i, t in queries]
+            known = [item for item in known if len(item.codes)]
 
             def unit(x):
                 return x / np.maximum(np.linalg.norm(x, axis=-1, keepdims=True), 1e-9)
 
             if not known:
                 return
-            # item words in one sorted list, and the places in it of each item's words
-            listed = np.unique(np.concatenate([h for _, h in known]))
-            places = np.searchsorted(listed, np.concatenate([h for _, h in known]))
-            lengths = np.array([len(h) for _, h in known])
+            places = np.concatenate([item.codes for item in known])
+            lengths = np.array([len(item.codes) for item in known])
             starts = np.cumsum(lengths) - lengths
-            goal = unit(np.stack([v[(h >> np.uint64(64 - BITS)).astype(np.int64)].sum(axis=0) for _, h in known]))
+            goal = unit(np.stack([v[slot_of[item.codes]].sum(axis=0) for item in known]))
             for b in batches:
                 out = []
-                for doc_id, t in zip(b.doc_id, b.text):
-                    h = hashes(words(t))
-                    if len(h) == 0:
-                        continue
+                for doc_id, raw in zip(b.doc_id, b.codes):
+                    h = np.frombuffer(raw, kind).astype(np.int64)
                     # words the whole document lacks are in no passage of it: such items need no search
-                    at = np.searchsorted(listed, h)
-                    at[at == len(listed)] = 0
-                    present = np.zeros(len(listed), np.int64)
-                    present[at[listed[at] == h]] = 1
+                    present = np.zeros(len(slot_of), np.int64)
+                    present[h] = 1
                     able = np.flatnonzero(np.add.reduceat(present[places], starts) / lengths >= min_common)
-                    if len(able) == 0:
+                    left = {k: p for k in able for p in [able_passages(known[k], h, min_common)] if len(p)}
+                    if not left:
                         continue
+                    able = np.array(list(left))
                     run = np.zeros((len(h) + 1, v.shape[1]), np.float32)
-                    np.cumsum(v[(h >> np.uint64(64 - BITS)).astype(np.int64)], axis=0, out=run[1:])
+                    np.cumsum(v[slot_of[h]], axis=0, out=run[1:])
                     best: dict[int, tuple] = {}
                     for size in SIZES:
                         lo, hi = passages(len(h), size)
                         cos = unit(run[hi] - run[lo]) @ goal[able].T
                         for p, k in np.argwhere(cos >= min_cosine):
-                            item, words_of = known[able[k]]
-                            got = agreement(words_of, h, lo[p], hi[p], min_common, min_answer)
-                            if got and (item not in best or got[0] > best[item][1]):
-                                best[item] = (float(cos[p, k]), *got)
+                            item = known[able[k]]
+                            got = agreement(item.codes, h, lo[p], hi[p], min_common, min_answer)
+                            if got and (item.item_id not in best or got[0] > best[item.item_id][1]):
+                                best[item.item_id] = (float(cos[p, k]), *got)
                     # what the vectors miss: every passage that holds enough of the item's words, whatever its cosine
+                    lo, hi = passages(len(h), SIZES[-1])
                     for k in able:
-                        item, words_of = known[k]
-                        if item in best:
+                        item = known[k]
+                        if item.item_id in best:
                             continue
-                        for lo, hi, common, tail in searched(words_of, h, min_common, min_answer):
-                            if item not in best or common > best[item][1]:
-                                best[item] = (float(unit(run[hi] - run[lo]) @ goal[k]), common, tail)
+                        for p in left[k]:
+                            got = agreement(item.codes, h, lo[p], hi[p], min_common, min_answer)
+                            if got and (item.item_id not in best or got[0] > best[item.item_id][1]):
+                                best[item.item_id] = (float(unit(run[hi[p]] - run[lo[p]]) @ goal[k]), *got)
                     out += [(doc_id, item, *values) for item, values in sorted(best.items())]
                 frame = pd.DataFrame(out, columns=[c.split()[0] for c in schema.split(", ")])
                 frame["doc_id"] = frame["doc_id"].astype("Int64")
                 yield frame
 
-        found = found.unionByName(docs.mapInPandas(search, schema))
+        found = found.unionByName(texts.mapInPandas(search, schema))
     return found
 
 
