@@ -11,7 +11,9 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -179,6 +181,18 @@ def _byte_ranks(described: dict) -> dict[bytes, int] | None:
     return {bytes(letters[c] for c in token): i for token, i in vocabulary.items()}
 
 
+_LONG = re.compile(rf"\S{{{LONG_RUN}}}|\s{{{LONG_RUN}}}")
+
+
+def has_long_run(text: str, half: int = LONG_RUN // 2) -> bool:
+    """Whether LONG_RUN characters without, or only of, white space follow each other.
+
+    Such a run holds all of some half that begins at a multiple of its length; few texts have one to look at closer.
+    """
+    halves = (text[k : k + half] for k in range(0, len(text) - half + 1, half))
+    return any(" " not in h or h.isspace() for h in halves) and _LONG.search(text) is not None
+
+
 def encoder(tokenizer: str):
     """A function from a text to its ids by the tokenizer file, the same ids by the fastest way there is.
 
@@ -203,10 +217,9 @@ def encoder(tokenizer: str):
 
     fast = tiktoken.Encoding("granary", pat_str=_BYTE_PATTERN, mergeable_ranks=ranks, special_tokens={})
     added = [t["content"] for t in described.get("added_tokens", [])]
-    long_run = re.compile(rf"\S{{{LONG_RUN}}}|\s{{{LONG_RUN}}}")
 
     def encode(text: str) -> list[int]:
-        if any(a in text for a in added) or long_run.search(text):
+        if any(a in text for a in added) or has_long_run(text):
             return by_file(text)
         return fast.encode_ordinary(text)
 
@@ -233,7 +246,10 @@ def tokenised(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:
                 if held and held + len(text) > BATCH_CHARS:
                     yield frame(out)
                     out, held = [], 0
-                ids = np.array([*encode(text), end_id], dtype="<u4")
+                ids = array("I", encode(text))  # as little-endian 32-bit numbers below
+                ids.append(end_id)
+                if sys.byteorder == "big":
+                    ids.byteswap()
                 at = place.get(source, 0)
                 place[source] = at + len(ids)
                 out.append((part, doc_id, source, at, len(ids), ids.tobytes()))

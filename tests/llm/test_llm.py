@@ -229,6 +229,18 @@ def test_decontamination_screens_passages_and_subsequences_like_brute_force():
         assert decontamination.common_subsequence(codes, text) == table[-1][-1]
 
 
+def test_words_and_long_runs_are_those_of_their_patterns():
+    rng = np.random.default_rng(4)
+    signs = [chr(c) for c in [*range(1, 0x250), *range(0x5D0, 0x6D0), *range(0x2000, 0x2100), *range(0x3000, 0x3100), 0x130, 0xFF10, 0x1F600]]
+    texts = ["".join(rng.choice(signs[: int(rng.integers(40, len(signs)))], int(rng.integers(0, 300)))) for _ in range(300)]
+    for t in [None, *texts]:
+        assert decontamination.words(t) == decontamination._WORDS.findall((t or "").lower())
+    for n in (999, 1000):
+        for before in (0, 1, 499, 501, 730):
+            for run in ("a" * n, "\n" * n, " " * n):
+                assert packing.has_long_run("x " * before + run[:0] + ("b" if run.isspace() else " ") + run + ("b" if run.isspace() else " ") + "c d " * 40) == (n == 1000)
+
+
 def test_keep_one_takes_five_words_and_eight_tenths(spark):
     a = WORDS[:60]
     rows = [(1, " ".join(a)), (2, " ".join(a[:46])), (3, " ".join(a[:48]))]  # 42 and 44 of the 56 five-word shingles
