@@ -16,14 +16,22 @@ RANK = 96
 LEADING = 4  # leading singular vectors left out: they tell languages apart, not topics
 SIZES = (24, 64)  # words of a passage; the passages of each size overlap by half
 FIT_WORDS = 1024  # words whose passages are multiplied at once in the fit
+FIT_BLOCKS = 1000  # blocks of the fit added up in single precision
 PARTS = 64  # stretches of slots that partial sums are added up by
 ITEM_BLOCK = 4096  # benchmark items searched for at once
 REMEMBERED = 250_000  # words a task remembers the codes of
+MANY_SIGNS = 64  # signs of a text beyond which it is cut by the pattern
 _WORDS = re.compile(r"[^\W_]+")
 
 
 def words(text: str | None) -> list[str]:
-    return _WORDS.findall((text or "").lower())
+    low = (text or "").lower()
+    others = [c for c in set(low) if not c.isalnum()]
+    if len(others) > MANY_SIGNS:
+        return _WORDS.findall(low)
+    for c in others:
+        low = low.replace(c, " ")
+    return low.split()  # the same words: a sign is all that is neither letter nor number, white space too
 
 
 def vocabulary(benchmark: DataFrame) -> np.ndarray:
@@ -55,19 +63,20 @@ def coded(docs: DataFrame, listed: np.ndarray) -> DataFrame:
     def encode(batches):
         import xxhash
 
-        known: dict[str, int] = {}
         listed = {h: (1 << BITS) + k for k, h in enumerate(shared.value.tolist())}
 
+        class Codes(dict):
+            def __missing__(self, x):
+                if len(self) >= REMEMBERED:
+                    self.clear()
+                h = xxhash.xxh64_intdigest(x.encode("utf-8", "surrogatepass"))
+                code = self[x] = listed.get(h, h >> (64 - BITS))
+                return code
+
+        known = Codes()
+
         def codes(w: list[str]) -> bytes:
-            try:
-                return np.fromiter(map(known.__getitem__, w), kind, len(w)).tobytes()
-            except KeyError:
-                if len(known) > REMEMBERED:
-                    known.clear()
-                for x in set(w).difference(known):
-                    h = xxhash.xxh64_intdigest(x.encode("utf-8", "surrogatepass"))
-                    known[x] = listed.get(h, h >> (64 - BITS))
-                return np.fromiter(map(known.__getitem__, w), kind, len(w)).tobytes()
+            return np.array([*map(known.__getitem__, w)], kind).tobytes()
 
         for b in batches:
             yield pd.DataFrame({"doc_id": b.doc_id.array, "codes": [codes(words(t)) for t in b.text]}).astype({"doc_id": "Int64"})
@@ -130,7 +139,8 @@ def singular_vectors(texts: DataFrame, listed: np.ndarray, idf: np.ndarray, rank
         shared = texts.sparkSession.sparkContext.broadcast(q)  # fixed size: slots x rank
 
         def step(batches):
-            total, place = np.zeros((1 << BITS, rank)), np.zeros(1 << BITS, np.int64)
+            total, place = np.zeros((1 << BITS, rank), np.float32), np.zeros(1 << BITS, np.int64)
+            whole, blocks = np.zeros((1 << BITS, rank)), 0
             for b in batches:
                 for s, passage in fit_blocks(slot_of[np.frombuffer(raw, kind)] for raw in b.codes):
                     used = np.zeros(1 << BITS, bool)
@@ -142,6 +152,11 @@ def singular_vectors(texts: DataFrame, listed: np.ndarray, idf: np.ndarray, rank
                     x = x.astype(np.float32) * idf[at]
                     x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
                     total[at] += x.T @ (x @ shared.value[at])
+                    blocks += 1
+                    if blocks % FIT_BLOCKS == 0:  # long sums in double precision
+                        whole += total
+                        total[:] = 0
+            total = whole + total
             parts = [total[k * height : (k + 1) * height].astype(np.float32).tobytes() for k in range(PARTS)]
             yield pd.DataFrame({"part": range(PARTS), "v": parts})
 
@@ -199,31 +214,57 @@ class Item:
         self.distinct, self.times = np.unique(codes, return_counts=True)
 
 
-def able_passages(item: Item, text: np.ndarray, min_common: float) -> np.ndarray:
+def by_word(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The codes of a text in order, and the place of each; places of one code ascend."""
+    at = np.argsort(text, kind="stable")
+    return text[at], at
+
+
+def stretches(begin: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The numbers begin .. begin + n of all pairs, one pair after the other."""
+    return np.arange(n.sum()) + np.repeat(begin - np.cumsum(n) + n, n)
+
+
+def able_passages(
+    item: Item, text: np.ndarray, min_common: float, ordered: tuple[np.ndarray, np.ndarray] | None = None
+) -> np.ndarray:
     """Which passages of the largest size, widened by the item's length, hold enough of its words for a match.
 
     A word counts as often as both hold it, which is no less than in any common subsequence.  The widened passages
     hold each run of up to half that size and twice the item's words, those of the other sizes among them.
+    ``ordered`` is ``by_word`` of the text.
     """
+    codes, at = ordered or by_word(text)
+    size = len(item.codes)
+    begin = np.searchsorted(codes, item.distinct)
+    n = np.searchsorted(codes, item.distinct, "right") - begin
+    none = np.empty(0, np.int64)
+    enough = np.flatnonzero(np.arange(size + 1) / size >= min_common)
+    if not len(enough) or np.minimum(n, item.times).sum() < enough[0]:
+        return none
+    least = int(enough[0])
     lo, hi = passages(len(text), SIZES[-1])
-    first, last = np.maximum(lo - len(item.codes), 0), np.minimum(hi + len(item.codes), len(text))
-    local = np.searchsorted(item.distinct, text)
-    local[local == len(item.distinct)] = 0
-    at = np.flatnonzero(item.distinct[local] == text)
-    local = local[at]
-    # a place counts unless the item's number of this word lies between it and the start of the passage already
-    order = np.argsort(local, kind="stable")
-    k = np.arange(len(at)) - item.times[local[order]]
-    same = (k >= 0) & (local[order][k] == local[order])
-    before = np.full(len(at), -1)
-    before[order] = np.where(same, at[order][k], -1)
-    begin, end = np.searchsorted(at, first), np.searchsorted(at, last)
-    enough = np.flatnonzero((end - begin) / len(item.codes) >= min_common)
-    n = (end - begin)[enough]
-    passage = np.repeat(np.arange(len(enough)), n)
-    place = np.arange(n.sum()) + np.repeat(begin[enough] - np.cumsum(n) + n, n)
-    held = np.bincount(passage[before[place] < first[enough][passage]], minlength=len(enough))
-    return enough[held / len(item.codes) >= min_common]
+    first, last = np.maximum(lo - size, 0), np.minimum(hi + size, len(text))
+    # the text's commonest words make at most two thirds of a match: the others have to be there, and are few
+    common = np.argsort(-n, kind="stable")
+    sums = np.concatenate([[0], np.cumsum(item.times[common])])
+    k = max(int(np.searchsorted(sums, least - least // 3 - 1, "right")) - 1, 0)
+    rest = common[k:]
+    there = np.sort(at[stretches(begin[rest], n[rest])])
+    some = np.flatnonzero(np.searchsorted(there, last) - np.searchsorted(there, first) >= least - sums[k])
+    if not len(some):
+        return none
+    # a place counts unless the item's number of this word lies between the start of the passage and it already
+    there, of = at[stretches(begin, n)], np.repeat(np.arange(len(n)), n)
+    nth = stretches(np.zeros(len(n), np.int64), n)
+    back = np.arange(len(there)) - item.times[of]
+    before = np.where(nth >= item.times[of], there[back], -1)
+    order = np.argsort(there)
+    there, before = there[order], before[order]
+    begin, end = np.searchsorted(there, first[some]), np.searchsorted(there, last[some])
+    passage = np.repeat(np.arange(len(some)), end - begin)
+    fresh = before[stretches(begin, end - begin)] < first[some][passage]
+    return some[np.bincount(passage[fresh], minlength=len(some)) >= least]
 
 
 def matches(
@@ -272,10 +313,13 @@ def matches(
                 for doc_id, raw in zip(b.doc_id, b.codes):
                     h = np.frombuffer(raw, kind).astype(np.int64)
                     # words the whole document lacks are in no passage of it: such items need no search
-                    present = np.zeros(len(slot_of), np.int64)
+                    present = np.zeros(len(slot_of), np.int32)
                     present[h] = 1
                     able = np.flatnonzero(np.add.reduceat(present[places], starts) / lengths >= min_common)
-                    left = {k: p for k in able for p in [able_passages(known[k], h, min_common)] if len(p)}
+                    if len(able) == 0:
+                        continue
+                    ordered = by_word(h)
+                    left = {k: p for k in able for p in [able_passages(known[k], h, min_common, ordered)] if len(p)}
                     if not left:
                         continue
                     able = np.array(list(left))
