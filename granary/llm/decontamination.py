@@ -304,18 +304,18 @@ def matches(
 
             if not known:
                 return
-            places = np.concatenate([item.codes for item in known])
+            places, times = (np.concatenate([getattr(item, x) for item in known]) for x in ("distinct", "times"))
             lengths = np.array([len(item.codes) for item in known])
-            starts = np.cumsum(lengths) - lengths
+            sizes = np.array([len(item.distinct) for item in known])
+            starts = np.cumsum(sizes) - sizes
             goal = unit(np.stack([v[slot_of[item.codes]].sum(axis=0) for item in known]))
             for b in batches:
                 out = []
                 for doc_id, raw in zip(b.doc_id, b.codes):
                     h = np.frombuffer(raw, kind).astype(np.int64)
                     # words the whole document lacks are in no passage of it: such items need no search
-                    present = np.zeros(len(slot_of), np.int32)
-                    present[h] = 1
-                    able = np.flatnonzero(np.add.reduceat(present[places], starts) / lengths >= min_common)
+                    present = np.minimum(np.bincount(h, minlength=len(slot_of))[places], times)
+                    able = np.flatnonzero(np.add.reduceat(present, starts) / lengths >= min_common)
                     if len(able) == 0:
                         continue
                     ordered = by_word(h)
@@ -323,19 +323,25 @@ def matches(
                     if not left:
                         continue
                     able = np.array(list(left))
-                    run = np.zeros((len(h) + 1, v.shape[1]), np.float32)
-                    np.cumsum(v[slot_of[h]], axis=0, out=run[1:])
+                    # only the stretch from the first to the last able passage, whose vectors are needed
+                    whole = passages(len(h), SIZES[-1])
+                    begin = min(whole[0][p[0]] for p in left.values())
+                    end = max(whole[1][p[-1]] for p in left.values())
+                    run = np.zeros((end - begin + 1, v.shape[1]), np.float32)
+                    np.cumsum(v[slot_of[h[begin:end]]], axis=0, out=run[1:])
                     best: dict[int, tuple] = {}
                     for size in SIZES:
                         lo, hi = passages(len(h), size)
-                        cos = unit(run[hi] - run[lo]) @ goal[able].T
+                        inside = (lo >= begin) & (hi <= end)
+                        lo, hi = lo[inside], hi[inside]
+                        cos = unit(run[hi - begin] - run[lo - begin]) @ goal[able].T
                         for p, k in np.argwhere(cos >= min_cosine):
                             item = known[able[k]]
                             got = agreement(item.codes, h, lo[p], hi[p], min_common, min_answer)
                             if got and (item.item_id not in best or got[0] > best[item.item_id][1]):
                                 best[item.item_id] = (float(cos[p, k]), *got)
                     # what the vectors miss: every passage that holds enough of the item's words, whatever its cosine
-                    lo, hi = passages(len(h), SIZES[-1])
+                    lo, hi = whole
                     for k in able:
                         item = known[k]
                         if item.item_id in best:
@@ -343,7 +349,7 @@ def matches(
                         for p in left[k]:
                             got = agreement(item.codes, h, lo[p], hi[p], min_common, min_answer)
                             if got and (item.item_id not in best or got[0] > best[item.item_id][1]):
-                                best[item.item_id] = (float(unit(run[hi[p]] - run[lo[p]]) @ goal[k]), *got)
+                                best[item.item_id] = (float(unit(run[hi[p] - begin] - run[lo[p] - begin]) @ goal[k]), *got)
                     out += [(doc_id, item, *values) for item, values in sorted(best.items())]
                 frame = pd.DataFrame(out, columns=[c.split()[0] for c in schema.split(", ")])
                 frame["doc_id"] = frame["doc_id"].astype("Int64")
