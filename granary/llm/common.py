@@ -57,7 +57,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 class WordHashes:
     """64-bit hashes of words, remembering recent ones; the memory is emptied at a fixed size."""
 
-    def __init__(self, remembered: int = 1_000_000):
+    def __init__(self, remembered: int = 250_000):
         import xxhash
 
         self._hash = xxhash.xxh64_intdigest
