@@ -78,14 +78,19 @@ def ingest_walk(
     """Walk the release folders below ``root`` and store the configured files by release; one scan per file name.
 
     ``files`` maps a file name to its table, a folder below ``path``.  Returns what was stored per table: rows,
-    malformed and unbalanced rows, and values that did not fit their type.  Skipped releases are not counted.
+    malformed and unbalanced rows, and values that did not fit their type.  Skipped releases are neither opened nor
+    counted; the driver sees the names of the stored ones.
     """
     found = {}
     for name, table in (files or delimited.PORTAL_FILES).items():
         seen = Observation()
-        rows = delimited.release_walk(spark, root, name, columns, types, multi_line=multi_line)
+        place, stored = f"{path.rstrip('/')}/{table}", []
+        if not overwrite_partition:  # files of releases that would be skipped need not be read
+            known = tables.stored_or_empty(spark, place, "RELEASE string").where("RELEASE IS NOT NULL").distinct()
+            stored = sorted(r["RELEASE"] for r in known.collect())
+        rows = delimited.release_walk(spark, root, name, columns, types, multi_line=multi_line, stored=stored)
         tables.store_release(
-            main_releases(rows, ingested_at=ingested_at), f"{path.rstrip('/')}/{table}", MAIN_KEYS, overwrite_partition,
+            main_releases(rows, ingested_at=ingested_at), place, MAIN_KEYS, overwrite_partition,
             lambda df, seen=seen: delimited.counted_faults(df, seen, strict),
         )
         found[table] = delimited.faults(seen)

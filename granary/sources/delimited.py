@@ -303,12 +303,13 @@ def release_walk(
     types: Mapping[str, str] | None = None,
     sep: str = "\t",
     multi_line: bool = False,
+    stored: Sequence[str] = (),
 ) -> DataFrame:
     """The named file of every release folder below ``root``, as rows with ``_parsed`` and the marks of ``read_known``.
 
     ``root`` holds ``<top>/<release>/<folder>/<file>``; the rule for release paths is applied to ``<top>/<release>``
     and the folder's name is parsed.  Both look at the file's path only, so files that the rule leaves out are not
-    opened.  A folder name that cannot be parsed fails the job.
+    opened, nor are those of the releases in ``stored``.  A folder name that cannot be parsed fails the job.
     """
     base = _same_path(F.lit(root.rstrip("/") + "/"))
     reader = read_known(spark, f"{root.rstrip('/')}/*/*/*/{file_name}", columns, sep, "#", types, multi_line, "_file")
@@ -317,7 +318,10 @@ def release_walk(
         "_top": F.concat_ws("/", F.get(parts, F.lit(0)), F.get(parts, F.lit(1))), "_folder": F.get(parts, F.lit(2)),
     })
     kept = rows.filter(versions.valid_release_path(F.col("_top")))
-    return versions.raise_on_error(versions.parse_release(kept, "_folder", "_parsed"), "_parsed").drop("_top", "_folder", "_file")
+    parsed = versions.parse_release(kept, "_folder", "_parsed")
+    if stored:
+        parsed = parsed.filter(~F.coalesce(F.col("_parsed")["release"].isin(list(stored)), F.lit(False)))
+    return versions.raise_on_error(parsed, "_parsed").drop("_top", "_folder", "_file")
 
 
 def read_mapping(spark: SparkSession, path: str, key: str, value: str) -> DataFrame:

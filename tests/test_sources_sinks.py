@@ -387,6 +387,18 @@ def test_main_release_ingest_is_idempotent(spark, tmp_path):
     assert [r[0] for r in rows(spark.read.parquet(path).select("SAMPLE_ID"))] == ["S3", "S9"]
 
 
+def test_walk_does_not_open_files_of_stored_releases(spark, tmp_path):
+    file, root, path = "data_clinical_sample.txt", tmp_path / "in", str(tmp_path / "out")
+    old = root / "Releases" / "Release 17" / "17.1-public" / file
+    put(old / "part-0.csv", "ID\nS1\n")
+    for step in range(2):
+        found = ingest.ingest_walk(spark, str(root), path, ["ID"], ingested_at=STAMP, files={file: "T"})
+        assert found["T"]["rows"] == 1
+        (old / "part-1.csv.gz").write_bytes(b"no archive")  # reading this fails
+        put(root / "Releases" / "Release 17" / "17.2-public" / file / "part-0.csv", "ID\nS2\n")
+    assert rows(spark.read.parquet(f"{path}/T").select("ID", "RELEASE")) == [("S1", "17_1_PUBLIC"), ("S2", "17_2_PUBLIC")]
+
+
 def test_bad_release_name_fails_the_load(spark, tmp_path):
     file = put(tmp_path / "x.txt", "A\n1\n")
     with pytest.raises(PySparkException, match="Unexpected version format"):
