@@ -86,8 +86,7 @@ def ingest_walk(
         seen = Observation()
         place, stored = f"{path.rstrip('/')}/{table}", []
         if not overwrite_partition:  # files of releases that would be skipped need not be read
-            known = tables.stored_or_empty(spark, place, "RELEASE string").where("RELEASE IS NOT NULL").distinct()
-            stored = sorted(r["RELEASE"] for r in known.collect())
+            stored = delimited.release_names(tables.stored_or_empty(spark, place, "RELEASE string"))
         rows = delimited.release_walk(spark, root, name, columns, types, multi_line=multi_line, stored=stored)
         tables.store_release(
             main_releases(rows, ingested_at=ingested_at), place, MAIN_KEYS, overwrite_partition,

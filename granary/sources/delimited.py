@@ -295,6 +295,12 @@ def read_release_set(
     return stack(*frames)
 
 
+def release_names(stored: DataFrame, most: int = 10_000) -> list[str]:
+    """The distinct releases of a stored table; none if there are more than ``most``, whose files are then all read."""
+    found = stored.where("RELEASE IS NOT NULL").select("RELEASE").distinct().limit(most + 1).collect()
+    return sorted(r["RELEASE"] for r in found) if len(found) <= most else []
+
+
 def release_walk(
     spark: SparkSession,
     root: str,
