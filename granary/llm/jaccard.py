@@ -3,9 +3,10 @@
 A document's tokens are its distinct shingles, ordered by hash.  Documents that link agree on at least some number of
 tokens of their first few (``kept_tokens``, ``fewest_common``); of these, tokens of one document alone fall away and
 each document goes on with its rarest ones.  Documents with an equal rare token meet its pivot, and what links forms
-groups.  Each group stores the union of its members' tokens; a document of another group is compared with its members
-only where its overlap with that union reaches the fewest tokens that a link has in common.  What is opened is
-verified on the whole shingle sets.
+groups.  What the pivot has is common to the documents around it and tells nothing about them, so from there on their
+tokens are those by which they differ from it (``strangers``, ``differences``).  Each group stores the union of its
+members' rare differences; a document of another group is compared with its members only where its overlap with that
+union reaches the fewest that a link has in common.  What is opened is verified on the whole shingle sets.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ _WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 CHUNK = 200  # texts handed on at a time
 REMEMBERED = 500_000  # names of sets a task remembers
+ROUNDS = 3  # times that sets which cannot link are closed
+TOGETHER = 8  # common differences that a set and a group must have, where links have as many
 SPARE = 12  # one token in so many is kept beyond those that a link needs for one common token
 
 
@@ -75,6 +78,81 @@ def components(spark, edges: DataFrame) -> DataFrame:
             return label
 
 
+def score(n: str, apart: str, num: int, den: int) -> str:
+    """SQL for how far a set of ``n`` is from a third one: two sets link for sure where their scores sum to 0 or less.
+
+    Sets of a and b tokens link where (den + num) times the tokens that only one of them has are at most
+    (den - num) (a + b); that number is no more than what sets each of them ``apart`` from the third set together.
+    """
+    return f"cast({den + num} * ({apart}) - {den - num} * {n} as bigint)"
+
+
+def counted(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
+    """The pairs (a, b) with their sizes na, nb, the numbers ka, kb of their shared tokens, and how many both have."""
+    left = tokens.select(F.col("short").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
+    right = tokens.select(F.col("short").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
+
+    def count(batches):
+        for b in batches:
+            common = [len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(b.ta, b.tb)]
+            yield b[["a", "b", "na", "nb"]].assign(ka=[len(x) for x in b.ta], kb=[len(x) for x in b.tb], common=common)
+
+    rows = pairs.select("a", "b").join(left, "a").join(right, "b")
+    return rows.mapInPandas(count, "a long, b long, na int, nb int, ka int, kb int, common int")
+
+
+def strangers(stars: DataFrame, label: DataFrame, num: int, den: int) -> DataFrame:
+    """The stars' sets that may link with a set of another component in the same star, and how much to keep of them.
+
+    What sets a set off from its pivot's shared tokens are its extra and its missing tokens.  Two sets that link, and
+    whose scores do not say so already, have half the sum of their scores of these in common, and of the extra ones at
+    least as many as a link needs beyond what the pivot has.  A set that shares fewer with anyone is closed; that
+    raises the least score of the others.  ``kept`` of the first differences then hold ``fewest`` common ones, and all
+    but ``left``, the number of those not kept.
+    """
+    named = label.select(F.col("node").alias("b"), "component")
+    homes = label.select(F.col("node").alias("a"), F.col("component").alias("home"))
+    rows = stars.join(named, "b", "left").join(homes, "a", "left").select(
+        F.col("a").alias("pivot"), F.col("b").alias("short"), F.col("nb").alias("n"), "score", F.coalesce("component", "b").alias("component"),
+        F.expr("coalesce(coalesce(component, b) = coalesce(home, a), false)").alias("at_home"),
+        F.expr("kb - common").alias("extra"), F.expr("ka - common").alias("missing"),
+        F.expr(f"(nb * {num} + {den - 1}) div {den} - common").alias("beyond"),
+    )
+    for _ in range(ROUNDS):
+        ends = rows.groupBy("pivot").agg(
+            F.min("score").alias("lowest"), F.min(F.when(~F.col("at_home"), F.col("score"))).alias("outside"),
+            F.min("component").alias("lo"), F.max("component").alias("hi"),
+        ).where("lo <> hi").drop("lo", "hi")
+        half = F.expr(f"greatest(1, cast(ceil((score + if(at_home, outside, lowest)) / {2 * (den + num)}d) as bigint))")
+        rows = rows.drop("alike").join(ends, "pivot").withColumn("alike", half).where("extra + missing >= alike").drop("lowest", "outside")
+        rows = materialised(rows, "jaccard-strangers")
+    most = rows.groupBy("pivot").agg(F.least(F.lit(TOGETHER), F.min(F.greatest("alike", "beyond"))).alias("fewest"))
+    rows = rows.join(most, "pivot")
+    kept = F.least(
+        F.when(F.col("alike") >= F.col("fewest"), F.expr("extra + missing - alike + fewest")),
+        F.when(F.col("beyond") >= F.col("fewest"), F.expr("extra - beyond + fewest")),
+    )
+    return rows.withColumn("kept", kept).withColumn("left", F.expr("extra + missing - kept"))
+
+
+def differences(rows: DataFrame, tokens: DataFrame) -> DataFrame:
+    """The first ``kept`` tokens that set each set off from its pivot: extra ones first, the rarest before the others,
+    then missing ones, those before that fewer sets lack."""
+    mine = tokens.select("short", F.col("tokens").alias("t"))
+    theirs = tokens.select(F.col("short").alias("pivot"), F.col("tokens").alias("tp"))
+
+    def first(batches):
+        for b in batches:
+            keys = []
+            for t, tp, kept in zip(b.t, b.tp, b.kept):
+                keys.append(np.concatenate([t[~np.isin(t, tp)], tp[~np.isin(tp, t)][::-1]])[:kept])
+            yield b[["pivot", "short", "n", "component", "fewest", "score", "left"]].assign(keys=keys)
+
+    joined = rows.select("pivot", "short", "n", "component", "fewest", "score", "left", "kept").join(mine, "short").join(theirs, "pivot")
+    schema = "pivot long, short long, n int, component long, fewest long, score long, left long, keys array<long>"
+    return joined.mapInPandas(first, schema)
+
+
 def join(docs: DataFrame, num: int = 85, den: int = 100, width: int = 4) -> DataFrame:
     """doc_id, n_shingles, component_id of every row; documents link when den * common >= num * united.
 
@@ -148,7 +226,7 @@ def linked(rows: DataFrame, num: int, den: int, width: int, spent: DataFrame | N
     if spent is not None:
         discard(spent)
     # the same over all tokens of the opened sets, the rarest first: a link has ``least`` in common, so all but that
-    # many of the tokens that a set shares with others, and c more, hold c tokens that both have
+    # many of the tokens that a set shares with others, and one more, hold a token that both have
     least = f"((n * {num} + {den - 1}) div {den})"
     every = bodies.select("short", "n", F.explode("tokens").alias("key"))
     again = every.groupBy("key").agg(F.count("*").alias("sets")).where("sets > 1")
@@ -156,65 +234,54 @@ def linked(rows: DataFrame, num: int, den: int, width: int, spent: DataFrame | N
         F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("sets", "key"))).alias("tokens")
     )
     tokens = materialised(tokens.where(f"size(tokens) >= {least}").withColumn("tokens", F.col("tokens.key")), "jaccard-tokens")
-    more = f"least(size(tokens), size(tokens) - {least} + 1 + n div {SPARE})"
-    rare = tokens.select(
-        "short", "n", F.expr("n - size(tokens)").alias("own"), F.expr(f"size(tokens) - {least}").alias("last"),
-        F.posexplode(F.expr(f"slice(tokens, 1, {more})")).alias("place", "key"),
-    ).withColumn("lead", F.expr("place <= last"))
+    discard(bodies)
     # the pivot of a token is the set with the fewest tokens of its own: copies of one text link with the least altered
+    rare = tokens.select(
+        "short", "n", F.expr("n - size(tokens)").alias("own"), F.explode(F.expr(f"slice(tokens, 1, size(tokens) - {least} + 1)")).alias("key")
+    )
     groups = rare.groupBy("key").agg(
         F.min(F.struct("own", "short")).alias("pivot"), F.min("short").alias("lo"), F.max("short").alias("hi"),
         F.max("n").alias("largest"), F.min("n").alias("smallest"),
     ).where("lo <> hi").select("key", F.col("pivot.short").alias("pivot"), "largest", "smallest")
-    members = rare.join(groups, "key").where(
+    stars = rare.join(groups, "key").where(
         # sets all too small or too large for this one cannot link with it
         (F.col("n") * num <= F.col("largest") * den) & (F.col("smallest") * num <= F.col("n") * den)
-    ).select("key", "short", "pivot", "n", "lead")
-    members = materialised(members, "jaccard-members")
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) that link."""
-        left = bodies.select(F.col("short").alias("a"), F.col("tokens").alias("ta"))
-        right = bodies.select(F.col("short").alias("b"), F.col("tokens").alias("tb"))
-        rows = pairs.join(left, "a").join(right, "b")
-
-        def check(batches):
-            for b in batches:
-                keep = []
-                for ta, tb in zip(b.ta, b.tb):
-                    common = len(np.intersect1d(ta, tb, assume_unique=True))
-                    keep.append(den * common >= num * (len(ta) + len(tb) - common))
-                yield b.loc[keep, ["a", "b"]]
-
-        return materialised(rows.mapInPandas(check, "a long, b long"), "jaccard-links")
-
-    sizes = tokens.select(F.col("short").alias("a"), F.col("n").alias("na"))
-    stars = members.where("lead and short <> pivot").select(F.col("pivot").alias("a"), F.col("short").alias("b"), F.col("n").alias("nb")).distinct()
-    fits = f"least(na, nb) * {den} >= greatest(na, nb) * {num}"
-    stars = materialised(stars.join(sizes, "a").where(fits).select("a", "b"), "jaccard-stars")
-    links = verified(stars)
+    ).where("short <> pivot").select(F.col("pivot").alias("a"), F.col("short").alias("b")).distinct()
+    stars = materialised(counted(materialised(stars, "jaccard-stars"), tokens), "jaccard-measured")
+    linking = f"{den} * common >= {num} * (na + nb - common)"
+    # sets with a common rare token share its pivot: they are told apart by what sets them off from the pivot
+    stars = stars.withColumn("score", F.expr(score("nb", "ka + nb - 2 * common", num, den)))
+    nearest = stars.groupBy("a").agg(F.min(F.struct("score", "b")).alias("near"))
+    sure = stars.join(nearest, "a").where("score + near.score <= 0 and b <> near.b").select(F.col("near.b").alias("a"), "b")
+    links = materialised(stars.where(linking).select("a", "b").unionByName(sure), "jaccard-links")
     # groups are the components so far; a rare token in several groups may hide links between them
     label = components(spark, links)
-    named = members.drop("pivot").join(label, members.short == label.node, "left").select(
-        "key", "short", "n", F.coalesce("component", "short").alias("component")
+    open_ = strangers(stars, label, num, den)
+    kept = materialised(differences(open_, tokens).withColumn("key", F.explode("keys")).drop("keys"), "jaccard-kept")
+    mixed = kept.groupBy("pivot", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
+    open_ = materialised(kept.join(mixed.select("pivot", "key"), ["pivot", "key"]), "jaccard-open")
+    # the matrix: one row for each rare difference of a group's union, with the sizes of the sets that have it
+    union = open_.groupBy("pivot", "key", F.col("component").alias("group")).agg(
+        F.min("n").alias("smallest"), F.max("n").alias("largest"), F.min("score").alias("lowest"), F.max("left").alias("most")
     )
-    mixed = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    open_ = materialised(named.join(mixed.select("key"), "key"), "jaccard-open")
-    # the matrix: one row for each rare token of a group's union, with the sizes of the sets that have it
-    union = open_.groupBy("key", F.col("component").alias("group")).agg(F.min("n").alias("smallest"), F.max("n").alias("largest"))
-    reach = open_.join(union, "key").where(
+    reach = open_.join(union, ["pivot", "key"]).where(
         (F.col("component") != F.col("group")) & (F.col("n") * num <= F.col("largest") * den) & (F.col("smallest") * num <= F.col("n") * den)
-    ).groupBy("short", "component", "group").agg(F.count("*").alias("overlap"), F.max("n").alias("n"))
-    # a group whose union has fewer tokens in common with a set than a link has holds none
-    opens = materialised(reach.where("overlap >= " + fewest_common("n", num, den)).drop("overlap"), "jaccard-opens")
+    ).groupBy("pivot", "short", "component", "group").agg(
+        F.count("*").alias("overlap"), F.max("n").alias("n"), F.max("fewest").alias("fewest"),
+        F.min(F.col("score") + F.col("lowest")).alias("sum"), F.max(F.greatest("left", "most")).alias("left"),
+    )
+    # a group whose union has fewer differences in common with a set than a link has holds none
+    opens = reach.where(f"overlap >= greatest(fewest, cast(ceil(sum / {2 * (den + num)}d) as bigint) - left)")
+    opens = materialised(opens.select("pivot", "short", "component", "group", "n"), "jaccard-opens")
     # both sets of a link open each other's group
     left, right = (
-        opens.select(F.col("short").alias(x), F.col("n").alias("n" + x), F.col("component").alias("c" + x), F.col("group").alias("c" + y))
+        opens.select("pivot", F.col("short").alias(x), F.col("n").alias("n" + x), F.col("component").alias("c" + x), F.col("group").alias("c" + y))
         for x, y in ("ab", "ba")
     )
-    rest = left.join(right, ["ca", "cb"]).where("a < b").where(fits).select("a", "b")
-    rest = materialised(rest.join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "jaccard-rest")
-    label = components(spark, links.unionByName(verified(rest)))
+    fits = f"least(na, nb) * {den} >= greatest(na, nb) * {num}"
+    rest = left.join(right, ["pivot", "ca", "cb"]).where("a < b").where(fits).select("a", "b").distinct()
+    rest = counted(materialised(rest, "jaccard-rest"), tokens).where(linking).select("a", "b")
+    label = components(spark, links.unionByName(materialised(rest, "jaccard-links")))
     # the first row of every component, through the classes
     classes = reps.join(label, F.col("short") == label.node, "left")
     classes = classes.select("short", "check", "first", F.coalesce("component", "short").alias("component"))

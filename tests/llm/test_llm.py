@@ -75,6 +75,37 @@ def test_join_equals_brute_force_where_a_token_is_in_many_groups(spark):
         assert 20 < len(set(got.values())) < len(texts) - 20
 
 
+def test_join_compares_few_of_many_copies_that_do_not_link(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    texts = []
+    for family, size in enumerate((500, 40)):
+        base = [f"f{family}x{k}" for k in range(90)]
+        for k in range(size):
+            w = [x if k == 0 or rng.random() > 0.03 else f"r{rng.integers(1 << 40)}" for x in base]
+            texts += [" ".join(w)] + ([" ".join(w[:-1])] if k % 50 == 7 else [])
+    sets = [jaccard.shingle_set(t, WordHashes()) for t in texts]
+    first = list(range(len(texts)))
+    for i, x in enumerate(sets):
+        for j in range(i):
+            common = len(np.intersect1d(x, sets[j], assume_unique=True))
+            if 100 * common >= 85 * (len(x) + len(sets[j]) - common):
+                lo, hi = sorted((first[i], first[j]))
+                first = [lo if k == hi else k for k in first]
+    rows = {}
+    written = jaccard.materialised
+
+    def counting(df, label):
+        out = written(df, label)
+        rows[label] = max(rows.get(label, 0), out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "materialised", counting)
+    table = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").repartition(5)
+    assert {r["doc_id"]: r["component_id"] for r in jaccard.join(table).collect()} == dict(enumerate(first))
+    assert 100 < len(set(first)) < len(texts) - 100
+    assert max(rows["jaccard-opens"], rows["jaccard-rest"]) < 12 * len(texts)  # all pairs: 150,000
+
+
 def test_packing_covers_every_token_once():
     totals = {"a": 10_000, "b": 3_001, "c": 17, "d": 5}
     for target in (None, {"a": 0.2, "b": 0.8, "c": 0.0}):
