@@ -26,6 +26,7 @@ CHUNK = 200  # texts handed on at a time
 REMEMBERED = 500_000  # names of sets a task remembers
 ROUNDS = 3  # times that sets which cannot link are closed
 TOGETHER = 8  # common differences that a set and a group must have, where links have as many
+BITMAP = 32768  # rows of a bitmap, as Spark builds them
 SPARE = 12  # one token in so many is kept beyond those that a link needs for one common token
 
 
@@ -146,10 +147,10 @@ def differences(rows: DataFrame, tokens: DataFrame) -> DataFrame:
             keys = []
             for t, tp, kept in zip(b.t, b.tp, b.kept):
                 keys.append(np.concatenate([t[~np.isin(t, tp)], tp[~np.isin(tp, t)][::-1]])[:kept])
-            yield b[["pivot", "short", "n", "component", "fewest", "score", "left"]].assign(keys=keys)
+            yield b[["pivot", "short", "n", "component", "fewest", "score", "left", "kept"]].assign(keys=keys)
 
     joined = rows.select("pivot", "short", "n", "component", "fewest", "score", "left", "kept").join(mine, "short").join(theirs, "pivot")
-    schema = "pivot long, short long, n int, component long, fewest long, score long, left long, keys array<long>"
+    schema = "pivot long, short long, n int, component long, fewest long, score long, left long, kept long, keys array<long>"
     return joined.mapInPandas(first, schema)
 
 
@@ -211,17 +212,25 @@ def linked(rows: DataFrame, num: int, den: int, width: int, spent: DataFrame | N
     able = keys.join(again, "key").groupBy("short").agg(F.max("n").alias("n"), F.countDistinct("key").alias("c"))
     able = able.where("c >= " + fewest_common("n", num, den)).select("short")
     # the shingles of what is opened, worked out again from the representative's text
-    opened = materialised(reps.join(able, "short").select(F.col("rep").alias("row"), "short"), "jaccard-opened")
+    opened = materialised(reps.join(able, "short").select(F.col("rep").alias("row")), "jaccard-opened")
 
     def bodied(batches):
         hashes = WordHashes()
         for b in batches:
             for lo in range(0, len(b), CHUNK):
                 rows = b.iloc[lo : lo + CHUNK]
-                tokens = [shingle_set(t, hashes, width).view(np.int64) for t in rows.text]
-                yield pd.DataFrame({"short": rows.short.array, "n": [len(s) for s in tokens], "tokens": tokens})
-
-    bodies = plain.select("row", "text").join(opened, "row").mapInPandas(bodied, "short long, n int, tokens array<long>")
+                sets = [shingle_set(t, hashes, width) for t in rows.text]
+                yield pd.DataFrame({
+                    "short": [set_name(s)[0] for s in sets], "n": [len(s) for s in sets], "tokens": [s.view(np.int64) for s in sets],
+                })
+
+    # one bit for each row tells what is opened: small beside the texts, which stay where they are
+    bits = opened.select(F.expr(f"row div {BITMAP}").alias("block"), F.expr(f"row % {BITMAP}").alias("place")).repartition("block")
+    bits = bits.groupBy("block").agg(F.bitmap_construct_agg("place").alias("bits"))
+    texts = plain.select("row", "text", F.expr(f"row div {BITMAP}").alias("block")).join(bits, "block")
+    byte = f"cast(conv(hex(substring(bits, cast(row % {BITMAP} div 8 as int) + 1, 1)), 16, 10) as bigint)"
+    texts = texts.where(f"getbit({byte}, cast(row % 8 as int)) = 1").select("text")
+    bodies = texts.mapInPandas(bodied, "short long, n int, tokens array<long>")
     bodies = materialised(bodies, "jaccard-bodies")
     if spent is not None:
         discard(spent)
@@ -262,16 +271,16 @@ def linked(rows: DataFrame, num: int, den: int, width: int, spent: DataFrame | N
     open_ = materialised(kept.join(mixed.select("pivot", "key"), ["pivot", "key"]), "jaccard-open")
     # the matrix: one row for each rare difference of a group's union, with the sizes of the sets that have it
     union = open_.groupBy("pivot", "key", F.col("component").alias("group")).agg(
-        F.min("n").alias("smallest"), F.max("n").alias("largest"), F.min("score").alias("lowest"), F.max("left").alias("most")
+        F.min("n").alias("smallest"), F.max("n").alias("largest"), F.min("score").alias("lowest"), F.max("left").alias("most"), F.max("kept").alias("holds")
     )
+    needed = f"(cast(ceil((score + lowest) / {2 * (den + num)}d) as bigint) - greatest(left, most))"
     reach = open_.join(union, ["pivot", "key"]).where(
         (F.col("component") != F.col("group")) & (F.col("n") * num <= F.col("largest") * den) & (F.col("smallest") * num <= F.col("n") * den)
-    ).groupBy("pivot", "short", "component", "group").agg(
-        F.count("*").alias("overlap"), F.max("n").alias("n"), F.max("fewest").alias("fewest"),
-        F.min(F.col("score") + F.col("lowest")).alias("sum"), F.max(F.greatest("left", "most")).alias("left"),
+    ).where(f"{needed} <= least(kept, holds)").groupBy("pivot", "short", "component", "group").agg(
+        F.count("*").alias("overlap"), F.max("n").alias("n"), F.max("fewest").alias("fewest"), F.min(F.expr(needed)).alias("needed")
     )
     # a group whose union has fewer differences in common with a set than a link has holds none
-    opens = reach.where(f"overlap >= greatest(fewest, cast(ceil(sum / {2 * (den + num)}d) as bigint) - left)")
+    opens = reach.where("overlap >= greatest(fewest, needed)")
     opens = materialised(opens.select("pivot", "short", "component", "group", "n"), "jaccard-opens")
     # both sets of a link open each other's group
     left, right = (
