@@ -224,7 +224,7 @@ def linked(rows: DataFrame, num: int, den: int, width: int, spent: DataFrame | N
                     "short": [set_name(s)[0] for s in sets], "n": [len(s) for s in sets], "tokens": [s.view(np.int64) for s in sets],
                 })
 
-    # one bit for each row tells what is opened: small beside the texts, which stay where they are
+    # one bit for each row tells what is opened; texts are shuffled by blocks of rows unless the bits are broadcast
     bits = opened.select(F.expr(f"row div {BITMAP}").alias("block"), F.expr(f"row % {BITMAP}").alias("place")).repartition("block")
     bits = bits.groupBy("block").agg(F.bitmap_construct_agg("place").alias("bits"))
     texts = plain.select("row", "text", F.expr(f"row div {BITMAP}").alias("block")).join(bits, "block")
