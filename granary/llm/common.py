@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType, StructType
 
 from granary.session import scratch_path
 
@@ -40,6 +45,35 @@ def numbered(docs: DataFrame, label: str) -> DataFrame:
     return materialised(docs.withColumn(ROW, F.monotonically_increasing_id()), label)
 
 
+AT_ONCE = 256  # rows a task holds as Python values at a time
+
+
+def with_values(
+    docs: DataFrame, keep: list[str], into: str, kind: DataType, made: Callable[[], Callable[..., list]], extra: list[str] | None = None
+) -> DataFrame:
+    """``keep`` and column ``into``, worked out from the texts of a few rows at a time.
+
+    ``made`` is called once per task; what it returns gets a list for the texts and for each column of ``extra``.  The
+    kept columns pass through as they are, so that a task holds no second copy of a batch.
+    """
+    read = ["text", *(extra or [])]
+    names = [*dict.fromkeys([*keep, *read])]
+    narrow = docs.select(*[F.col(f"`{c}`") for c in names])
+    schema = StructType([narrow.schema[c] for c in keep]).add(into, kind)
+    arrow_kind = to_arrow_type(kind)
+
+    def worked(batches):
+        values = made()
+        for b in batches:
+            for lo in range(0, b.num_rows, AT_ONCE):
+                part = b.slice(lo, AT_ONCE)
+                got = values(*[part.column(names.index(c)).to_pylist() for c in read])
+                kept = [part.column(names.index(c)) for c in keep]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(got, arrow_kind)], names=[*keep, into])
+
+    return narrow.mapInArrow(worked, schema)
+
+
 def held_out(doc_id: Column) -> Column:
     """Whether crc32 of the id's text leaves no remainder modulo 5; a null id counts as held out."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))

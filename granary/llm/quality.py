@@ -8,8 +8,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
-from granary.llm.common import WordHashes, held_out, mix64
+from granary.llm.common import WordHashes, held_out, mix64, with_values
 
 BITS = 18
 MAX_TRAIN = 6000  # labelled rows used to fit: the bound of what reaches the driver
@@ -87,23 +88,20 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], keep: list[str], int
     """Add column ``into`` (0 to 1) as sparse dot products over whole texts; a null text counts as empty (the bias alone)."""
     weights, bias = model
     shared = docs.sparkSession.sparkContext.broadcast(weights.astype(np.float32))  # 2**BITS floats: fixed size
-    fields = [f for f in docs.schema.fields if f.name in keep]
-    names = [f.name for f in fields]
-    schema = docs.select(*names).schema.add(into, "double")
-    narrow = docs.select(*names) if "text" in names else docs.select(*names, "text")
 
-    def scored(batches):
+    def made():
         hashes, w = WordHashes(), shared.value
-        for b in batches:
-            out = b[names].copy()
+
+        def scores(texts):
             logits = []
-            for t in b.text:
+            for t in texts:
                 ids = ngram_ids(t, hashes)
                 logits.append(bias + (float(w[ids].sum()) * SCALE / len(ids) if len(ids) else 0.0))
-            out[into] = 1 / (1 + np.exp(-np.clip(np.array(logits, float), -30, 30)))
-            yield out
+            return 1 / (1 + np.exp(-np.clip(np.array(logits, float), -30, 30)))
+
+        return scores
 
-    return narrow.mapInPandas(scored, schema)
+    return with_values(docs, keep, into, DoubleType(), made)
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, max_train: int = MAX_TRAIN) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from granary.llm.common import held_out, materialised
+from granary.llm.common import held_out, materialised, with_values
 
 MAX_TRAIN = 8000  # labelled rows used to fit
 
@@ -139,19 +139,12 @@ def learned_beginnings(rows: DataFrame) -> list[dict[str, float]]:
 
 def with_features(docs: DataFrame, keep: list[str], lexicons: list[dict[str, float]], fold: str | None = None) -> DataFrame:
     """``keep`` and the features by the last lexicon, or by the one that column ``fold`` names."""
-    names = [*keep, fold] if fold else keep
-    schema = docs.select(*keep).schema.add("features", ArrayType(DoubleType()))
-    narrow = docs.select(*dict.fromkeys([*names, "text"]))
 
-    def featured(batches):
+    def made():
         weights = [Weights(x) for x in lexicons]
-        for b in batches:
-            out = b[keep].copy()
-            folds = b[fold] if fold else [-1] * len(b)
-            out["features"] = pd.Series([features(t, weights[f]) for t, f in zip(b.text, folds)], index=b.index, dtype=object)
-            yield out
+        return lambda texts, folds=None: [features(t, weights[f]) for t, f in zip(texts, folds or [-1] * len(texts))]
 
-    return narrow.mapInPandas(featured, schema)
+    return with_values(docs, keep, "features", ArrayType(DoubleType()), made, [fold] if fold else None)
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN):

@@ -242,6 +242,22 @@ def test_decontamination_fits_its_vectors_on_every_text(spark):
         assert np.linalg.norm(x @ q) > 0.99
 
 
+def test_scores_are_worked_out_from_few_rows_at_a_time_and_leave_columns_as_they_are(spark):
+    from pyspark.sql.types import LongType
+
+    from granary.llm import common
+
+    rows = [(k, None if k % 7 == 0 else "x" * (k % 5), None if k % 3 else (1 << 53) + k, [k], k % 2) for k in range(1500)]
+    table = spark.createDataFrame(rows, "id long, text string, big long, list array<long>, `odd name` int").coalesce(1)
+
+    def made():
+        return lambda texts, folds: [len(texts) * 10 + f for f in folds]
+
+    got = common.with_values(table, ["id", "big", "list", "odd name"], "held", LongType(), made, ["odd name"]).collect()
+    assert [tuple(r)[:4] for r in got] == [(k, b, x, f) for k, _, b, x, f in rows]
+    assert {r["held"] // 10 for r in got} <= set(range(1, common.AT_ONCE + 1)) and all(r["held"] % 10 == r["odd name"] for r in got)
+
+
 def test_decontamination_screens_passages_and_subsequences_like_brute_force():
     rng = np.random.default_rng(2)
     for _ in range(60):
