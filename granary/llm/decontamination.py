@@ -6,6 +6,8 @@ import re
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,13 +17,20 @@ BITS = 13  # slots of the hashed vocabulary
 RANK = 96
 LEADING = 4  # leading singular vectors left out: they tell languages apart, not topics
 SIZES = (24, 64)  # words of a passage; the passages of each size overlap by half
-FIT_WORDS = 1024  # words whose passages are multiplied at once in the fit
-FIT_BLOCKS = 1000  # blocks of the fit added up in single precision
+FIT_WORDS = 1 << 18  # words whose passages are multiplied at once in the fit
+FIT_ROWS = 256  # passages whose commonest words are multiplied as one matrix
+COMMON = 512  # slots in that matrix
+GATHERED = 4096  # vectors gathered at once for the other words
 PARTS = 64  # stretches of slots that partial sums are added up by
 ITEM_BLOCK = 4096  # benchmark items searched for at once
-REMEMBERED = 250_000  # words a task remembers the codes of
+CODED_BYTES = 1 << 23  # bytes of text cut into words at once
+STRETCH = 128  # words of the stretches of a text that items are screened by
+SCREENED = 1 << 20  # counts held at once while items are screened by stretches of a text
+FEW = 3  # items that are not worth that screen
 MANY_SIGNS = 64  # signs of a text beyond which it is cut by the pattern
 _WORDS = re.compile(r"[^\W_]+")
+# Latin-1 in lower case (one character each, Latin-1 again), and a space for each sign
+_LATIN = bytes(ord(c) if c.isalnum() else ord(" ") for k in range(256) for c in [chr(k).lower()])
 
 
 def words(text: str | None) -> list[str]:
@@ -56,32 +65,51 @@ def code_type(listed: np.ndarray) -> str:
     return "<u2" if len(listed) + (1 << BITS) <= 1 << 16 else "<u4"
 
 
-def coded(docs: DataFrame, listed: np.ndarray) -> DataFrame:
-    """doc_id and the codes of all words of every text, in order: what the fit and the search are worked out from."""
-    shared, kind = docs.sparkSession.sparkContext.broadcast(listed), code_type(listed)
+def spaced(text: str | None) -> str | None:
+    """The words of a text between single or more spaces; None without words."""
+    try:
+        low = (text or "").encode("latin-1").translate(_LATIN).decode("latin-1").strip(" ")
+    except UnicodeEncodeError:
+        low = " ".join(words(text))
+    return low or None
 
-    def encode(batches):
-        import xxhash
 
-        listed = {h: (1 << BITS) + k for k, h in enumerate(shared.value.tolist())}
+def pieces(ends: np.ndarray, most: int):
+    """(first, last + 1) of neighbouring rows that hold up to ``most`` in sum, or of one row; ``ends`` starts with 0."""
+    lo = 0
+    while lo < len(ends) - 1:
+        hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + most, "right")) - 1)
+        yield lo, hi
+        lo = hi
 
-        class Codes(dict):
-            def __missing__(self, x):
-                if len(self) >= REMEMBERED:
-                    self.clear()
-                h = xxhash.xxh64_intdigest(x.encode("utf-8", "surrogatepass"))
-                code = self[x] = listed.get(h, h >> (64 - BITS))
-                return code
 
-        known = Codes()
+def coded(docs: DataFrame, listed: np.ndarray) -> DataFrame:
+    """doc_id and the codes of all words of every text, in order: what the fit and the search are worked out from."""
+    shared, kind = docs.sparkSession.sparkContext.broadcast(listed), np.dtype(code_type(listed))
 
-        def codes(w: list[str]) -> bytes:
-            return np.array([*map(known.__getitem__, w)], kind).tobytes()
+    def encode(batches):
+        import xxhash
 
+        listed = shared.value
         for b in batches:
-            yield pd.DataFrame({"doc_id": b.doc_id.array, "codes": [codes(words(t)) for t in b.text]}).astype({"doc_id": "Int64"})
-
-    return materialised(docs.select("doc_id", "text").mapInPandas(encode, "doc_id long, codes binary"), "leak-codes")
+            sizes = pc.fill_null(pc.binary_length(b.column("text")), 0).to_numpy(zero_copy_only=False)
+            for lo, hi in pieces(np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]), CODED_BYTES):
+                part = b.slice(lo, hi - lo)
+                cut = pc.ascii_split_whitespace(pa.array([spaced(t) for t in part.column("text").to_pylist()], pa.string()))
+                n = pc.fill_null(pc.list_value_length(cut), 0).to_numpy(zero_copy_only=False)
+                found = cut.flatten().dictionary_encode()
+                # each distinct word of these texts is hashed once
+                known = found.dictionary.cast(pa.binary()).to_pylist()
+                h = np.fromiter(map(xxhash.xxh64_intdigest, known), np.uint64, len(known))
+                at = np.searchsorted(listed, h)
+                own = np.searchsorted(listed, h, "right") > at
+                code = np.where(own, (1 << BITS) + at, (h >> np.uint64(64 - BITS)).astype(np.int64)).astype(kind)
+                ends = np.concatenate([[0], np.cumsum(n, dtype=np.int64)]) * kind.itemsize
+                data = [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(code[found.indices.to_numpy(zero_copy_only=False)])]
+                codes = pa.Array.from_buffers(pa.binary(), hi - lo, data)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), codes], names=["doc_id", "codes"])
+
+    return materialised(docs.select("doc_id", "text").mapInArrow(encode, "doc_id long, codes binary"), "leak-codes")
 
 
 def document_frequencies(texts: DataFrame, listed: np.ndarray) -> tuple[np.ndarray, int]:
@@ -109,21 +137,66 @@ def document_frequencies(texts: DataFrame, listed: np.ndarray) -> tuple[np.ndarr
     return out, n
 
 
-def fit_blocks(texts, size: int = SIZES[-1], most: int = FIT_WORDS):
-    """(slots, passage of each) of about ``most`` words at a time; the passages of a text follow each other."""
-    held, marks, n, passage = [], [], 0, 0
-    for s in texts:
-        for lo in range(0, len(s), most):
-            piece = s[lo : lo + most]
-            held.append(piece)
-            marks.append(passage + np.arange(len(piece)) // size)
-            passage = int(marks[-1][-1]) + 1
-            n += len(piece)
-            if n >= most:
-                yield np.concatenate(held), np.concatenate(marks)
-                held, marks, n, passage = [], [], 0, 0
-    if held:
-        yield np.concatenate(held), np.concatenate(marks)
+def fit_pieces(texts: pa.Array, kind: np.dtype, most: int = FIT_WORDS):
+    """(codes, lengths) of about ``most`` words of neighbouring texts; a longer text comes in pieces of whole passages."""
+    n = pc.binary_length(texts).to_numpy(zero_copy_only=False) // kind.itemsize
+    for lo, hi in pieces(np.concatenate([[0], np.cumsum(n, dtype=np.int64)]), most):
+        codes = np.concatenate([np.frombuffer(raw, kind) for raw in texts.slice(lo, hi - lo).to_pylist()])
+        if len(codes) <= most:
+            yield codes, n[lo:hi]
+            continue
+        for k in range(0, len(codes), most):
+            yield codes[k : k + most], np.array([len(codes[k : k + most])])
+
+
+def weighted_sums(table: np.ndarray, rows: np.ndarray, weights: np.ndarray, begin: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """For each run begin .. begin + n, n > 0: the sum of those rows of the table by their weights."""
+    out = np.empty((len(n), table.shape[1]), np.float32)
+    for size in np.unique(n).tolist():  # runs of one length are one stack of products
+        same = np.flatnonzero(n == size)
+        step = max(1, GATHERED // size)
+        for lo in range(0, len(same), step):
+            some = same[lo : lo + step]
+            at = (begin[some][:, None] + np.arange(size)).ravel()
+            gathered = table.take(rows[at], axis=0).reshape(len(some), size, -1)
+            out[some] = (weights[at].reshape(len(some), 1, size) @ gathered)[:, 0]
+    return out
+
+
+def add_gram(total: np.ndarray, slots: np.ndarray, lengths: np.ndarray, idf: np.ndarray, q: np.ndarray, size: int = SIZES[-1]) -> None:
+    """Add A'AQ of some texts' TF-IDF passages to ``total``; slots are numbered by falling frequency.
+
+    The commonest slots fill a small matrix, the others are gathered word by word.
+    """
+    if not len(slots):
+        return
+    place = np.arange(len(slots)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    passage = np.cumsum(place % size == 0) - 1
+    key = np.sort(passage << BITS | slots)
+    first = np.flatnonzero(np.diff(key, prepend=-1))
+    times, key = np.diff(first, append=len(key)), key[first]
+    slot, passage = key & ((1 << BITS) - 1), key >> BITS
+    many = int(passage[-1]) + 1
+    x = times.astype(np.float32) * idf[slot]
+    x /= np.maximum(np.sqrt(np.add.reduceat(x * x, np.searchsorted(passage, np.arange(many)))), 1e-9)[passage]
+    rare = slot >= COMMON
+    s, p, w = slot[rare], passage[rare], x[rare]
+    n = np.bincount(p, minlength=many)
+    some = np.flatnonzero(n)
+    v = np.zeros((many, q.shape[1]), np.float32)
+    v[some] = weighted_sums(q, s, w, (np.cumsum(n) - n)[some], n[some])
+    slot, passage, x = slot[~rare], passage[~rare], x[~rare]
+    edges = np.searchsorted(passage, np.arange(0, many + FIT_ROWS, FIT_ROWS))
+    for k, lo in enumerate(range(0, many, FIT_ROWS)):
+        hi, here = min(lo + FIT_ROWS, many), slice(edges[k], edges[k + 1])
+        dense = np.zeros((hi - lo, COMMON), np.float32)
+        dense[passage[here] - lo, slot[here]] = x[here]
+        v[lo:hi] += dense @ q[:COMMON]
+        total[:COMMON] += dense.T @ v[lo:hi]
+    order = np.argsort(s.astype(np.uint16), kind="stable")
+    s = s[order]
+    first = np.flatnonzero(np.diff(s, prepend=-1))
+    total[s[first]] += weighted_sums(v, p[order], w[order], first, np.diff(first, append=len(s)))
 
 
 def singular_vectors(texts: DataFrame, listed: np.ndarray, idf: np.ndarray, rank: int = RANK) -> np.ndarray:
@@ -132,40 +205,31 @@ def singular_vectors(texts: DataFrame, listed: np.ndarray, idf: np.ndarray, rank
     Each step is one Spark job over all passages of all texts: tasks add up their own part of A'AQ, the parts are
     added up by stretches of slots, and the driver gets the one sum, of a fixed size.
     """
-    slot_of, kind = slot_table(listed), code_type(listed)
+    kind = np.dtype(code_type(listed))
+    common = np.argsort(idf, kind="stable")  # the slots by falling frequency
+    numbers = np.empty(1 << BITS, np.int64)
+    numbers[common] = np.arange(1 << BITS)
+    slot_of, weights = numbers[slot_table(listed)], idf[common]
     height = (1 << BITS) // PARTS
     q = np.linalg.qr(np.random.default_rng(11).standard_normal((1 << BITS, rank)))[0].astype(np.float32)
     for _ in range(3):
         shared = texts.sparkSession.sparkContext.broadcast(q)  # fixed size: slots x rank
 
         def step(batches):
-            total, place = np.zeros((1 << BITS, rank), np.float32), np.zeros(1 << BITS, np.int64)
-            whole, blocks = np.zeros((1 << BITS, rank)), 0
+            by_number, total = shared.value[common], np.zeros((1 << BITS, rank))
             for b in batches:
-                for s, passage in fit_blocks(slot_of[np.frombuffer(raw, kind)] for raw in b.codes):
-                    used = np.zeros(1 << BITS, bool)
-                    used[s] = True
-                    at = np.flatnonzero(used)
-                    place[at] = np.arange(len(at))
-                    rows = int(passage[-1]) + 1
-                    x = np.bincount(passage * len(at) + place[s], minlength=rows * len(at)).reshape(rows, len(at))
-                    x = x.astype(np.float32) * idf[at]
-                    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
-                    total[at] += x.T @ (x @ shared.value[at])
-                    blocks += 1
-                    if blocks % FIT_BLOCKS == 0:  # long sums in double precision
-                        whole += total
-                        total[:] = 0
-            total = whole + total
-            parts = [total[k * height : (k + 1) * height].astype(np.float32).tobytes() for k in range(PARTS)]
-            yield pd.DataFrame({"part": range(PARTS), "v": parts})
+                for codes, lengths in fit_pieces(b.column("codes"), kind):
+                    add_gram(total, slot_of[codes], lengths, weights, by_number)
+            total = total[numbers].astype(np.float32)
+            parts = [total[k * height : (k + 1) * height].tobytes() for k in range(PARTS)]
+            yield pa.RecordBatch.from_arrays([pa.array(range(PARTS), pa.int32()), pa.array(parts, pa.binary())], names=["part", "v"])
 
         def added(rows):
             total = sum(np.frombuffer(v, np.float32).astype(np.float64) for v in rows.v)
             return pd.DataFrame({"part": rows.part[:1], "v": [total.tobytes()]})
 
         y = np.zeros((1 << BITS, rank))
-        sums = texts.select("codes").mapInPandas(step, "part int, v binary").groupBy("part").applyInPandas(added, "part int, v binary")
+        sums = texts.select("codes").mapInArrow(step, "part int, v binary").groupBy("part").applyInPandas(added, "part int, v binary")
         for r in sums.collect():
             y[r["part"] * height : (r["part"] + 1) * height] = np.frombuffer(r["v"]).reshape(height, rank)
         q = np.linalg.qr(y + 1e-9 * np.random.default_rng(3).standard_normal(y.shape))[0].astype(np.float32)
@@ -216,7 +280,8 @@ class Item:
 
 def by_word(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The codes of a text in order, and the place of each; places of one code ascend."""
-    at = np.argsort(text, kind="stable")
+    small = len(text) and text.max() < 1 << 16  # short numbers are sorted by their digits
+    at = np.argsort(text.astype(np.uint16) if small else text, kind="stable")
     return text[at], at
 
 
@@ -267,6 +332,43 @@ def able_passages(
     return some[np.bincount(passage[fresh], minlength=len(some)) >= least]
 
 
+def screened(items: list[Item], text: np.ndarray, leasts: np.ndarray, column: np.ndarray) -> np.ndarray:
+    """Whether some widened passage may hold enough words of an item, for each item.
+
+    Words are counted by stretches of the text: a widened passage lies in few stretches that follow each other, and
+    these hold no fewer of the item's words.  ``column`` is zero for every code, before and after.
+    """
+    many = -(-len(text) // STRETCH)
+    # a run of so many words touches no more stretches than these
+    wide = np.array([-(-(SIZES[-1] + 2 * len(item.codes)) // STRETCH) + 1 for item in items])
+    order = np.argsort(wide, kind="stable")
+    sizes = np.array([len(item.distinct) for item in items])[order]
+    out = wide >= many
+    for lo, hi in pieces(np.concatenate([[0], np.cumsum(sizes)]), max(SCREENED // many, 1)):
+        group = order[lo:hi]
+        if sizes[lo:hi].sum() * many > SCREENED:  # one item in a very long text: left to the exact screen
+            out[group] = True
+            continue
+        places, times = (np.concatenate([getattr(items[k], x) for k in group]) for x in ("distinct", "times"))
+        column[places] = np.arange(1, len(places) + 1)  # a word of several items keeps one of its columns
+        own, of = column[places], column[text]
+        column[places] = 0
+        at = np.flatnonzero(of)
+        counts = np.bincount(at // STRETCH * (len(places) + 1) + of[at], minlength=many * (len(places) + 1))
+        upto = np.zeros((many + 1, len(places)), np.int64)
+        np.cumsum(counts.reshape(many, -1).take(own, axis=1), axis=0, out=upto[1:])
+        begin = np.cumsum(sizes[lo:hi]) - sizes[lo:hi]
+        for w in np.unique(wide[group]).tolist():
+            if w >= many:
+                continue
+            same = np.flatnonzero(wide[group] == w)
+            mine = slice(begin[same[0]], begin[same[-1]] + sizes[lo + same[-1]])
+            held = np.minimum(upto[w:, mine] - upto[:-w, mine], times[mine])
+            held = np.add.reduceat(held, begin[same] - mine.start, axis=1)
+            out[group[same]] = (held >= leasts[group[same]]).any(axis=0)
+    return out
+
+
 def matches(
     docs: DataFrame, benchmark: DataFrame, min_cosine: float = 0.45, min_common: float = 0.6, min_answer: float = 0.5
 ) -> DataFrame:
@@ -308,6 +410,9 @@ def matches(
             lengths = np.array([len(item.codes) for item in known])
             sizes = np.array([len(item.distinct) for item in known])
             starts = np.cumsum(sizes) - sizes
+            # the fewest words of an item that make a match: more than it has where none do
+            leasts = np.array([next((k for k in range(n + 1) if k / n >= min_common), n + 1) for n in lengths.tolist()])
+            column = np.zeros(len(slot_of), np.int64)
             goal = unit(np.stack([v[slot_of[item.codes]].sum(axis=0) for item in known]))
             for b in batches:
                 out = []
@@ -316,6 +421,8 @@ def matches(
                     # words the whole document lacks are in no passage of it: such items need no search
                     present = np.minimum(np.bincount(h, minlength=len(slot_of))[places], times)
                     able = np.flatnonzero(np.add.reduceat(present, starts) / lengths >= min_common)
+                    if len(able) > FEW:
+                        able = able[screened([known[k] for k in able], h, leasts[able], column)]
                     if len(able) == 0:
                         continue
                     ordered = by_word(h)

@@ -242,6 +242,60 @@ def test_decontamination_fits_its_vectors_on_every_text(spark):
         assert np.linalg.norm(x @ q) > 0.99
 
 
+def test_decontamination_codes_are_hashes_of_the_words(spark, monkeypatch):
+    monkeypatch.setattr(decontamination, "CODED_BYTES", 60)  # of several pieces
+    texts = [None, "", " .!? ", "one", " Two  two\ttwo\n", "Straße ÀÉ µ² x_y ¼", "naïve – “quoted” ΑΣ İ 漢字", *[" ".join(WORDS[k : k + 9]) for k in range(40)]]
+    listed = np.sort(WordHashes()(["two", "straße", "漢字", WORDS[3]]))
+    table = spark.createDataFrame([(k if k else None, t) for k, t in enumerate(texts)], "doc_id long, text string").repartition(2)
+    for own in (listed, np.empty(0, np.uint64)):
+        got = {r["doc_id"]: np.frombuffer(r["codes"], "<u2").tolist() for r in decontamination.coded(table, own).collect()}
+        for k, t in enumerate(texts):
+            h = WordHashes()(decontamination.words(t)).tolist()
+            known = {x: (1 << decontamination.BITS) + n for n, x in enumerate(own.tolist())}
+            assert got[k or None] == [known.get(x, x >> (64 - decontamination.BITS)) for x in h]
+
+
+def test_decontamination_fit_step_is_the_product_of_all_passages(monkeypatch):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(6)
+    slots = 1 << decontamination.BITS
+    texts = [(slots * rng.random(n) ** 4).astype("<u2") for n in (0, 1, 63, 64, 65, 700, 0, 3000, 129)]
+    idf, q = rng.random(slots).astype(np.float32) + 0.1, rng.standard_normal((slots, 5)).astype(np.float32)
+    want = np.zeros((slots, 5))
+    for t in texts:
+        for lo in range(0, len(t), 64):
+            x = np.bincount(t[lo : lo + 64], minlength=slots) * idf.astype(float)
+            x /= np.linalg.norm(x)
+            want += np.outer(x, x @ q)
+    for most, rows in ((1 << 18, 256), (640, 7), (64, 1)):
+        monkeypatch.setattr(decontamination, "FIT_ROWS", rows)
+        monkeypatch.setattr(decontamination, "GATHERED", rows)
+        got = np.zeros((slots, 5))
+        for codes, lengths in decontamination.fit_pieces(pa.array([t.tobytes() for t in texts], pa.binary()), np.dtype("<u2"), most):
+            assert lengths.sum() == len(codes) <= most
+            decontamination.add_gram(got, codes.astype(np.int64), lengths, idf, q)
+        assert np.allclose(got, want, atol=1e-4)
+
+
+def test_decontamination_counts_by_stretches_leave_no_able_item_out(monkeypatch):
+    rng = np.random.default_rng(3)
+    excluded = 0
+    for n in range(80):
+        monkeypatch.setattr(decontamination, "STRETCH", (8, 64, 128)[n % 3])
+        monkeypatch.setattr(decontamination, "SCREENED", (200, 1 << 20)[n % 2])  # few items at once, long ones left to the exact screen
+        text = rng.integers(0, 600, int(rng.integers(1, 1500)))
+        items = [decontamination.Item(k, rng.integers(0, 620, int(rng.integers(1, 90)))) for k in range(12)]
+        items.append(decontamination.Item(12, np.append(text[len(text) // 2 :][:30], 619)))
+        leasts = np.array([next(k for k in range(len(i.codes) + 1) if k / len(i.codes) >= 0.35) for i in items])
+        column = np.zeros(620, np.int64)
+        got = decontamination.screened(items, text, leasts, column)
+        able = np.array([len(decontamination.able_passages(i, text, 0.35)) > 0 for i in items])
+        assert got[able].all() and able[-1] and not column.any()
+        excluded += (~got).sum()
+    assert excluded > 100
+
+
 def test_scores_are_worked_out_from_few_rows_at_a_time_and_leave_columns_as_they_are(spark):
     from pyspark.sql.types import LongType
 
