@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
@@ -9,6 +11,25 @@ from granary.llm import decontamination, jaccard, packing, quality, toxicity
 from granary.llm.common import materialised, table
 
 
+BATCH_ROWS = 1000  # most rows of an Arrow batch, which JVM and Python both hold whole while it is handed over
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's batches to BATCH_ROWS; a smaller setting stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+
+
+def bounded(stage):
+    @functools.wraps(stage)
+    def run_bounded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_bounded
+
+
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
@@ -30,8 +51,10 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
-    ("quality", good_quality), ("toxicity", not_toxic), ("jaccard", one_of_each), ("decontamination", unseen),
-    ("packing", packed),
+    (name, bounded(stage)) for name, stage in (
+        ("quality", good_quality), ("toxicity", not_toxic), ("jaccard", one_of_each), ("decontamination", unseen),
+        ("packing", packed),
+    )
 ]
 
 # Trained scores, latent search and tokenization are beyond SQL.  tests/llm compares the Jaccard, decontamination and

@@ -595,3 +595,18 @@ def test_malformed_markup_does_not_fail(odd):
         texts = [b[0] for b in html.leaves(page)]
         assert page == odd or "before" in texts[0]
     assert [b[0] for b in html.leaves("<p>one</p><![foo[x]]><p>two</p>")] == ["one", "two"]
+
+
+def test_pipeline_stages_hand_over_small_batches(spark):
+    import corpus_pipeline
+
+    name, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before = spark.conf.get(name)
+    try:
+        for given in (10000, 0, 300):
+            spark.conf.set(name, given)
+            corpus_pipeline.bounded(lambda spark, docs, folder: seen.append(int(spark.conf.get(name))))(spark, None, "")
+    finally:
+        spark.conf.set(name, before)
+    assert seen == [corpus_pipeline.BATCH_ROWS] * 2 + [300]
+    assert [f.__name__ for _, f in corpus_pipeline.STAGES] == ["good_quality", "not_toxic", "one_of_each", "unseen", "packed"]
