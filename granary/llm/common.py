@@ -22,10 +22,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialised(df: DataFrame, label: str) -> DataFrame:
+def materialised(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: a lineage cut that outlives executors."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -41,8 +41,28 @@ ROW = "granary row"  # column of row ids
 
 
 def numbered(docs: DataFrame, label: str) -> DataFrame:
-    """The rows with an id each that stays the same in every later use: ids of the data may be null or repeat."""
-    return materialised(docs.withColumn(ROW, F.monotonically_increasing_id()), label)
+    """The rows with an id each that stays the same in every later use: ids of the data may be null or repeat.
+
+    This copy of the texts stays until a stage's result is written, so it is packed tighter than other scratch tables.
+    """
+    return materialised(docs.withColumn(ROW, F.monotonically_increasing_id()), label, "zstd")
+
+
+BITMAP = 32768  # rows of a bitmap, as Spark builds them
+
+
+def picked(rows: DataFrame, ids: DataFrame, kind: str = "left_semi") -> DataFrame:
+    """The numbered rows whose id is among ``ids``, or with ``left_anti`` those whose id is not, without a shuffle of them.
+
+    One bit for each row, in blocks of BITMAP rows, is broadcast instead of the ids, so that texts stay where they are
+    read however many ids there are.  Only the ids are shuffled.
+    """
+    row = f"`{ROW}`"
+    bits = ids.select(F.expr(f"{row} div {BITMAP}").alias("granary block"), F.expr(f"{row} % {BITMAP}").alias("granary place"))
+    bits = bits.repartition("granary block").groupBy("granary block").agg(F.bitmap_construct_agg("granary place").alias("granary bits"))
+    byte = f"cast(conv(hex(substring(`granary bits`, cast({row} % {BITMAP} div 8 as int) + 1, 1)), 16, 10) as bigint)"
+    held = F.expr(f"{row} div {BITMAP} = `granary block` and getbit({byte}, cast({row} % 8 as int)) = 1")
+    return rows.join(F.broadcast(bits), held, kind)
 
 
 AT_ONCE = 256  # rows a task holds as Python values at a time

@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.common import ROW, WordHashes, materialised, numbered
+from granary.llm.common import ROW, WordHashes, discard, materialised, numbered, picked
 
 BITS = 13  # slots of the hashed vocabulary
 RANK = 96
@@ -380,6 +380,13 @@ def matches(
     which passage is reported, never whether an item is found.  Items too few of whose words the document, or any
     passage of it, holds could not match and are left out of its search.  Empty items and texts match nothing.
     """
+    return searched(docs, benchmark, min_cosine, min_common, min_answer)[0]
+
+
+def searched(
+    docs: DataFrame, benchmark: DataFrame, min_cosine: float = 0.45, min_common: float = 0.6, min_answer: float = 0.5
+) -> tuple[DataFrame, DataFrame]:
+    """The ``matches``, and the scratch table of coded texts that they are worked out from."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     items = benchmark.where("text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
@@ -463,7 +470,7 @@ def matches(
                 yield frame
 
         found = found.unionByName(texts.mapInPandas(search, schema))
-    return found
+    return found, texts
 
 
 def _by_item():
@@ -477,5 +484,7 @@ def keep_unseen(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     rows = numbered(docs, "leak-rows")
     # ids may be null or repeat, so rows are searched and dropped by their own
     named = rows.select(F.col(ROW).alias("doc_id"), "text")
-    found = materialised(matches(named, benchmark).select(F.col("doc_id").alias(ROW)).distinct(), "leaks")
-    return rows.join(found, ROW, "left_anti").select(*docs.columns)
+    found, texts = searched(named, benchmark)
+    found = materialised(found.select(F.col("doc_id").alias(ROW)).distinct(), "leaks")
+    discard(texts)
+    return picked(rows, found, "left_anti").select(*docs.columns)

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.common import ROW, WordHashes, discard, materialised, mix64, numbered, shingles
+from granary.llm.common import ROW, WordHashes, discard, materialised, mix64, numbered, picked, shingles
 
 _WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -26,7 +26,6 @@ CHUNK = 200  # texts handed on at a time
 REMEMBERED = 500_000  # names of sets a task remembers
 ROUNDS = 3  # times that sets which cannot link are closed
 TOGETHER = 8  # common differences that a set and a group must have, where links have as many
-BITMAP = 32768  # rows of a bitmap, as Spark builds them
 SPARE = 12  # one token in so many is kept beyond those that a link needs for one common token
 
 
@@ -212,7 +211,9 @@ def linked(rows: DataFrame, num: int, den: int, width: int, spent: DataFrame | N
     able = keys.join(again, "key").groupBy("short").agg(F.max("n").alias("n"), F.countDistinct("key").alias("c"))
     able = able.where("c >= " + fewest_common("n", num, den)).select("short")
     # the shingles of what is opened, worked out again from the representative's text
-    opened = materialised(reps.join(able, "short").select(F.col("rep").alias("row")), "jaccard-opened")
+    opened = materialised(reps.join(able, "short").select(F.col("rep").alias(ROW)), "jaccard-opened")
+    wide, found = found, materialised(found.drop("keys"), "jaccard-named")
+    discard(wide)
 
     def bodied(batches):
         hashes = WordHashes()
@@ -224,12 +225,7 @@ def linked(rows: DataFrame, num: int, den: int, width: int, spent: DataFrame | N
                     "short": [set_name(s)[0] for s in sets], "n": [len(s) for s in sets], "tokens": [s.view(np.int64) for s in sets],
                 })
 
-    # one bit for each row tells what is opened; texts are shuffled by blocks of rows unless the bits are broadcast
-    bits = opened.select(F.expr(f"row div {BITMAP}").alias("block"), F.expr(f"row % {BITMAP}").alias("place")).repartition("block")
-    bits = bits.groupBy("block").agg(F.bitmap_construct_agg("place").alias("bits"))
-    texts = plain.select("row", "text", F.expr(f"row div {BITMAP}").alias("block")).join(bits, "block")
-    byte = f"cast(conv(hex(substring(bits, cast(row % {BITMAP} div 8 as int) + 1, 1)), 16, 10) as bigint)"
-    texts = texts.where(f"getbit({byte}, cast(row % 8 as int)) = 1").select("text")
+    texts = picked(rows, opened).select("text")
     bodies = texts.mapInPandas(bodied, "short long, n int, tokens array<long>")
     bodies = materialised(bodies, "jaccard-bodies")
     if spent is not None:
@@ -290,15 +286,15 @@ def linked(rows: DataFrame, num: int, den: int, width: int, spent: DataFrame | N
     fits = f"least(na, nb) * {den} >= greatest(na, nb) * {num}"
     rest = left.join(right, ["pivot", "ca", "cb"]).where("a < b").where(fits).select("a", "b").distinct()
     rest = counted(materialised(rest, "jaccard-rest"), tokens).where(linking).select("a", "b")
-    label = components(spark, links.unionByName(materialised(rest, "jaccard-links")))
+    rest = materialised(rest, "jaccard-links")
+    discard(tokens)
+    label = components(spark, links.unionByName(rest))
     # the first row of every component, through the classes
     classes = reps.join(label, F.col("short") == label.node, "left")
     classes = classes.select("short", "check", "first", F.coalesce("component", "short").alias("component"))
     lowest = classes.groupBy("component").agg(F.min("first").alias("first"))
     named = classes.drop("first").join(lowest, "component").select("short", "check", "first")
-    return found.select("row", "doc_id", "n_shingles", "short", "check").join(named, ["short", "check"], "left").select(
-        "row", "doc_id", "n_shingles", "first"
-    )
+    return found.join(named, ["short", "check"], "left").select("row", "doc_id", "n_shingles", "first")
 
 
 def keep_one(docs: DataFrame, num: int = 80, den: int = 100, width: int = 5) -> DataFrame:
@@ -309,4 +305,4 @@ def keep_one(docs: DataFrame, num: int = 80, den: int = 100, width: int = 5) ->
     """
     rows = numbered(docs, "jaccard-rows")
     kept = linked(rows, num, den, width).where("first IS NULL OR first.row = row").select(F.col("row").alias(ROW))
-    return rows.join(materialised(kept, "jaccard-kept"), ROW, "left_semi").select(*docs.columns)
+    return picked(rows, materialised(kept, "jaccard-kept")).select(*docs.columns)

@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from granary.llm import decontamination, html, jaccard, licenses, packing, quality, sketches, toxicity, urls, warc
-from granary.llm.common import WordHashes
+from granary.llm.common import BITMAP, ROW, WordHashes, picked
+from granary.session import shared_folder
 
 
 def docs(spark, rows):
@@ -610,3 +611,35 @@ def test_pipeline_stages_hand_over_small_batches(spark):
         spark.conf.set(name, before)
     assert seen == [corpus_pipeline.BATCH_ROWS] * 2 + [300]
     assert [f.__name__ for _, f in corpus_pipeline.STAGES] == ["good_quality", "not_toxic", "one_of_each", "unseen", "packed"]
+
+
+def test_rows_are_picked_and_left_out_by_their_bits(spark):
+    n = 2 * BITMAP + 100
+    rows = spark.range(n).select((F.col("id") + (F.col("id") % 3) * (1 << 33)).alias(ROW), F.col("id").alias("block"))
+    edges = {0, 7, 8, BITMAP - 1, BITMAP, 2 * BITMAP - 1, 2 * BITMAP, n - 1}
+    some = rows.where(F.col("block").isin(*edges) | (F.xxhash64("block") % 5 == 0)).select(ROW)
+    want = {r[ROW] for r in some.collect()}
+    inside = [r[ROW] for r in picked(rows, some).collect()]
+    outside = [r[ROW] for r in picked(rows, some, "left_anti").collect()]
+    assert len(want) > n // 10 and set(inside) == want and not want & set(outside)
+    assert len(inside) == len(want) and len(outside) == n - len(want) == len(set(outside))
+    assert picked(rows, some.limit(0)).count() == 0 and picked(rows, some.limit(0), "left_anti").count() == n
+
+
+def test_stages_leave_texts_where_they_are_read_and_little_behind(spark, mixed):
+    bench = spark.createDataFrame([(1, " ".join(WORDS[210:240]))], "item_id long, text string")
+    fs = spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark)).getFileSystem(spark._jsc.hadoopConfiguration())
+    folder = spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark) + "/granary")
+    stored = lambda: {p.getPath().getName() for p in fs.listStatus(folder)} if fs.exists(folder) else set()
+    before, least = stored(), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if there were many ids
+    try:
+        for stage, ids in ((jaccard.keep_one(mixed), [1, 4, 5, 6, 9]), (decontamination.keep_unseen(mixed, bench), [1, 3, 4, 5, 6, 7, 8])):
+            plan = stage._jdf.queryExecution().executedPlan().toString()
+            assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+            assert sorted(r["doc_id"] for r in stage.collect()) == ids
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", least)
+    left = {name.rsplit("-", 1)[0] for name in stored() - before}
+    assert "jaccard-rows" in left and "leak-rows" in left
+    assert not left & {"jaccard-sets", "jaccard-bodies", "jaccard-tokens", "leak-codes"}
